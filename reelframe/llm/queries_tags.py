@@ -65,12 +65,12 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     tracks = _tracks(spark, d, ["emotion", "style", "placement"]).where("size(emotion) > 0 AND size(style) > 0 AND size(placement) > 0")
     pairs, members = similar_pairs(tracks.select("track_id", F.concat("emotion", "style", "placement").alias("tags")), MIN_SIMILARITY, "track_id", "tags")
     members = cut(members)
-    a, b = (members.select(F.col("class").alias(f"class_{x}"), F.col("id").alias(f"id_{x}")) for x in "ab")
+    a, b = (members.select(F.col("class").alias(f"class_{x}"), F.col("id").alias(f"id_{x}")).hint("merge") for x in "ab")
     different = pairs.select("class_a", "class_b").join(a, "class_a").join(b, "class_b")
     # The cases hold the pairs of tracks with equal sets as well; a class of one track makes none.
     copies = members.groupBy("class").count().where("count > 1").select("class")
-    some = members.join(copies, "class")
-    equal = some.select("class", F.col("id").alias("id_a")).join(some.select("class", F.col("id").alias("id_b")), "class").where("id_a < id_b")
+    some = members.join(copies.hint("merge"), "class")
+    equal = some.select("class", F.col("id").alias("id_a")).join(some.select("class", F.col("id").alias("id_b")).hint("merge"), "class").where("id_a < id_b")
     ids = different.select("id_a", "id_b").unionByName(equal.select("id_a", "id_b"))
     return ids.select(F.least("id_a", "id_b").alias("track_a"), F.greatest("id_a", "id_b").alias("track_b"))
 

@@ -126,10 +126,11 @@ def similar_pairs(left: DataFrame, threshold: float, id_col: str = "id", set_col
     # Equal sets become one class before anything is joined: copies cost nothing, however many.
     # The class of a row: equal sets have equal digests of their sorted tokens; 128 bits make a clash of sets impossible in practice.
     digest = F.md5(F.concat_ws(",", F.col("t").cast("array<string>")))
-    rows = rows.withColumn("h", digest)
+    rows = cut(rows.withColumn("h", digest))
     classes = cut(rows.groupBy("h").agg(F.min("id").alias("c"), F.max("side").alias("hi"), F.min("side").alias("lo"), F.any_value("t").alias("t")))
     n = classes.count()
-    members = rows.join(classes.select("h", F.col("c").alias("class")), "h").select("class", "id", *(["side"] if both else []))
+    # Merge joins throughout: what has been cut from its lineage has no true size that could warrant a broadcast.
+    members = rows.join(classes.select("h", F.col("c").alias("class")).hint("merge"), "h").select("class", "id", *(["side"] if both else []))
 
     df = classes.select(F.explode("t").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
     heavy = {r[0]: r[1] for r in df.where(F.col("n") * HEAVY > n).collect()}
@@ -177,10 +178,10 @@ def similar_pairs(left: DataFrame, threshold: float, id_col: str = "id", set_col
     bits = F.bit_count(F.col("a1").bitwiseXOR(F.col("b1"))) + F.bit_count(F.col("a2").bitwiseXOR(F.col("b2")))
     may = (F.col("za") + F.col("zb") - bits) * den >= (F.col("za") + F.col("zb") + bits) * num
     once = (F.col("za") > F.col("zb")) | (F.col("ca") > F.col("cb"))
-    cand = look.join(found, "sig").where((F.col("ca") != F.col("cb")) & once & may).select("ca", "cb").distinct()
+    cand = look.join(found.hint("merge"), "sig").where((F.col("ca") != F.col("cb")) & once & may).select("ca", "cb").distinct()
     sets = classes.select("c", "t", "lo", "hi")
-    x = cand.join(sets.select(F.col("c").alias("ca"), F.col("t").alias("ta"), F.col("lo").alias("la"), F.col("hi").alias("ha")), "ca")
-    x = x.join(sets.select(F.col("c").alias("cb"), F.col("t").alias("tb"), F.col("lo").alias("lb"), F.col("hi").alias("hb")), "cb")
+    x = cand.join(sets.select(F.col("c").alias("ca"), F.col("t").alias("ta"), F.col("lo").alias("la"), F.col("hi").alias("ha")).hint("merge"), "ca")
+    x = x.join(sets.select(F.col("c").alias("cb"), F.col("t").alias("tb"), F.col("lo").alias("lb"), F.col("hi").alias("hb")).hint("merge"), "cb")
     x = x.withColumn("common", F.size(F.array_intersect("ta", "tb")))
     union = F.size("ta") + F.size("tb") - F.col("common")
     x = x.where(F.col("common") * den >= union * num)
