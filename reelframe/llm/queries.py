@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from reelframe.llm import queries_tags
+from reelframe.llm import queries_documents, queries_media, queries_tags
 
-_MODULES = [queries_tags]
+_MODULES = [queries_media, queries_tags, queries_documents]
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in _MODULES for k, v in m.SQL.items()}
