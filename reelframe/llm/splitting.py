@@ -21,6 +21,9 @@ _SENTENCE = re.compile(r"(?:[。！？…!?；;]|\.(?=\s|$))[。！？…!?；;.
 _CLAUSE = re.compile(r"[，、：,:}\]]+[ \t　]*|[ \t　]+")
 #: A piece so near to its limit is counted again on its own: a token may break where the text is cut.
 NEAR = 16
+#: Punctuation or a line end before a letter or digit: there the pre-tokeniser always breaks, so that tokens on
+#: either side are the same whether or not the text is cut.
+_BREAK = re.compile(r"[。！？，、：；…”’）」』》】,.:;!?)\]}\n](?=[A-Za-z0-9一-鿿])")
 #: Text of pieces that is handed on at a time.
 BATCH_CHARS = 4_000_000
 
@@ -47,21 +50,41 @@ class _Cutter:
             byte = np.concatenate(([0], char_at))
             self.where = np.concatenate((np.searchsorted(byte, starts, "left"), [len(text)]))
         self.before = np.searchsorted(starts, byte, "left")
-        self._bounds: list[list[int]] | None = None
+        self.codes = codes if char_at is not None else np.frombuffer(text.encode("ascii"), np.uint8)
+        self._bounds: list[list[int] | None] = [None] * 5
 
-    def bounds(self) -> list[list[int]]:
-        """Sorted positions of each kind of boundary; a cut at p begins a piece with character p."""
-        if self._bounds is None:
+    def bounds(self, kind: int) -> list[int]:
+        """Sorted positions of a kind of boundary, found when first asked for; a cut at p begins a piece with character p."""
+        got = self._bounds[kind]
+        if got is None:
             t, n = self.text, len(self.text)
-            found = [
-                [m.start() for m in _SCENE.finditer(t)],
-                [m.end() for m in _CUE.finditer(t)],
-                (np.flatnonzero(np.frombuffer(t.encode("utf-32-le", "replace"), np.uint32) == 10) + 1).tolist(),
-                [m.end() for m in _SENTENCE.finditer(t)],
-                [m.end() for m in _CLAUSE.finditer(t)],
-            ]
-            self._bounds = [[p for p in x if 0 < p < n] for x in found]
-        return self._bounds
+            if kind == 0:
+                got = [m.start() for m in _SCENE.finditer(t)]
+            elif kind == 2:
+                got = (np.flatnonzero(self.codes == 10) + 1).tolist()
+            else:
+                got = [m.end() for m in (_CUE if kind == 1 else _SENTENCE if kind == 3 else _CLAUSE).finditer(t)]
+            got = self._bounds[kind] = [p for p in got if 0 < p < n]
+        return got
+
+    def safe(self, p: int) -> bool:
+        """Whether a cut at p changes no token."""
+        return p == 0 or p == len(self.text) or _BREAK.match(self.text, p - 1) is not None
+
+    def count(self, lo: int, hi: int, near: int) -> int:
+        """Tokens of characters lo to hi: as in the whole text, or, where that comes to more than ``near``, as encoded by themselves."""
+        n = int(self.before[hi] - self.before[lo])
+        if n <= near:
+            return n
+        a, b = lo, hi
+        if not self.safe(lo):
+            m = _BREAK.search(self.text, lo, hi)
+            a = m.end() if m else hi
+        if not self.safe(hi):
+            b = max((m.end() for m in _BREAK.finditer(self.text, max(a, hi - 64), hi) if m.end() < hi), default=a)
+        if a >= b:
+            return self.tok.count(self.text[lo:hi])
+        return self.tok.count(self.text[lo:a]) + int(self.before[b] - self.before[a]) + self.tok.count(self.text[b:hi])
 
     def cut(self, lo: int, hi: int) -> tuple[int, int]:
         """(position, kind) of the strongest boundary near the middle of characters lo to hi.
@@ -72,10 +95,9 @@ class _Cutter:
         a, b = int(self.before[lo]), int(self.before[hi])
         mid = int(self.where[(a + b) // 2])
         left, right = int(self.where[a + (b - a) // 4]), int(self.where[b - (b - a) // 4])
-        every = self.bounds()
         for kinds, (x, y) in ((range(4), (left, right)), (range(4), (lo, hi)), (range(4, 5), (left, right)), (range(4, 5), (lo, hi))):
             for k in kinds:
-                ps = every[k]
+                ps = self.bounds(k)
                 i, j = bisect_right(ps, x), bisect_left(ps, y)
                 if i < j:
                     m = bisect_left(ps, mid, i, j)
@@ -108,22 +130,18 @@ def split_text(text: str, tok: Tokenizer, limits: list[tuple[int, int, int]]) ->
         todo = [(0, len(text), 6)]
         while todo:
             lo, hi, kind = todo.pop()
-            size = int(c.before[hi] - c.before[lo])
-            fits = size <= room and (size <= room - NEAR or tok.count(text[lo:hi]) <= room)
-            if fits or hi - lo == 1:
+            if int(c.before[hi] - c.before[lo]) <= room and c.count(lo, hi, room - NEAR) <= room or hi - lo == 1:
                 cores.append((lo, hi, kind))
             else:
                 p, k = c.cut(lo, hi)
                 todo += [(p, hi, kind), (lo, p, k)]
         for i, (lo, hi, kind) in enumerate(cores):
-            start, n = lo, int(c.before[hi] - c.before[lo])
+            start, n = lo, c.count(lo, hi, most - NEAR)
             if i and overlap:
                 first = int(c.before[lo]) - overlap
                 start = int(c.where[max(0, first)])
                 while True:
-                    n = int(c.before[hi] - c.before[start])
-                    if n > most - NEAR:
-                        n = tok.count(text[start:hi])
+                    n = c.count(start, hi, most - NEAR)
                     if n <= most or start == lo:
                         break
                     first += max(1, n - most)
