@@ -45,7 +45,7 @@ FEATURES = (
 #: A section of a recording in seconds that one call decodes.
 SECTION_S = 3600
 #: Recordings that the model is fitted on at most; the rest of the data takes no part in the fit.
-TRAIN_RECORDINGS = 200
+TRAIN_RECORDINGS = 64
 
 
 def plain_name(s: str | None) -> str:
@@ -288,7 +288,7 @@ class TurnModel:
             e, s = i, int(who[i, s])
         return turns[::-1]
 
-    def fit(self, sample: list[tuple[list[Line], int, list[int]]], rounds: int = 120, rate: float = 0.3, penalty: float = 1e-3) -> TurnModel:
+    def fit(self, sample: list[tuple[list[Line], int, list[int]]], rounds: int = 60, rate: float = 0.5, penalty: float = 1e-3) -> TurnModel:
         """Maximum conditional likelihood by gradient steps (Adam) over (lines, speakers, speaker of each line)."""
         data = [x for x in sample if x[0]]
         m = v = np.zeros_like(self.w)
