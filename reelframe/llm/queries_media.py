@@ -18,7 +18,8 @@ def p1_picks(spark: SparkSession, d: str) -> DataFrame:
     requests = read(spark, d, "pick_request")
     most = requests.agg(F.max("n_pick")).first()[0] or 0
     picks = varied_subset(tracks, most, "track_id", ["emotion", "style", "energy"])
-    return requests.join(picks, F.col("pick") <= F.col("n_pick")).select("request_id", "pick", "track_id", "copies", F.round("residual", 6).alias("residual"))
+    wanted = requests.where("n_pick >= 1").withColumn("pick", F.explode(F.sequence(F.lit(1), F.col("n_pick"))))
+    return wanted.join(picks, "pick").select("request_id", "pick", "track_id", "copies", F.round("residual", 6).alias("residual"))
 
 
 def _turns(spark: SparkSession, d: str) -> DataFrame:
