@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelframe.operators.intervals import periods_and_gaps
+from reelframe.plans import text_queries, timeline_queries, timeline_sql
 from reelframe.session import read
 
 #: A gap this long is a break in the recording.
@@ -39,5 +40,5 @@ UNION ALL
 SELECT track, episode, 'gap', start_ms, end_ms FROM gaps WHERE end_ms IS NOT NULL AND end_ms - start_ms < 600000
 """
 
-QUERIES = {"p3_found": p3_found}
-SQL = {"p3_found": P3_SQL}
+QUERIES = {"p3_found": p3_found} | text_queries.QUERIES | timeline_queries.QUERIES
+SQL = {"p3_found": P3_SQL} | text_queries.SQL | timeline_sql.SQL
