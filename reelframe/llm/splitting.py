@@ -94,7 +94,8 @@ class _Cutter:
         """
         a, b = int(self.before[lo]), int(self.before[hi])
         mid = int(self.where[(a + b) // 2])
-        left, right = int(self.where[a + (b - a) // 4]), int(self.where[b - (b - a) // 4])
+        # A token may reach over either end of the span.
+        left, right = max(lo, int(self.where[a + (b - a) // 4])), min(hi, int(self.where[b - (b - a) // 4]))
         for kinds, (x, y) in ((range(4), (left, right)), (range(4), (lo, hi)), (range(4, 5), (left, right)), (range(4, 5), (lo, hi))):
             for k in kinds:
                 ps = self.bounds(k)
