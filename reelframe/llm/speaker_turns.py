@@ -252,6 +252,7 @@ class TurnModel:
         start, inside = _features(lines, speakers)
         a, b = start @ self.w, inside @ self.w
         a[1:, speakers] = _NEVER
+        a[:1, speakers] = 0.0  # who spoke before goes on without a start
         for i, k in enumerate(lines):
             if k.label:
                 b[i, speakers] = _NEVER  # a label ends the carried turn

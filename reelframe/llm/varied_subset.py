@@ -17,6 +17,8 @@ from reelframe.session import cut
 DIMENSIONS = 4096
 #: Rows that a tournament chooses before the rest is deflated.
 PANEL = 32
+#: Rows that a leaf or a node of the tournament passes on: more than the panel, so that what the root needs is not lost below.
+NOMINATED = 4 * PANEL
 #: Distinct feature rows of one leaf of the tournament, about.
 LEAF_ROWS = 16_384
 #: A row counts as independent of those chosen if so much of its squared length is left.
@@ -120,13 +122,14 @@ def varied_subset(df: DataFrame, k: int, id_col: str, fields: list[str]) -> Data
     done: set[int] = set()
     basis = np.empty((0, DIMENSIONS))
     while n and len(chosen) < min(k, n):
-        won = _tournament(space, basis, min(PANEL, k - len(chosen)), done, leaves)
+        panel = min(PANEL, k - len(chosen))
+        won = _tournament(space, basis, panel, done, leaves)
         if not len(won):
             if not len(basis):
                 break
             basis = np.empty((0, DIMENSIONS))
             continue
-        taken, directions, residuals = pivoted_rows(won, basis, len(won))
+        taken, directions, residuals = pivoted_rows(won, basis, panel)
         chosen += [(int(won["id"].iloc[i]), int(won["copies"].iloc[i]), float(r)) for i, r in zip(taken, residuals)]
         done |= {c[0] for c in chosen}
         basis = np.concatenate((basis, directions))
@@ -145,7 +148,8 @@ def varied_subset(df: DataFrame, k: int, id_col: str, fields: list[str]) -> Data
 
 
 def _tournament(space: DataFrame, basis: np.ndarray, k: int, done: set[int], leaves: int) -> pd.DataFrame:
-    """The k (or fewer) rows that win: leaves nominate, pairs of nominations are pivoted again."""
+    """The rows that the root is left with: leaves nominate, pairs of nominations are pivoted again."""
+    k = max(k, NOMINATED)
     shared = space.sparkSession.sparkContext.broadcast(basis)  # at most DIMENSIONS rows, on average one a pick
 
     def nominate(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -165,4 +169,4 @@ def _tournament(space: DataFrame, basis: np.ndarray, k: int, done: set[int], lea
     while leaves > 1:
         level = level.withColumn("node", F.shiftright("node", 1)).groupBy("node").applyInPandas(meet, _ROW + ", node long")
         leaves = (leaves + 1) // 2
-    return level.toPandas()  # k rows
+    return level.toPandas()  # NOMINATED rows at most

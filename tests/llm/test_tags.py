@@ -68,8 +68,8 @@ def test_similar_pairs_equals_brute_force(spark, threshold, num, den, seed):
 
 
 def test_similar_pairs_of_two_tables(spark):
-    a, b = random_sets(80, 5), random_sets(80, 6) + random_sets(80, 5)[:15]
-    b = [(i + 1_000_000, t) for i, t in b]
+    a = random_sets(80, 5)
+    b = [(i + 1_000_000, t) for i, t in random_sets(80, 6)] + [(i + 2_000_000, t) for i, t in random_sets(80, 5)[:15]]
     got = similar_pairs(spark.createDataFrame(rows_of(a), SETS), 0.6, right=spark.createDataFrame(rows_of(b), SETS))
     assert expanded(*got, two=True) == truth(a, 3, 5, b)
 
