@@ -125,7 +125,7 @@ def gained(x: Column, gain: float) -> Column:
 def volume_for(mean_db: Column | str, target_db: float = -34.0, least: float = 0.05, most: float = 0.40, unknown: float = 0.20) -> Column:
     """The linear volume that brings a mean loudness to the target."""
     v = F.pow(F.lit(10.0), (F.lit(target_db) - _c(mean_db)) / 20.0)
-    return F.coalesce(F.bround(F.greatest(F.lit(least), F.least(F.lit(most), v)), 3), F.lit(unknown))
+    return F.when(v.isNull(), F.lit(unknown)).otherwise(F.bround(F.greatest(F.lit(least), F.least(F.lit(most), v)), 3))
 
 
 def fade_window(size: int, fade: int) -> Column:

@@ -59,8 +59,8 @@ def strip_beep(x: Column | str) -> Column:
 
 
 def srt_seconds(x: Column | str) -> Column:
-    """H1: 'HH:MM:SS,mmm' (or '.') to seconds; anything else, null too, is 0."""
-    p = r"^(\d+):(\d+):(\d+)[,.](\d+)"
+    """H1: 'HH:MM:SS,mmm' to seconds; anything else, null too, is 0."""
+    p = r"^(\d+):(\d+):(\d+),(\d+)"
     part = lambda i: F.regexp_extract(_c(x), p, i).cast("double")
     return F.when(_c(x).rlike(p), part(1) * 3600 + part(2) * 60 + part(3) + part(4) / 1000.0).otherwise(F.lit(0.0))
 
