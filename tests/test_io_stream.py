@@ -124,8 +124,9 @@ def test_stream(spark, tmp_path):
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     local = lambda samples, prefix: prefix + "".join("abcdefgh"[int(v) % 8] for v in samples[len(prefix) :])
     out = W.transcribe_stream(stream, 4 / W.SAMPLE_RATE, local, 1, 2)
-    q = out.writeStream.outputMode("update").format("memory").queryName("turns").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
-    q.awaitTermination(120)
+    q = out.writeStream.outputMode("update").format("memory").queryName("turns").option("checkpointLocation", str(tmp_path / "cp")).start()
+    q.processAllAvailable()
+    q.stop()
     got = {}
     for r in spark.sql("SELECT * FROM turns").collect():
         got.setdefault(r.session_id, []).append((r.step, r.n_samples, r.text, r.finished))
