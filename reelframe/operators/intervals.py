@@ -31,29 +31,29 @@ def periods_and_gaps(df: DataFrame, keys: list[str], start: str, end: str, max_g
     (None lists all); empty input gives no rows. Other columns of ``df`` are ignored, whatever their name.
 
     Plan: one row per entity and distinct start (end) is all that is shuffled; ranks are running counts over
-    time buckets, and the ranked sequences meet in an equi-join on (entity, rank), so no entity is gathered
-    in one task.
+    time buckets, and the ranked sequences meet on (entity, rank), so no entity is gathered in one task.
     """
     base = df.select(
         F.struct(*[F.col(f"`{c}`") for c in keys]).alias("_key"), F.col(f"`{start}`").cast("long").alias("_s"), F.col(f"`{end}`").cast("long").alias("_e")
     ).where(F.col("_e") > F.col("_s"))
 
-    def ranked(col: str) -> DataFrame:
-        distinct = base.groupBy("_key", F.col(col).alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
-        return bucketed_cumsum(distinct, ["_key"], "_t", "_n", "_rank", F.floor(F.col("_t") / F.lit(bucket_ms)))
-
-    total = base.groupBy("_key").agg(F.count(F.lit(1)).alias("_k"))
+    # Starts and ends go the same way in one pass, each kind with its own ranks.
+    times = base.select("_key", F.explode(F.array(F.struct(F.lit("s").alias("k"), F.col("_s").alias("t")), F.struct(F.lit("e").alias("k"), F.col("_e").alias("t")))).alias("x"))
+    distinct = times.groupBy("_key", F.col("x.k").alias("_kind"), F.col("x.t").alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = bucketed_cumsum(distinct, ["_key", "_kind"], "_t", "_n", "_rank", F.floor(F.col("_t") / F.lit(bucket_ms)))
     # The rank of the last of equal ends meets the rank before the first of equal starts; before the first
     # start and after the last end stands an open boundary.
-    ends = ranked("_e").select("_key", F.col("_rank").alias("_k"), F.col("_t").alias("_end"))
-    ends = ends.unionByName(total.select("_key", F.lit(0).cast("long").alias("_k"), F.lit(_FIRST).alias("_end")))
-    starts = ranked("_s").select("_key", (F.col("_rank") - F.col("_n")).alias("_k"), F.col("_t").alias("_start"))
-    starts = starts.unionByName(total.select("_key", "_k", F.lit(_LAST).alias("_start")))
-    bounds = ends.join(starts, ["_key", "_k"]).where(F.col("_start") > F.col("_end")).withColumn("_one", F.lit(1))
+    is_end, null = F.col("_kind") == "e", F.lit(None).cast("long")
+    marks = ranked.select(
+        "_key", F.when(is_end, F.col("_rank")).otherwise(F.col("_rank") - F.col("_n")).alias("_k"), F.when(is_end, F.col("_t")).alias("_end"), F.when(~is_end, F.col("_t")).alias("_start")
+    )
+    total = base.groupBy("_key").agg(F.count(F.lit(1)).alias("_total"))
+    mark = lambda k, e, s: F.struct(k.alias("_k"), e.alias("_end"), s.alias("_start"))
+    outer = total.select("_key", F.explode(F.array(mark(F.lit(0).cast("long"), F.lit(_FIRST), null), mark(F.col("_total"), null, F.lit(_LAST)))).alias("m")).select("_key", "m.*")
+    bounds = marks.unionByName(outer).groupBy("_key", "_k").agg(F.max("_end").alias("_end"), F.max("_start").alias("_start"))
+    bounds = bounds.where(F.col("_start") > F.col("_end")).withColumn("_one", F.lit(1))
     bounds = bucketed_cumsum(bounds, ["_key"], "_k", "_one", "_j", F.floor(F.col("_k") / F.lit(BUCKET_RANKS)))
 
-    null = F.lit(None).cast("long")
-
     def part(j, kind, s, e):  # noqa: ANN001, ANN202
         return F.struct(j.alias("j"), F.lit(kind).alias("kind"), s.alias("s"), e.alias("e"))
 
