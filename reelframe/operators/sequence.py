@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import pandas as pd
@@ -687,16 +687,29 @@ def words_to_cues(words: DataFrame, keys: list[str], order: list[str], gap: floa
     rows = islands(w, keys, order, gap).withColumn("_last", F.col("_island") == F.max("_island").over(Window.partitionBy(*keys)))
     rows = rows.select(*keys, "_island", "_last", *dict.fromkeys([*order, "text", "start_time", "end_time"]))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        got = merge_words(list(zip(pdf["text"], pdf["start_time"], pdf["end_time"])), gap, last=bool(pdf["_last"].iloc[0]))
-        out = pd.DataFrame([(c.text, c.start, c.end) for c in got], columns=["text", "start_time", "end_time"])
-        for k in keys:
-            out[k] = pdf[k].iloc[0]
-        return out[[*keys, "text", "start_time", "end_time"]]
+    # Islands are many and short: they stream through a task in order, instead of being a group each.
+    routed = rows.repartition(*keys, "_island").sortWithinPartitions(*keys, "_island", *order)
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, words, last = None, [], False
+
+        def done() -> list[tuple]:
+            return [(*at[:-1], c.text, c.start, c.end) for c in merge_words(words, gap, last=last)] if words else []
+
+        for pdf in it:
+            out = []
+            ids = list(zip(*[pdf[k].tolist() for k in keys], pdf["_island"].tolist()))
+            for i, t, s, e, z in zip(ids, pdf["text"], pdf["start_time"], pdf["end_time"], pdf["_last"]):
+                if i != at:
+                    out += done()
+                    at, words = i, []
+                words.append((t, s, e))
+                last = bool(z)
+            yield pd.DataFrame(out, columns=[*keys, "text", "start_time", "end_time"])
+        yield pd.DataFrame(done(), columns=[*keys, "text", "start_time", "end_time"])
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in w.select(*keys).schema) + ", text string, start_time double, end_time double"
-    return rows.groupBy(*keys, "_island").applyInPandas(run, ddl)
+    return routed.mapInPandas(run, ddl)
 
 
 def correct_cues(cues: DataFrame, lines: DataFrame, keys: list[str], cue_ord: str, line_ord: str, passes: Callable[[list[Cue], list[str]], list[Cue]] = correct) -> DataFrame:
