@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -97,5 +98,5 @@ def marked(counts: DataFrame, records: int, rare: int, common: float) -> DataFra
 
     What is both (a tiny table) is rare.
     """
-    mark = F.when(F.col("records") <= rare, "rare").when(F.col("records") > F.lit(common) * F.lit(records), "common")
+    mark = F.when(F.col("records") <= rare, "rare").when(F.col("records") > F.lit(Decimal(str(common)) * records), "common")
     return counts.withColumn("mark", mark)

@@ -102,7 +102,7 @@ class PairTable:
         n = F.lit(self.n).cast("long")
         items = self.items()
         out = pairs.join(items, "a").join(items.select(F.col("a").alias("b"), F.col("n_a").alias("n_b")), "b")
-        return out.select("a", "b", n.alias("n"), "n_a", "n_b", "n_ab", (F.col("n_ab") * n / (F.col("n_a") * F.col("n_b"))).alias("lift"))
+        return out.select("a", "b", n.alias("n"), "n_a", "n_b", "n_ab", (F.col("n_ab") / F.col("n_a") * n / F.col("n_b")).alias("lift"))
 
     def changed_items(self) -> DataFrame:
         """The items that the last batch touched."""

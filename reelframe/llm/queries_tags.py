@@ -37,7 +37,8 @@ def _pair_table(spark: SparkSession, d: str) -> PairTable:
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     s = _pair_table(spark, d).scores()
-    enough = (F.col("n_ab") >= MIN_TOGETHER) & (F.col("n_ab") * F.col("n") >= MIN_LIFT * F.col("n_a") * F.col("n_b"))
+    big = lambda c: F.col(c).cast("decimal(19,0)")  # noqa: E731  (products of counts outgrow 64 bits)
+    enough = (F.col("n_ab") >= MIN_TOGETHER) & (big("n_ab") * big("n") >= MIN_LIFT * big("n_a") * big("n_b"))
     return s.where(enough).select(F.col("a").alias("tag_a"), F.col("b").alias("tag_b"))
 
 
