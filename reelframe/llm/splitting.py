@@ -28,6 +28,13 @@ _BREAK = re.compile(r"[。！？，、：；…”’）」』》】,.:;!?)\]}\n
 BATCH_CHARS = 4_000_000
 
 
+def _ranks(places: np.ndarray, size: int) -> np.ndarray:
+    """For each of 0 to ``size`` the number of distinct places below it."""
+    flags = np.zeros(size + 1, np.int32)
+    flags[places + 1] = 1
+    return np.cumsum(flags, dtype=np.int32)
+
+
 class _Cutter:
     """Token positions and boundaries of one text; positions are in characters."""
 
@@ -42,14 +49,11 @@ class _Cutter:
             char_at = np.cumsum(width)  # the byte after each character
         self.n = len(lengths)
         # before[p]: tokens that begin before character p; where[t]: the character in which or before which token t begins
-        starts = np.concatenate(([0], ends[:-1]))
-        if char_at is None:
-            byte = np.arange(len(text) + 1)
-            self.where = np.concatenate((starts, [len(text)]))
-        else:
-            byte = np.concatenate(([0], char_at))
-            self.where = np.concatenate((np.searchsorted(byte, starts, "left"), [len(text)]))
-        self.before = np.searchsorted(starts, byte, "left")
+        starts, size = np.concatenate(([0], ends[:-1])), int(ends[-1])
+        byte = np.arange(len(text) + 1) if char_at is None else np.concatenate(([0], char_at))
+        self.before = _ranks(starts, size)[byte]
+        self.where = np.append(starts if char_at is None else _ranks(byte[:-1], size)[starts], len(text))
+        self._cuts: dict[tuple[int, int], tuple[int, int]] = {}
         self.codes = codes if char_at is not None else np.frombuffer(text.encode("ascii"), np.uint8)
         self._bounds: list[list[int] | None] = [None] * 5
 
@@ -86,6 +90,13 @@ class _Cutter:
             return self.tok.count(self.text[lo:hi])
         return self.tok.count(self.text[lo:a]) + int(self.before[b] - self.before[a]) + self.tok.count(self.text[b:hi])
 
+    def cut_once(self, lo: int, hi: int) -> tuple[int, int]:
+        """``cut``, kept for the next limit: the bisections of all limits are one tree."""
+        got = self._cuts.get((lo, hi))
+        if got is None:
+            got = self._cuts[lo, hi] = self.cut(lo, hi)
+        return got
+
     def cut(self, lo: int, hi: int) -> tuple[int, int]:
         """(position, kind) of the strongest boundary near the middle of characters lo to hi.
 
@@ -134,7 +145,7 @@ def split_text(text: str, tok: Tokenizer, limits: list[tuple[int, int, int]]) ->
             if int(c.before[hi] - c.before[lo]) <= room and c.count(lo, hi, room - NEAR) <= room or hi - lo == 1:
                 cores.append((lo, hi, kind))
             else:
-                p, k = c.cut(lo, hi)
+                p, k = c.cut_once(lo, hi)
                 todo += [(p, hi, kind), (lo, p, k)]
         for i, (lo, hi, kind) in enumerate(cores):
             start, n = lo, c.count(lo, hi, most - NEAR)
