@@ -29,7 +29,9 @@ def metric_summary(values: DataFrame, instruments: DataFrame) -> DataFrame:
     A plain grouped aggregate: partial sums before the shuffle take the place of gathering lists from workers, and nothing is padded.
     """
     got = values.groupBy("metric", "instrument").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
-    want = values.select("metric").distinct().join(instruments.select("instrument").distinct(), F.lit(True))
+    # The instruments are a short list; it goes to each metric as one array.
+    listed = instruments.agg(F.collect_set("instrument").alias("_i")).withColumn("_k", F.lit(1))
+    want = values.select("metric").distinct().withColumn("_k", F.lit(1)).join(listed, "_k").select("metric", F.explode("_i").alias("instrument"))
     nan = F.lit(float("nan"))
     return want.join(got, ["metric", "instrument"], "left").select("metric", "instrument", F.coalesce("mean", nan).alias("mean"), F.coalesce("std", nan).alias("std"))
 
@@ -95,8 +97,8 @@ def overlap_add(chunks: DataFrame, keys: list[str], start: str, values: str, win
 
 def upsert(table: DataFrame, new: DataFrame, key: list[str], order: str) -> DataFrame:
     """Rows of ``new`` take the place of those of the same key and stand first: their ``order`` is below all others."""
-    head = table.agg(F.coalesce(F.min(order), F.lit(0)).alias("_h"))
-    placed = new.join(F.broadcast(head), F.lit(True)).withColumn(order, F.col("_h") - F.lit(1) - F.lit(0)).drop("_h")
+    head = table.agg(F.coalesce(F.min(order), F.lit(0)).alias("_h")).withColumn("_k", F.lit(1))
+    placed = new.withColumn("_k", F.lit(1)).join(F.broadcast(head), "_k").withColumn(order, F.col("_h") - 1).drop("_h", "_k")
     return table.join(new.select(*key).distinct(), key, "left_anti").unionByName(placed)
 
 

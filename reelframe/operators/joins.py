@@ -239,9 +239,9 @@ def project_directories(projects: DataFrame, names: DataFrame, project: str, nam
     n = names.select(name).distinct()
     equal = p.withColumn("_k", clean(F.col(project))).where("_k <> ''").join(n.withColumn("_k", clean(F.col(name))), "_k").select(project, name)
     # The distinct lengths are few whatever the projects; they go to every name as one array.
-    lens = p.agg(F.collect_set(F.length(project)).alias("_ns"))
-    subs = n.join(F.broadcast(lens), F.lit(True)).withColumn("_n", F.explode("_ns")).where(F.length(name) >= F.col("_n"))
-    subs = subs.withColumn(project, F.explode(F.transform(F.sequence(F.lit(1), F.length(name) - F.col("_n") + 1), lambda i: F.substring(F.col(name), i, F.col("_n"))))).drop("_n", "_ns")
+    lens = p.agg(F.collect_set(F.length(project)).alias("_ns")).withColumn("_k", F.lit(1))
+    subs = n.withColumn("_k", F.lit(1)).join(F.broadcast(lens), "_k").withColumn("_n", F.explode("_ns")).where(F.length(name) >= F.col("_n"))
+    subs = subs.withColumn(project, F.explode(F.transform(F.sequence(F.lit(1), F.length(name) - F.col("_n") + 1), lambda i: F.substring(F.col(name), i, F.col("_n"))))).drop("_n", "_ns", "_k")
     return equal.unionByName(subs.join(p, project, "left_semi").select(project, name)).distinct()
 
 

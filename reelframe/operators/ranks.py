@@ -24,3 +24,21 @@ def bucketed_cumsum(df: DataFrame, keys: list[str], order: str, value: str, out:
         .drop("_total")
     )
     return local.join(totals, [*keys, "_bucket"]).withColumn(out, F.col("_local") + F.col("_base")).drop("_local", "_base", "_bucket")
+
+
+def neighbour(df: DataFrame, keys: list[str], order: list[str], cols: list[str], out: str, ahead: bool = False, bucket: Column | None = None) -> DataFrame:
+    """Add ``out`` = struct of ``cols`` of the row before (``ahead``: after) within ``keys`` by ``order``; null at the end.
+
+    With ``bucket``, a non-decreasing function of the order, rows are compared inside (keys, bucket), and the first (last) of a
+    bucket with the end of the bucket before (after), found in a window over one row a bucket: a key of any size is spread.
+    """
+    here = F.struct(*cols)
+    step = F.lead if ahead else F.lag
+    if bucket is None:
+        return df.withColumn(out, step(here).over(Window.partitionBy(*keys).orderBy(*order)))
+    rows = df.withColumn("_bucket", bucket)
+    pick = F.min_by if ahead else F.max_by
+    ends = rows.groupBy(*keys, "_bucket").agg(pick(here, F.struct(*order)).alias("_end"))
+    ends = ends.withColumn("_next", step("_end").over(Window.partitionBy(*keys).orderBy("_bucket"))).drop("_end")
+    rows = rows.withColumn(out, step(here).over(Window.partitionBy(*keys, "_bucket").orderBy(*order)))
+    return rows.join(ends, [*keys, "_bucket"]).withColumn(out, F.coalesce(out, "_next")).drop("_bucket", "_next")

@@ -1,7 +1,8 @@
 """Window recipes over ordered, time-stamped rows: sessions, runs, offsets, overlaps.
 
 Every operator takes the keys of an entity and the columns that give its rows a total order. Windows partition by the
-entity; where one may hold a large share of the rows, ``two_level`` variants cut it at natural breaks first.
+entity; operators that look at neighbours and running counts take a ``bucket`` as well, a non-decreasing function of the order, by which an
+entity that holds a large share of the rows is spread over tasks.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from reelframe.functions.text import han
+from reelframe.operators.ranks import bucketed_cumsum, neighbour
 
 FRAME_S = 1 / 30
 GAP_AFTER = 0.05
@@ -27,24 +29,27 @@ def before(keys: list[str], order: list[str | Column]) -> WindowSpec:
     return over(keys, order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def pause_annotation(words: DataFrame, keys: list[str], order: list[str], least: float = 0.3) -> DataFrame:
+def pause_annotation(words: DataFrame, keys: list[str], order: list[str], least: float = 0.3, bucket: Column | None = None) -> DataFrame:
     """All words of an entity in order, each pause of ``least`` seconds or more marked as [x.xs] (half up on whole milliseconds)."""
-    gap = F.lead("start_time").over(over(keys, order)) - F.col("end_time")
+    rows = neighbour(words, keys, order, ["start_time"], "_n", True, bucket)
+    gap = F.col("_n.start_time") - F.col("end_time")
     tenths = F.floor((F.round(gap * 1000) + 50) / 100).cast("long")
     mark = F.format_string("[%d.%ds]", F.floor(tenths / 10).cast("long"), tenths % 10)
     part = F.concat(F.coalesce("text", F.lit("")), F.when(gap >= least, mark).otherwise(""))
-    rows = words.select(*keys, *order, part.alias("_p"))
+    rows = rows.select(*keys, *order, part.alias("_p"))
     return rows.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, "_p"))), lambda x: x["_p"]), "").alias("sequence"))
 
 
-def gap_sessions(df: DataFrame, keys: list[str], order: list[str], start: str, end: str, gap: float) -> DataFrame:
+def gap_sessions(df: DataFrame, keys: list[str], order: list[str], start: str, end: str, gap: float, bucket: Column | None = None) -> DataFrame:
     """Number the sessions of an entity; a row opens a new one if it starts ``gap`` or more after the row before ended.
 
-    The column session counts from 1. A null time opens none.
+    The column session counts from 1. A null time opens none. With ``bucket`` the order must be unique within an entity.
     """
-    far = F.col(start) - F.lag(end).over(over(keys, order)) >= gap
-    opens = F.when(F.lag(F.lit(1)).over(over(keys, order)).isNull() | far, 1).otherwise(0)
-    return df.withColumn("_opens", opens).withColumn("session", F.sum("_opens").over(running(keys, order))).drop("_opens")
+    rows = neighbour(df, keys, order, [end], "_n", False, bucket)
+    rows = rows.withColumn("_opens", F.when(F.col("_n").isNull() | (F.col(start) - F.col(f"_n.{end}") >= gap), 1).otherwise(0)).drop("_n")
+    if bucket is None:
+        return rows.withColumn("session", F.sum("_opens").over(running(keys, order))).drop("_opens")
+    return bucketed_cumsum(rows.withColumn("_order", F.struct(*order)), keys, "_order", "_opens", "session", bucket).drop("_opens", "_order")
 
 
 def uncovered_groups(words: DataFrame, keys: list[str], order: list[str], gap: float = 0.5, least_han: int = 2) -> DataFrame:
@@ -56,23 +61,23 @@ def uncovered_groups(words: DataFrame, keys: list[str], order: list[str], gap: f
     return out.where(F.length("text") >= least_han)
 
 
-def truncate_overlaps(cues: DataFrame, keys: list[str], order: list[str], least: float) -> DataFrame:
+def truncate_overlaps(cues: DataFrame, keys: list[str], order: list[str], least: float, bucket: Column | None = None) -> DataFrame:
     """A cue that ends after the next one starts ends 0.05 s before it, but not before ``least`` seconds of its own."""
-    nxt = F.lead("start_time").over(over(keys, order))
+    rows, nxt = neighbour(cues, keys, order, ["start_time"], "_n", True, bucket), F.col("_n.start_time")
     end = F.when(F.col("end_time") > nxt, F.greatest(F.col("start_time") + least, nxt - GAP_AFTER)).otherwise(F.col("end_time"))
-    return cues.withColumn("end_time", end)
+    return rows.withColumn("end_time", end).drop("_n")
 
 
-def resolve_overlaps(cues: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def resolve_overlaps(cues: DataFrame, keys: list[str], order: list[str], bucket: Column | None = None) -> DataFrame:
     """As W5 with 0.1 s; a cue that starts with or after the next one ends 0.05 s before it, and goes if nothing is left of it.
 
     The next cue counts as it was, changed or gone.
     """
-    nxt = F.lead("start_time").over(over(keys, order))
+    rows, nxt = neighbour(cues, keys, order, ["start_time"], "_n", True, bucket), F.col("_n.start_time")
     late = F.col("start_time") >= nxt
     end = F.when(late, nxt - GAP_AFTER).when(F.col("end_time") > nxt, F.greatest(F.col("start_time") + 0.1, nxt - GAP_AFTER)).otherwise(F.col("end_time"))
-    rows = cues.withColumn("_end", end).withColumn("_late", F.coalesce(late, F.lit(False)))
-    return rows.where(~(F.col("_late") & (F.col("_end") <= F.col("start_time")))).drop("end_time", "_late").withColumnRenamed("_end", "end_time")
+    rows = rows.withColumn("_end", end).withColumn("_late", F.coalesce(late, F.lit(False)))
+    return rows.where(~(F.col("_late") & (F.col("_end") <= F.col("start_time")))).drop("end_time", "_late", "_n").withColumnRenamed("_end", "end_time")
 
 
 def clip_timeline(clips: DataFrame, keys: list[str], order: list[str], fade: str | Column) -> DataFrame:
@@ -107,11 +112,10 @@ def file_offsets(clips: DataFrame, keys: list[str], order: list[str], has_cues:
     return rows.withColumn("_step", step).withColumn("offset_s", F.coalesce(F.sum("_step").over(before(keys, order)), F.lit(0.0))).drop("_n", "_i", "_step")
 
 
-def drop_consecutive(df: DataFrame, keys: list[str], order: list[str], value: Column) -> DataFrame:
+def drop_consecutive(df: DataFrame, keys: list[str], order: list[str], value: Column, bucket: Column | None = None) -> DataFrame:
     """W10 (equality): a row whose value equals that of the row before goes; null or empty never equals."""
-    v = F.nullif(value, F.lit(""))
-    rows = df.withColumn("_v", v).withColumn("_prev", F.lag("_v").over(over(keys, order)))
-    return rows.where(F.col("_v").isNull() | F.col("_prev").isNull() | (F.col("_v") != F.col("_prev"))).drop("_v", "_prev")
+    rows = neighbour(df.withColumn("_v", F.nullif(value, F.lit(""))), keys, order, ["_v"], "_n", False, bucket)
+    return rows.where(F.col("_v").isNull() | F.col("_n._v").isNull() | (F.col("_v") != F.col("_n._v"))).drop("_v", "_n")
 
 
 def leading_run(df: DataFrame, keys: list[str], order: str, dark: Column) -> DataFrame:

@@ -29,15 +29,23 @@ def _clips(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "clip").groupBy("episode", "clip_ord").agg(F.max("file").alias("file"), F.coalesce(F.max("duration_s"), F.lit(0.0)).alias("duration_s"))
 
 
+#: Rows of an episode that one task of a window looks at, about.
+ROWS_A_BUCKET = 4096
+
+
+def _bucket(ordinal: str):  # noqa: ANN202
+    return F.floor(F.col(ordinal) / ROWS_A_BUCKET)
+
+
 WORD_ORDER, CUE_ORDER = ["word_ord", "start_time", "end_time", "text"], ["cue_ord", "start_time", "end_time", "text"]
 
 
 def pause_annotation(spark: SparkSession, d: str) -> DataFrame:
-    return W.pause_annotation(_words(spark, d), EP, WORD_ORDER)
+    return W.pause_annotation(_words(spark, d), EP, WORD_ORDER, bucket=_bucket("word_ord"))
 
 
 def gap_sessions(spark: SparkSession, d: str) -> DataFrame:
-    s = W.gap_sessions(_words(spark, d), EP, WORD_ORDER, "start_time", "end_time", 0.5)
+    s = W.gap_sessions(_words(spark, d), EP, WORD_ORDER, "start_time", "end_time", 0.5, _bucket("word_ord"))
     return s.groupBy("episode", "session").agg(F.count(F.lit(1)).alias("n"), F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"))
 
 
@@ -52,11 +60,11 @@ def size_gap_sessions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def overlap_truncate(spark: SparkSession, d: str) -> DataFrame:
-    return W.truncate_overlaps(_cues(spark, d), EP, CUE_ORDER, 0.3).withColumn("end_time", F.round("end_time", 6))
+    return W.truncate_overlaps(_cues(spark, d), EP, CUE_ORDER, 0.3, _bucket("cue_ord")).withColumn("end_time", F.round("end_time", 6))
 
 
 def overlap_resolve(spark: SparkSession, d: str) -> DataFrame:
-    return W.resolve_overlaps(_cues(spark, d), EP, CUE_ORDER).withColumn("end_time", F.round("end_time", 6))
+    return W.resolve_overlaps(_cues(spark, d), EP, CUE_ORDER, _bucket("cue_ord")).withColumn("end_time", F.round("end_time", 6))
 
 
 def clip_timeline(spark: SparkSession, d: str) -> DataFrame:
