@@ -112,6 +112,13 @@ SQL = {
     "metric_macro_average": f"WITH {_METRIC} SELECT metric, round(sum(mean) / 2, 4) AS macro FROM n GROUP BY 1",
     "latest_metric": "SELECT 'm' AS metric, l_returnflag AS instrument, l_orderkey AS path, arg_max(l_extendedprice, row(l_linenumber, l_extendedprice)) AS value FROM lineitem GROUP BY ALL",
     "transcript_texts": "WITH c AS (SELECT orig_index, chunk_index, max(text) AS text FROM chunk_text GROUP BY ALL) SELECT orig_index, string_agg(coalesce(text, ''), '' ORDER BY chunk_index) AS text FROM c GROUP BY 1",
+    "transcript_items": """WITH c AS (SELECT orig_index, chunk_index, any_value(items) AS items, max(offset_sec) AS o FROM chunk_text GROUP BY ALL), e AS (SELECT orig_index, chunk_index, o, unnest(items) AS i, generate_subscripts(items, 1) AS k FROM c WHERE items IS NOT NULL),
+        g AS (SELECT orig_index, count(*) AS n, arg_max(i.text, row(chunk_index, k)) AS last, arg_max(round_even(i.end_time + o, 3), row(chunk_index, k)) AS ends FROM e GROUP BY 1)
+        SELECT orig_index, CAST(n AS INTEGER) AS n, last, round(ends, 2) AS ends FROM (SELECT DISTINCT orig_index FROM chunk_text) LEFT JOIN g USING (orig_index)""",
+    "micro_timeline": f"""WITH {_CL}, t AS (SELECT episode, clip_ord, round(duration_s, 3) AS d, CASE WHEN row_number() OVER o = 1 THEN 0 WHEN lag(clip_ord % 3 = 1) OVER o THEN 10 ELSE 1 END AS f FROM cl WINDOW o AS (PARTITION BY episode ORDER BY clip_ord)),
+        e AS (SELECT *, round(floor(round_even(d - f * (1 / 30.0::DOUBLE), 6) * 1000) / 1000, 3) + 0.0001::DOUBLE AS x FROM t),
+        u AS (SELECT *, CAST(floor(x * 1000000) AS BIGINT) AS duration_us, CAST(floor(f / 30.0::DOUBLE * 1000000) AS BIGINT) AS source_us FROM e)
+        SELECT episode, clip_ord, CAST(coalesce(sum(duration_us + CASE WHEN clip_ord % 3 = 1 THEN 500000 ELSE 0 END) OVER (PARTITION BY episode ORDER BY clip_ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_us, duration_us, source_us FROM u""",
     "min_stem_length": "SELECT l_orderkey, min(l_quantity) AS length, min(l_quantity) <> max(l_quantity) AS uneven FROM lineitem GROUP BY 1",
     "ensemble_avg": _ENS.format("sum(v * w) / sum(w)"),
     "ensemble_median": _ENS.format("median(v)"),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -36,7 +38,9 @@ def shared_dir(spark: SparkSession) -> str:
         now = jsc.getCheckpointDir()
         d = now.get() if now.isDefined() else None
     if not d:
-        d = "file://" + os.path.join(tempfile.gettempdir(), f"reelframe-{uuid.uuid4().hex}")
+        own = os.path.join(tempfile.gettempdir(), f"reelframe-{uuid.uuid4().hex}")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        d = f"file://{own}"
     if not jsc.getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(d)
     return d
