@@ -147,6 +147,12 @@ def trim_overlap(segments: list[str]) -> list[str]:
     return out
 
 
+def drop_said_twice(text: str) -> str:
+    """H9 for Python strings."""
+    h = han(text)
+    return re.sub(r"^(.{1,4}?)\1", r"\1", h) if len(h) >= 5 and re.match(r"(.{1,4}?)\1", h) else text
+
+
 # --- passes over timed words and cues -------------------------------------------------------------------------------------
 
 
@@ -730,3 +736,28 @@ def correct_cues(cues: DataFrame, lines: DataFrame, keys: list[str], cue_ord: st
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in c.select(*keys).schema)
     return c.groupBy(*keys).cogroup(s.groupBy(*keys)).applyInPandas(run, ddl + f", `{cue_ord}` long, text string, start_time double, end_time double, match_li int, match_score double")
+
+
+def align_cues(segments: DataFrame, words: DataFrame, lines: DataFrame, keys: list[str], seg_ord: str, word_ord: str, line_ord: str) -> DataFrame:
+    """W38, W37, W22, H9, J7 on tables of segments, words and script lines: keys, ord (from 0), text, start_time, end_time.
+
+    Words without a time or text are left out. A group is an episode: the match goes on from segment to segment. Without a script W38 and W37 are left out.
+    """
+    seg = segments.select(*keys, F.lit(0).alias("_kind"), F.col(seg_ord).cast("long").alias("_i"), F.coalesce("text", F.lit("")).alias("text"))
+    script = lines.select(*keys, F.lit(1).alias("_kind"), F.col(line_ord).cast("long").alias("_i"), F.regexp_replace(F.coalesce("line", F.lit("")), NOT_HAN, "").alias("text"))
+    told = seg.unionByName(script.join(seg.select(*keys).distinct(), keys, "left_semi"))
+    w = words.where("start_time IS NOT NULL AND end_time IS NOT NULL AND text IS NOT NULL").select(*keys, word_ord, "text", "start_time", "end_time")
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        a, b = a.sort_values(["_kind", "_i"], kind="stable"), b.sort_values([word_ord, "start_time", "end_time", "text"], kind="stable")
+        segs, script = a["text"][a["_kind"] == 0].tolist(), a["text"][a["_kind"] == 1].tolist()
+        if script:
+            segs = fix_single_chars(split_merged(segs, script), script)
+        got = align_segments([drop_said_twice(x) for x in trim_overlap(segs)], list(zip(b["text"], b["start_time"], b["end_time"])))
+        out = pd.DataFrame([(i, c.text, c.start, c.end) for i, c in enumerate(got)], columns=["ord", "text", "start_time", "end_time"])
+        for k in keys:
+            out[k] = a[k].iloc[0] if len(a) else None
+        return out[[*keys, "ord", "text", "start_time", "end_time"]]
+
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in w.select(*keys).schema)
+    return told.groupBy(*keys).cogroup(w.groupBy(*keys)).applyInPandas(run, ddl + ", ord long, text string, start_time double, end_time double")

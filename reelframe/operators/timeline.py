@@ -231,10 +231,10 @@ def scene_changes(timeline: DataFrame, keys: list[str], order: list[str], durati
 
 
 def extend_last(cues: DataFrame, keys: list[str], order: list[str], video_s: str | Column, least: float = 0.5) -> DataFrame:
-    """The last cue of an entity, if shorter than ``least``, lasts to the end of the video, at least ``least`` seconds."""
+    """The last cue of an entity, if shorter than ``least``, lasts to the end of the video, at least ``least`` seconds; where the video's length is null it stays."""
     last = F.lead(F.lit(1)).over(over(keys, order)).isNull()
     v = F.col(video_s) if isinstance(video_s, str) else video_s
-    return cues.withColumn("end_time", F.when(last & (F.col("end_time") - F.col("start_time") < least), F.greatest(F.col("start_time") + least, v)).otherwise(F.col("end_time")))
+    return cues.withColumn("end_time", F.when(last & v.isNotNull() & (F.col("end_time") - F.col("start_time") < least), F.greatest(F.col("start_time") + least, v)).otherwise(F.col("end_time")))
 
 
 def scene_lines(lines: DataFrame, keys: list[str], line_no: str, text: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reelframe.functions import signal as S
@@ -57,8 +57,6 @@ def concat_filters(spark: SparkSession, d: str) -> DataFrame:
 
 def lcs_ratios(spark: SparkSession, d: str) -> DataFrame:
     """H5, H6: neighbouring lines of the script."""
-    from pyspark.sql import Window
-
     s = _script(spark, d).withColumn("prev", F.lag("line").over(Window.partitionBy("episode").orderBy("line_ord"))).where("prev IS NOT NULL AND line IS NOT NULL")
     return s.select("episode", "line_ord", F.round(T.lcs_ratio("prev", "line"), 6).alias("lcs"), F.round(T.ordered_share("prev", "line"), 6).alias("ordered"))
 
@@ -78,10 +76,28 @@ def cue_correction(spark: SparkSession, d: str) -> DataFrame:
     return Q.correct_cues(cues, _script(spark, d), EP, "cue_ord", "line_ord")
 
 
+def _segments(spark: SparkSession, d: str) -> DataFrame:
+    """The recorded segments of an episode: the items of its recordings, or the lines of the text (H14) where a recording has none."""
+    c = read(spark, d, "chunk_text").groupBy("episode", "orig_index", "chunk_index").agg(F.max(F.struct("loaded_at", "text", F.transform("items", lambda x: x["text"]).alias("items"))).alias("c"))
+    rows = c.select("episode", "orig_index", "chunk_index", F.posexplode(F.coalesce("c.items", T.segments("c.text"))).alias("i", "text"))
+    order = Window.partitionBy("episode").orderBy("orig_index", "chunk_index", "i")
+    return rows.select("episode", (F.row_number().over(order) - 1).alias("seg_ord"), "text")
+
+
+#: Recorded replacements (wrong, right), which stand in for a model's answer.
+PAIRS = (("掉了", "那把断琴"), ("早就", "我不后悔"), ("药方", "账本"), ("掉啦", "掉了"), ("那把断情", "那把断琴"), ("早", "我"), ("一整箱银票子弹壳儿", "一整箱银票"), ("账", "帐"), ("顶楼天台", "顶楼的天台"))
+
+
 def final_cues(spark: SparkSession, d: str) -> DataFrame:
-    """The pipeline from words to final cues."""
+    """The pipeline from words to final cues, with recorded segments and replacements, captions (cues in brackets) and the clips' length as the video's."""
     words = _words(spark, d).groupBy("episode", "word_ord").agg(F.max(F.struct("start_time", "end_time", "text")).alias("w")).select("episode", "word_ord", "w.*")
-    return pipeline.final_cues(words, _script(spark, d), EP)
+    cues = _cues(spark, d).groupBy("episode", "cue_ord").agg(F.max(F.struct("start_time", "end_time", "text")).alias("c")).select("episode", "cue_ord", "c.*")
+    hard = cues.where("text LIKE '（%'").select("episode", F.col("cue_ord").alias("interval_ord"), F.col("start_time").alias("s"), F.col("end_time").alias("e"))
+    video = _clips(spark, d).groupBy("episode").agg(F.sum("duration_s").alias("video_s"))
+    script = _script(spark, d)
+    pairs = F.array(*[F.struct(F.lit(i).alias("pair_ord"), F.lit(a).alias("wrong"), F.lit(b).alias("right")) for i, (a, b) in enumerate(PAIRS)])
+    pairs = script.select("episode").distinct().select("episode", F.explode(pairs).alias("p")).select("episode", "p.*")
+    return pipeline.final_cues(words, script, EP, video, hard, segments=_segments(spark, d), pairs=pairs)
 
 
 def l1_freq_metric(spark: SparkSession, d: str) -> DataFrame:

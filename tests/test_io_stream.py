@@ -173,3 +173,40 @@ def test_pipeline(spark):
     saved = pipeline.salvage(cues, words.where("word_ord < 20").withColumn("start_time", F.col("start_time") + 3).withColumn("end_time", F.col("end_time") + 3), ["episode"])
     assert sorted(r.text for r in saved.collect()) == sorted(["走了", "你说他们没问题"])
     assert [r.suspicious for r in pipeline.suspicious(cues.withColumn("text", F.lit("走了吧")).withColumn("end_time", F.lit(9.0))).collect()] == [True]
+
+
+def test_pipeline_segments_and_replacements(spark):
+    """The main branch: segments take their times from the words, lost words come back, replacements follow the script, captions and the video's end count."""
+    at = lambda e, t, s, i0: [(e, i0 + i, c, round(s + i * 0.3, 2), round(s + i * 0.3 + 0.25, 2)) for i, c in enumerate(t)]
+    w = at("e", "他丢掉啦那只旧箱子走得很远很远", 0.0, 0) + at("e", "后来我们", 10.0, 20) + at("e", "外面下雨了", 20.0, 30) + at("e", "完了", 30.0, 40)
+    w += at("f", "他丢掉啦那只旧箱子", 0.0, 0)  # no segments: W2; the correction passes find the line
+    words = spark.createDataFrame(w, "episode string, word_ord long, text string, start_time double, end_time double")
+    lines = spark.createDataFrame([(e, i, x) for e in "ef" for i, x in enumerate(["他丢掉了那只旧箱子", "走得很远很远", "外面下雨了", "完了"])], "episode string, line_ord int, line string")
+    segs = spark.createDataFrame([("e", i, x) for i, x in enumerate(["他丢掉啦那只旧箱子走得很远很远", "外面下雨了", "完了"])], "episode string, seg_ord int, text string")
+    # 4 of 26 characters are in no segment (P18 keeps 85 %)
+    cues = pipeline.segment_cues(words, segs, lines, ["episode"]).orderBy("cue_ord").collect()
+    assert [(r.text, r.start_time) for r in cues] == [("他丢掉啦那只旧箱子", 0.0), ("走得很远很远", 2.7), ("后来我们", 10.0), ("外面下雨了", 20.0), ("完了", 30.0)]
+    pairs = spark.createDataFrame([("e", 0, "掉啦", "掉了"), ("e", 1, "旧箱子", "新箱子")], "episode string, pair_ord int, wrong string, right string")
+    hard = spark.createDataFrame([("e", 0, 10.0, 11.5)], "episode string, interval_ord int, s double, e double")
+    video = spark.createDataFrame([("e", 40.0), ("f", 0.0)], "episode string, video_s double")
+    raw = pipeline.Settings(skip=frozenset({"replace"}))
+    got = pipeline.final_cues(words, lines, ["episode"], video, hard, segments=segs, pairs=pairs).orderBy("episode", "start_time").collect()
+    assert [(r.episode, r.text, r.start_time) for r in got] == [("e", "他丢掉了那只旧箱子", 0.0), ("e", "走得很远很远", 2.7), ("e", "外面下雨了", 20.0), ("e", "完了", 30.0), ("f", "他丢掉了那只旧箱子", 0.0)]
+    few = segs.where("seg_ord = 1")  # 5 of 26 characters: W2 instead
+    assert pipeline.final_cues(words, lines, ["episode"], segments=few, settings=raw).count() == pipeline.final_cues(words, lines, ["episode"], settings=raw).count()
+
+
+def test_replacements_are_gated_and_in_order(spark):
+    """P10, J18, H12, P11 against the rule of each."""
+    n = 20
+    said = ["比赚钱和赚钱", "我们走把"] + ["风"] * (n - 3) + ["我们走把"]
+    cues = spark.createDataFrame([("e", i, t, float(i), i + 0.5) for i, t in enumerate(said)], "episode string, cue_ord long, text string, start_time double, end_time double")
+    lines = spark.createDataFrame([("e", i, x) for i, x in enumerate(["比赚钱", "我们走吧"] + ["雨"] * (n - 2))], "episode string, line_ord int, line string")
+    schema = "episode string, pair_ord int, wrong string, right string"
+    run = lambda *ps: [r.text for r in pipeline.replaced(cues, lines, spark.createDataFrame([("e", i, *p) for i, p in enumerate(ps)], schema), ["episode"]).orderBy("cue_ord").collect()]
+    got = run(("赚钱", "比赚钱"), ("走把", "走吧"))
+    assert got[:2] == ["比赚钱和比赚钱", "我们走吧"] and got[-1] == "我们走把"  # the last is too far from the line
+    assert run(("走把", "没有"))[1] == "我们走把"  # not in the script
+    # the second pair applies to what the first has made; longest first
+    assert run(("走吧", "走雨"), ("们走把", "们走吧"))[1] == "我们走吧"  # 走雨 is not in the script
+    assert run(("走把", "走吧"), ("走把", "们走"))[1] == "我们走吧"  # 们走: two edits, invalid; the first stays
