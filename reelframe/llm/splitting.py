@@ -15,6 +15,7 @@ from reelframe.llm.tokenizer import VOCABULARY, Tokenizer, tokenizer
 
 #: The kinds of boundaries from the strongest; 'end' is the end of the text, 'token' a cut that no boundary allows.
 KINDS = ("scene", "cue", "line", "sentence", "clause", "token", "end")
+_LONE_CR = re.compile(r"\r(?!\n)")
 _SCENE = re.compile(r"^[ \t]*(?:\d+-\d+|第\d+[集场幕]|(?:INT|EXT)[./ ].*)[ \t]*\r?$", re.M)
 _CUE = re.compile(r"\n[ \t　]*\r?\n[\s　]*")
 _SENTENCE = re.compile(r"(?:[。！？…!?；;]|\.(?=\s|$))[。！？…!?；;.]*[”’」』）》\"')\]]*[ \t　]*")
@@ -23,7 +24,7 @@ _CLAUSE = re.compile(r"[，、：,:}\]]+[ \t　]*|[ \t　]+")
 NEAR = 16
 #: Punctuation or a line end before a letter or digit: there the pre-tokeniser always breaks, so that tokens on
 #: either side are the same whether or not the text is cut.
-_BREAK = re.compile(r"[。！？，、：；…”’）」』》】,.:;!?)\]}\n](?=[A-Za-z0-9一-鿿])")
+_BREAK = re.compile(r"[。！？，、：；…”’）」』》】,.:;!?)\]}\r\n](?=[A-Za-z0-9一-鿿])")
 #: Text of pieces that is handed on at a time.
 BATCH_CHARS = 4_000_000
 
@@ -40,11 +41,13 @@ class _Cutter:
 
     def __init__(self, text: str, tok: Tokenizer, lengths: np.ndarray) -> None:
         self.text, self.tok = text, tok
+        # Line ends are \r\n, \r and \n: boundaries are looked for where a lone \r is \n, at the same positions.
+        self.lined = _LONE_CR.sub("\n", text) if "\r" in text else text
         ends = np.cumsum(lengths)
         if len(text) == ends[-1]:  # one byte each
             char_at = None
         else:
-            codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+            codes = np.frombuffer(self.lined.encode("utf-32-le", "replace"), np.uint32)
             width = 1 + (codes > 0x7F) + (codes > 0x7FF) + (codes > 0xFFFF)
             char_at = np.cumsum(width)  # the byte after each character
         self.n = len(lengths)
@@ -54,14 +57,14 @@ class _Cutter:
         self.before = _ranks(starts, size)[byte]
         self.where = np.append(starts if char_at is None else _ranks(byte[:-1], size)[starts], len(text))
         self._cuts: dict[tuple[int, int], tuple[int, int]] = {}
-        self.codes = codes if char_at is not None else np.frombuffer(text.encode("ascii"), np.uint8)
+        self.codes = codes if char_at is not None else np.frombuffer(self.lined.encode("ascii"), np.uint8)
         self._bounds: list[list[int] | None] = [None] * 5
 
     def bounds(self, kind: int) -> list[int]:
         """Sorted positions of a kind of boundary, found when first asked for; a cut at p begins a piece with character p."""
         got = self._bounds[kind]
         if got is None:
-            t, n = self.text, len(self.text)
+            t, n = self.lined, len(self.text)
             if kind == 0:
                 got = [m.start() for m in _SCENE.finditer(t)]
             elif kind == 2:

@@ -9,7 +9,7 @@ import pytest
 from reelframe.llm.leakage import Leaks, SuffixAutomaton, decontaminate, leaked_items
 from reelframe.llm.letters import letters
 from reelframe.llm.packing import best_fit, pack, token_counts
-from reelframe.llm.splitting import split_documents
+from reelframe.llm.splitting import split_documents, split_text
 from reelframe.llm.tokenizer import tokenizer
 
 DOC = "doc_id long, text string, id long, item_id int, limit_id int, block string, n_tokens long"
@@ -164,3 +164,20 @@ def test_split_round_trip(spark):
     assert len(got[1, 102]) == 2 * len(got[1, 0])
     assert not {i for _, i in got} & {100, 101, 7} and {k for k, _ in got} == {1, 2, 3}
     assert not split_documents(df.where("false"), limits).collect() and not split_documents(df, []).collect()
+
+
+@pytest.mark.parametrize("text, kinds", [
+    ("".join(f"{k}-1\n地点 山门\n" + "守门的人答应了两匹快马，你今晚赢回了那间密室\n" * 6 for k in range(1, 9)), {"scene", "line", "end"}),
+    ("".join(f"{k}\n00:00:{k:02},000 --> 00:00:{k:02},900\n守门的人答应了两匹快马，别再提了\n\n" for k in range(1, 50)), {"cue", "end"}),
+])
+def test_line_ends_are_alike(text, kinds):
+    """A screenplay and an SRT with \\r or \\r\\n are cut at the same places as with \\n."""
+    tok = tokenizer()
+    got = {}
+    for end in ("\n", "\r", "\r\n"):
+        t = text.replace("\n", end)
+        ps = [p for p in split_text(t, tok, [(1, 200, 0)])]
+        assert {p[-1] for p in ps} <= kinds and len(ps) > 2
+        got[end] = [(t[p[3] : p[4]].replace(end, "\n"), p[-1]) for p in ps]
+        assert "".join(x for x, _ in got[end]) == text
+    assert got["\r"] == got["\n"]
