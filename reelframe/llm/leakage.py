@@ -15,6 +15,8 @@ from reelframe.llm.letters import letters
 #: Letters of test items that one automaton takes (about 200 bytes a letter in each worker). More items
 #: make more automata, each of which every document is run through; none is left out.
 SHARD_LETTERS = 1_000_000
+#: No character gives more letters a byte in NFKC (U+FDFA: 3 bytes, 15 letters): a bound for texts that are too short for a run.
+LETTERS_A_BYTE = 5
 
 
 class SuffixAutomaton:
@@ -202,7 +204,7 @@ def leaked_items(
     No shuffle: the items are broadcast, each document is read once, whole.
     """
     leaks = _broadcast(docs.sparkSession, items, item_id, item_text, least, shard_letters)
-    cols = docs.select(F.col(f"`{doc_id}`").alias("d"), F.col(f"`{text_col}`").cast("string").alias("t")).where(F.octet_length("t") >= least)
+    cols = docs.select(F.col(f"`{doc_id}`").alias("d"), F.col(f"`{text_col}`").cast("string").alias("t")).where(F.octet_length("t") * LETTERS_A_BYTE >= least)
     d_type, i_type = cols.schema["d"].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +237,7 @@ def decontaminate(
     Documents without such runs are not listed. The same defined results as ``leaked_items``.
     """
     leaks = _broadcast(docs.sparkSession, items, item_id, item_text, least, SHARD_LETTERS)
-    cols = docs.select(F.col(f"`{doc_id}`").alias("d"), F.col(f"`{text_col}`").cast("string").alias("t")).where(F.octet_length("t") >= least)
+    cols = docs.select(F.col(f"`{doc_id}`").alias("d"), F.col(f"`{text_col}`").cast("string").alias("t")).where(F.octet_length("t") * LETTERS_A_BYTE >= least)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

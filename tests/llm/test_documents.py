@@ -181,3 +181,12 @@ def test_line_ends_are_alike(text, kinds):
         got[end] = [(t[p[3] : p[4]].replace(end, "\n"), p[-1]) for p in ps]
         assert "".join(x for x, _ in got[end]) == text
     assert got["\r"] == got["\n"]
+
+
+def test_leaks_in_characters_that_expand(spark):
+    """A document of fewer bytes than the run has letters can hold it, since NFKC expands characters."""
+    text = "\ufdfa" * 3  # 9 bytes, 45 letters
+    items = spark.createDataFrame([(1, unicodedata.normalize("NFKC", text))], "item_id int, text string")
+    docs = spark.createDataFrame([(1, text), (2, "\ufdfa" * 2), (3, "abc")], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in leaked_items(docs, items).collect()] == [(1, 1)]
+    assert [(r.doc_id, r.action) for r in decontaminate(docs, items).collect()] == [(1, "drop")]
