@@ -12,9 +12,9 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def frame_has_text(brightness: Column | str, bright_ratio: Column | str, edge_ratio: Column | str) -> Column:
-    """Over measured features: a frame brighter than 80 with more than 5 % bright pixels or more than 1 % edges; null is no text."""
-    return F.coalesce((_c(brightness) > 80) & ((_c(bright_ratio) > 0.05) | (_c(edge_ratio) > 0.01)), F.lit(False))
+def frame_has_text(brightness: Column | str, bright_ratio: Column | str, edge_ratio: Column | str, gate: float = 60.0, least: float = 80.0) -> Column:
+    """Over measured features: a frame of a mean of at least ``gate`` and above ``least`` with more than 5 % bright pixels or more than 1 % edges; null is no text."""
+    return F.coalesce((_c(brightness) >= gate) & (_c(brightness) > least) & ((_c(bright_ratio) > 0.05) | (_c(edge_ratio) > 0.01)), F.lit(False))
 
 
 def valid_replacement(wrong: Column | str, right: Column | str, script: Column | str) -> Column:

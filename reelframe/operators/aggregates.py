@@ -128,17 +128,31 @@ def retention(words: DataFrame, segments: DataFrame, keys: list[str]) -> DataFra
     return a.join(b, keys, "left").select(*keys, r.alias("ratio"), F.when(r < 0.80, "reject").when(r < 0.90, "warn").otherwise("ok").alias("verdict"))
 
 
-def sampled_chunks(spark, tracks: DataFrame, draws: int, chunk: int, seed: int) -> DataFrame:  # noqa: ANN001
-    """``draws`` draws with replacement, uniform over the tracks and then over the offset: draw, path, offset. Seeded."""
+def sampled_chunks(spark, tracks: DataFrame, draws: int, chunk: int, seed: int, buckets: int = 1024) -> DataFrame:  # noqa: ANN001
+    """``draws`` draws with replacement, uniform over the tracks and then over the offset: draw, path, offset. Seeded.
+
+    Tracks are numbered within hash buckets of their path; a draw finds its bucket in the running counts of the buckets (one row
+    each) and meets its track on (bucket, number), so that nothing is sorted in one task. A path given twice is two tracks. No tracks, no rows.
+    """
     from pyspark.sql import Window
 
-    numbered = tracks.select("path", "n_frames", (F.row_number().over(Window.orderBy("path")) - 1).alias("_i"))
-    n = tracks.count()
+    t = tracks.select("path", "n_frames", F.pmod(F.xxhash64("path"), F.lit(buckets)).cast("int").alias("_b"))
+    numbered = t.withColumn("_i", F.row_number().over(Window.partitionBy("_b").orderBy("path", "n_frames")) - 1)
+    sizes = t.groupBy("_b").agg(F.count(F.lit(1)).alias("n")).orderBy("_b").collect()  # at most one row a bucket
+    ends, n = [], 0
+    for r in sizes:
+        ends.append((n, n + r["n"], r["_b"]))
+        n += r["n"]
     if not n:
         return spark.createDataFrame([], "draw long, path string, offset long")
-    d = spark.range(draws).select(F.col("id").alias("draw"), F.floor(F.rand(seed) * n).cast("int").alias("_i"), F.rand(seed + 1).alias("_u"))
+    of = spark.createDataFrame(ends, "lo long, hi long, _b int")
+    d = spark.range(draws).select(F.col("id").alias("draw"), F.floor(F.rand(seed) * n).cast("long").alias("_k"), F.rand(seed + 1).alias("_u"))
+    # The greatest lower end not above a draw's number names its bucket: the bounds are one sorted array of at most `buckets` entries.
+    table = of.agg(F.array_sort(F.collect_list(F.struct("lo", "hi", "_b"))).alias("_t")).withColumn("_one", F.lit(1))
+    d = d.withColumn("_one", F.lit(1)).join(F.broadcast(table), "_one")
+    d = d.withColumn("_x", F.element_at(F.filter("_t", lambda x: (x["lo"] <= F.col("_k")) & (F.col("_k") < x["hi"])), 1)).select("draw", "_u", F.col("_x._b").alias("_b"), (F.col("_k") - F.col("_x.lo")).cast("int").alias("_i"))
     room = F.greatest(F.col("n_frames") - chunk, F.lit(0)) + 1
-    return d.join(numbered, "_i").select("draw", "path", F.floor(F.col("_u") * room).cast("long").alias("offset"))
+    return d.join(numbered, ["_b", "_i"]).select("draw", "path", F.floor(F.col("_u") * room).cast("long").alias("offset"))
 
 
 def mixup(chunks: DataFrame, p: float, seed: int) -> DataFrame:

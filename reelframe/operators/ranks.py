@@ -6,12 +6,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """An inner equi-join in which null keys meet null keys, as they do in a window's partition; the columns of ``on`` come once."""
+    r = right.select(*[F.col(k).alias(f"_on{i}") for i, k in enumerate(on)], *[c for c in right.columns if c not in on])
+    cond = F.lit(True)
+    for i, k in enumerate(on):
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_on{i}"))
+    return left.join(r, cond).drop(*[f"_on{i}" for i in range(len(on))])
+
+
 def bucketed_cumsum(df: DataFrame, keys: list[str], order: str, value: str, out: str, bucket: Column) -> DataFrame:
     """Add ``out`` = sum of ``value`` over the rows of the same ``keys`` up to and including this one by ``order``.
 
     ``bucket`` is a non-decreasing function of ``order``. Rows are summed inside (keys, bucket) and the
     bucket totals are summed in a second, far smaller window, so a key that holds a third of all rows is
-    spread over its buckets. ``order`` must be unique within ``keys``. Empty input gives empty output.
+    spread over its buckets. ``order`` must be unique within ``keys``. Empty input gives empty output; null keys are one entity,
+    and rows whose bucket is null are a bucket before all others, so that every row stays.
     """
     b = df.withColumn("_bucket", bucket)
     inner = Window.partitionBy(*keys, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
@@ -23,14 +33,14 @@ def bucketed_cumsum(df: DataFrame, keys: list[str], order: str, value: str, out:
         .withColumn("_base", F.coalesce(F.sum("_total").over(before), F.lit(0)))
         .drop("_total")
     )
-    return local.join(totals, [*keys, "_bucket"]).withColumn(out, F.col("_local") + F.col("_base")).drop("_local", "_base", "_bucket")
+    return null_safe_join(local, totals, [*keys, "_bucket"]).withColumn(out, F.col("_local") + F.col("_base")).drop("_local", "_base", "_bucket")
 
 
 def neighbour(df: DataFrame, keys: list[str], order: list[str], cols: list[str], out: str, ahead: bool = False, bucket: Column | None = None) -> DataFrame:
     """Add ``out`` = struct of ``cols`` of the row before (``ahead``: after) within ``keys`` by ``order``; null at the end.
 
     With ``bucket``, a non-decreasing function of the order, rows are compared inside (keys, bucket), and the first (last) of a
-    bucket with the end of the bucket before (after), found in a window over one row a bucket: a key of any size is spread.
+    bucket with the end of the bucket before (after), found in a window over one row a bucket: a key of any size is spread. Null keys are one entity, null buckets one bucket before all others.
     """
     here = F.struct(*cols)
     step = F.lead if ahead else F.lag
@@ -41,4 +51,4 @@ def neighbour(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
     ends = rows.groupBy(*keys, "_bucket").agg(pick(here, F.struct(*order)).alias("_end"))
     ends = ends.withColumn("_next", step("_end").over(Window.partitionBy(*keys).orderBy("_bucket"))).drop("_end")
     rows = rows.withColumn(out, step(here).over(Window.partitionBy(*keys, "_bucket").orderBy(*order)))
-    return rows.join(ends, [*keys, "_bucket"]).withColumn(out, F.coalesce(out, "_next")).drop("_bucket", "_next")
+    return null_safe_join(rows, ends, [*keys, "_bucket"]).withColumn(out, F.coalesce(out, "_next")).drop("_bucket", "_next")

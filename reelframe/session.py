@@ -30,7 +30,8 @@ def get_spark(app: str = "reelframe", master: str | None = None, **conf: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, which all executors share.
 
-    Where a session names none (tests on one machine), a temporary folder is set for it.
+    Where a session of one machine (a local master, as in tests) names none, a temporary folder is set for it; elsewhere that is an
+    error, since executors would each write to a folder of their own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     jsc = spark.sparkContext._jsc.sc()
@@ -38,6 +39,9 @@ def shared_dir(spark: SparkSession) -> str:
         now = jsc.getCheckpointDir()
         d = now.get() if now.isDefined() else None
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         own = os.path.join(tempfile.gettempdir(), f"reelframe-{uuid.uuid4().hex}")
         atexit.register(shutil.rmtree, own, ignore_errors=True)
         d = f"file://{own}"

@@ -15,7 +15,7 @@ TTL_MS = 600_000
 #: A decoder sees all samples so far and the text that is fixed; it gives the text of the whole (an adapter in production).
 Decoder = Callable[[list[float], str], str]
 
-OUT = "session_id string, step long, n_samples long, text string, finished boolean"
+OUT = "session_id string, step long, n_samples long, text string, finished boolean, missing long"
 STATE = "step long, buffer array<double>, history array<double>, text string, next_seq long, late array<struct<seq:long,samples:array<double>,is_end:boolean>>"
 
 
@@ -42,40 +42,49 @@ def fixed_prefix(text: str, step: int, unfixed_chunks: int, unfixed_tokens: int,
 
 
 def advance(state: tuple, rows: list[tuple[int, list[float], bool]], size: int, decode: Decoder, unfixed_chunks: int, unfixed_tokens: int, ended: bool = False) -> tuple[tuple, list[tuple]]:
-    """Take rows (seq, samples, is_end) into a session's state; emit (step, n_samples, text, finished) for every full chunk and at the end.
+    """Take rows (seq, samples, is_end) into a session's state; emit (step, n_samples, text, finished, missing) for every full chunk and at the end.
 
-    Rows are taken in the order of seq, whatever the micro-batches: one that comes early waits. A repeated seq counts once.
+    Rows are taken in the order of seq, whatever the micro-batches: one that comes early waits. A repeated seq counts once. When the session
+    ends (``ended``: it timed out) while rows wait for a seq that never came, they are taken all the same, in order of seq; missing counts the seqs passed over.
     """
     step, buffer, history, text, nxt, late = state
     out = []
     waiting = {r[0]: r for r in late} | {r[0]: r for r in rows if r[0] >= nxt}
-    end = False
-    while nxt in waiting:
-        _, samples, is_end = waiting.pop(nxt)
-        nxt += 1
+    end, missing = ended, 0
+
+    def take(seq: int) -> bool:
+        nonlocal step, buffer, history, text, nxt, missing
+        _, samples, is_end = waiting.pop(seq)
+        missing += seq - nxt
+        nxt = seq + 1
         buffer = buffer + list(samples or [])
-        end = end or is_end
         while len(buffer) >= size:
             history, buffer = history + buffer[:size], buffer[size:]
             text = decode(history, fixed_prefix(text, step, unfixed_chunks, unfixed_tokens))
             step += 1
-            out.append((step, len(history), text, False))
-    if end or ended:
+            out.append((step, len(history), text, False, missing))
+        return is_end
+
+    while nxt in waiting:
+        end = take(nxt) or end
+    if end:
+        for seq in sorted(waiting):
+            take(seq)
         if buffer:
             history, buffer = history + buffer, []
             text = decode(history, fixed_prefix(text, step, unfixed_chunks, unfixed_tokens, True))
             step += 1
-        out.append((step, len(history), text, True))
+        out.append((step, len(history), text, True, missing))
     return (step, buffer, history, text, nxt, list(waiting.values())), out
 
 
 def transcribe_stream(
     stream: DataFrame, seconds: float, decode: Decoder, unfixed_chunks: int = 2, unfixed_tokens: int = 5, ttl_ms: int = TTL_MS, snapshot: bool = False
 ) -> DataFrame:
-    """T1 to T7 on a stream of session_id, seq (from 0), samples, is_end: session_id, step, n_samples, text, finished.
+    """T1 to T7 on a stream of session_id, seq (from 0), samples, is_end: session_id, step, n_samples, text, finished, missing.
 
     Use it in update mode. A chunk is a number of samples, not a time. A session ends with its end row, or when nothing has come for
-    ``ttl_ms`` (processing time); then its rest is flushed and its state removed. ``snapshot`` gives only the latest row
+    ``ttl_ms`` (processing time); then its rest, and what still waits for a missing seq, is flushed and its state removed. ``snapshot`` gives only the latest row
     of a session in each micro-batch.
     """
     size = chunk_samples(seconds)
@@ -95,7 +104,7 @@ def transcribe_stream(
                 state.update(now)
                 state.setTimeoutDuration(ttl_ms)
         out = out[-1:] if snapshot else out
-        yield pd.DataFrame([(key[0], *r) for r in out], columns=["session_id", "step", "n_samples", "text", "finished"])
+        yield pd.DataFrame([(key[0], *r) for r in out], columns=["session_id", "step", "n_samples", "text", "finished", "missing"])
 
     rows = stream.select("session_id", "seq", "samples", "is_end")
     return rows.groupBy("session_id").applyInPandasWithState(update, OUT, STATE, "update", GroupStateTimeout.ProcessingTimeTimeout)

@@ -34,8 +34,28 @@ def test_srt(spark, tmp_path):
 def test_scripts(spark):
     t = spark.createDataFrame([("a", "第1集\n1-1\n地点：天台 夜\n王猛（怒）：小子，站住！\n【旁白】夜深了\n△动作：无\n一个很长很长的名字啊：走\n李霄: ok\n\n李霄：好。")], "ep string, text string")
     assert [(r.line_ord, r.speaker, r.line) for r in R.script_lines(t, ["ep"]).orderBy("line_ord").collect()] == [(0, "地点", "天台夜"), (1, "王猛", "小子站住"), (2, "旁白", "夜深了"), (3, "李霄", "好")]
-    d = spark.createDataFrame([("a", "画面\n台词：王猛：“站住！”李霄：“走。”\n台词：好？走！")], "ep string, text string")
-    assert [(r.speaker, r.line) for r in R.frame_dialogues(d, ["ep"]).orderBy("ord").collect()] == [("王猛", "站住！"), ("李霄", "走。"), ("旁白", "好？"), ("旁白", "走！")]
+
+
+@pytest.mark.parametrize(
+    "content,want",
+    [
+        ("台词：甲：走吧，乙：好的", [("甲", "走吧"), ("乙", "好的")]),
+        ("- 台词：甲（急）：“站住！”；乙: 「走。」", [("甲", "站住！"), ("乙", "走。")]),
+        ("台词：甲：“走吧，我们一起”", [("甲", "走吧，我们一起")]),  # no role behind the comma
+        ("台词：甲：“站住！”李霄：“走。”", [("甲", "站住！”李霄：“走。")]),  # nothing that parts them
+        ("台词：无", []),
+        ("台词：无（动作替代台词）", []),
+        ("  台词：“好？走！”", [("旁白", "好？"), ("旁白", "走！")]),
+        ("台词：他说“一句。两句”然后「三句」", [("旁白", "一句。"), ("旁白", "两句"), ("旁白", "三句")]),
+        ("台词：好？走！", []),  # neither a role nor a quote
+        ("台词：甲：“”", []),
+        ("画面：甲：走", []),
+        (None, []),
+    ],
+)
+def test_frame_dialogues(spark, content, want):
+    d = spark.createDataFrame([("a", content if content is None else f"画面\r\n{content}\n镜头")], "ep string, text string")
+    assert [(r.speaker, r.line) for r in R.frame_dialogues(d, ["ep"]).orderBy("ord").collect()] == want
 
 
 def test_json_sources(spark):
@@ -117,6 +137,18 @@ def test_count_window_does_not_depend_on_batches():
     assert W.chunk_samples(0.00001) == 1 and W.valid_payload(b"123") is None and W.valid_payload(np.float32([1.5]).tobytes()) == [1.5]
 
 
+def test_count_window_keeps_what_waits_for_a_missing_row():
+    """seq 1 never comes: when the session times out, or its end row has come, the samples behind the gap are taken and the gap is counted."""
+    state, out = W.advance((0, [], [], "", 0, []), [(0, [1.0], False), (2, [2.0, 3.0], False)], 4, decode, 1, 2)
+    assert out == [] and len(state[5]) == 1
+    _, out = W.advance(state, [], 4, decode, 1, 2, ended=True)
+    assert [(r[1], r[3], r[4]) for r in out] == [(3, True, 1)]
+    _, out = W.advance((0, [], [], "", 0, []), [(0, [1.0], True), (3, [2.0] * 4, False)], 4, decode, 1, 2)
+    assert [(r[1], r[3], r[4]) for r in out] == [(4, False, 2), (5, True, 2)]
+    _, out = W.advance((0, [], [], "", 0, []), [(0, [1.0] * 4, True)], 4, decode, 1, 2)
+    assert [(r[1], r[3], r[4]) for r in out] == [(4, False, 0), (4, True, 0)]
+
+
 def test_stream(spark, tmp_path):
     rows = [(s, i, [float(i)] * 3, i == 4) for s in ("x", "y") for i in range(5)]
     schema = "session_id string, seq long, samples array<double>, is_end boolean"
@@ -134,7 +166,7 @@ def test_stream(spark, tmp_path):
     q.stop()
     got = {}
     for r in spark.sql("SELECT * FROM turns").collect():
-        got.setdefault(r.session_id, []).append((r.step, r.n_samples, r.text, r.finished))
+        got.setdefault(r.session_id, []).append((r.step, r.n_samples, r.text, r.finished, r.missing))
     want = feed([[(i, x, e) for s, i, x, e in rows if s == "x"]])
     assert {k: sorted(v) for k, v in got.items()} == {"x": want, "y": want}
 

@@ -40,6 +40,11 @@ def test_sampling(spark):
     assert all(0 <= r.offset <= 90 for r in got if r.path == "a") and all(r.offset == 0 for r in got if r.path == "b")
     assert sorted(map(tuple, got)) == sorted(map(tuple, A.sampled_chunks(spark, tracks, 200, 10, 7).collect()))
     assert A.sampled_chunks(spark, tracks.where("false"), 5, 10, 7).count() == 0
+    from collections import Counter
+
+    many = spark.createDataFrame([(f"t{i}", 10) for i in range(40)], "path string, n_frames long")
+    n = Counter(r.path for r in A.sampled_chunks(spark, many, 8000, 10, 3, buckets=8).collect())
+    assert len(n) == 40 and min(n.values()) > 120 and max(n.values()) < 290  # 200 each, but for chance
     chunks = spark.createDataFrame([(i, "v", [float(i)] * 2) for i in range(4)], "draw long, instrument string, values array<double>")
     assert {r.draw: r["values"][0] for r in A.mixup(chunks, 1.1, 3).collect()} == {0: 0.5, 1: 1.5, 2: 2.5, 3: 3.0}
     assert {r.draw: r["values"][0] for r in A.mixup(chunks, 0.0, 3).collect()} == {0: 0.0, 1: 1.0, 2: 2.0, 3: 3.0}
@@ -119,5 +124,10 @@ def test_buckets_change_nothing(spark):
             whole = f(df, ["episode"], ["word_ord"], *args).select("episode", "word_ord", "end_time", *(["session"] if args[-1:] == (0.3,) else []))
             parts = f(df, ["episode"], ["word_ord"], *args, bucket=b).select(whole.columns)
             assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, parts.collect()))
+        odd = df.unionByName(spark.createDataFrame([(None, 5, "甲", 1.0, 1.2), (None, 6, "甲", 1.1, 1.3), ("e", None, "乙", 2.0, 2.1), (None, None, None, None, None)], WORDS))
+        for f, args in ((W.gap_sessions, ("start_time", "end_time", 0.3)), (W.truncate_overlaps, (0.1,)), (W.drop_consecutive, (F.col("text"),))):
+            whole = f(odd, ["episode"], ["word_ord"], *args)
+            parts = f(odd, ["episode"], ["word_ord"], *args, bucket=b).select(whole.columns)
+            assert sorted(map(repr, whole.collect())) == sorted(map(repr, parts.collect()))
         one = W.pause_annotation(df, ["episode"], ["word_ord"]).collect()
         assert sorted(map(tuple, one)) == sorted(map(tuple, W.pause_annotation(df, ["episode"], ["word_ord"], bucket=b).collect()))
