@@ -101,6 +101,39 @@ def test_pair_table_follows_changes(spark):
     assert table.scores(table.changed_items()).count() == 0
 
 
+def test_pair_table_is_kept_on_disk(spark, tmp_path, monkeypatch):
+    """Closed and opened again between batches; a batch that fails half-way leaves nothing and can be tried again; a batch given again counts once."""
+    schema = "old array<string>, new array<string>"
+    path = f"file://{tmp_path}/pairs"
+    first, second = [(None, ["a", "b"]), (None, ["a", "b", "c"]), (None, [])], [(["a", "b"], ["b", "c", "c"]), (None, ["a"])]
+    counts = lambda t: (t.n, {r.a: r.n_a for r in t.items().collect()}, {(r.a, r.b): r.n_ab for r in t.pairs().collect()})
+    PairTable(spark, path, buckets=3).apply(spark.createDataFrame(first, schema), "old", "new", "one")
+    one = (2, {"a": 2, "b": 2, "c": 1}, {("a", "b"): 2, ("a", "c"): 1, ("b", "c"): 1})
+    assert counts(PairTable(spark, path)) == one
+    t = PairTable(spark, path)
+    assert (t.version, t._state["buckets"]) == (1, 3)
+    with monkeypatch.context() as m:
+        m.setattr(PairTable, "_publish", lambda self, state: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            t.apply(spark.createDataFrame(second, schema), "old", "new", "two")
+    assert counts(t) == one == counts(PairTable(spark, path))
+    for _ in range(2):
+        t.apply(spark.createDataFrame(second, schema), "old", "new", "two")
+    two = (3, {"a": 2, "b": 2, "c": 2}, {("a", "b"): 1, ("a", "c"): 1, ("b", "c"): 2})
+    assert counts(t) == two == counts(PairTable(spark, path)) and t.version == 2
+    late = PairTable(spark, path)
+    late._state = {**late._state, "version": 1}  # a writer who has missed the second batch
+    with pytest.raises(RuntimeError):
+        late.apply(spark.createDataFrame(first, schema), "old", "new")
+    assert counts(PairTable(spark, path)) == two
+
+
+def test_long_basket_is_paired_item_by_item(spark):
+    t = PairTable(spark, buckets=2)
+    t.apply(spark.createDataFrame([(None, [f"i{k:04d}" for k in range(700)])], "old array<string>, new array<string>"), "old", "new")
+    assert t.pairs().count() == 700 * 699 // 2 and t.items().count() == 700
+
+
 @pytest.mark.parametrize("salts", [1, 3])
 def test_ngram_counts_equal_brute_force(spark, salts):
     rng = random.Random(4)
