@@ -62,21 +62,32 @@ def p5_ngrams(spark: SparkSession, d: str) -> DataFrame:
     return marked(counts, tracks.count(), RARE_TRACKS, COMMON_SHARE).select("field", F.array_join("ngram", " ").alias("ngram"), F.size("ngram").alias("terms"), "occurrences", "records", "mark")
 
 
-def p6_found(spark: SparkSession, d: str) -> DataFrame:
+def _similar_tracks(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     tracks = _tracks(spark, d, ["emotion", "style", "placement"]).where("size(emotion) > 0 AND size(style) > 0 AND size(placement) > 0")
     pairs, members = similar_pairs(tracks.select("track_id", F.concat("emotion", "style", "placement").alias("tags")), MIN_SIMILARITY, "track_id", "tags")
-    members = cut(members)
+    return pairs, cut(members)
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """The cases are pairs of tracks, so that the classes of equal sets are expanded here, last of all."""
+    pairs, members = _similar_tracks(spark, d)
     a, b = (members.select(F.col("class").alias(f"class_{x}"), F.col("id").alias(f"id_{x}")).hint("merge") for x in "ab")
-    different = pairs.select("class_a", "class_b").join(a, "class_a").join(b, "class_b")
-    # The cases hold the pairs of tracks with equal sets as well; a class of one track makes none.
-    copies = members.groupBy("class").count().where("count > 1").select("class")
-    some = members.join(copies.hint("merge"), "class")
-    equal = some.select("class", F.col("id").alias("id_a")).join(some.select("class", F.col("id").alias("id_b")).hint("merge"), "class").where("id_a < id_b")
-    ids = different.select("id_a", "id_b").unionByName(equal.select("id_a", "id_b"))
+    ids = pairs.select("class_a", "class_b").join(a, "class_a").join(b, "class_b").where("class_a <> class_b OR id_a < id_b")
     return ids.select(F.least("id_a", "id_b").alias("track_a"), F.greatest("id_a", "id_b").alias("track_b"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_scores": p4_scores, "p5_found": p5_found, "p5_ngrams": p5_ngrams, "p6_found": p6_found}
+def p6_links(spark: SparkSession, d: str) -> DataFrame:
+    """One row a track: its class of equal sets, the tracks in it, and its links to other tracks; classes are joined, never expanded to pairs of tracks."""
+    pairs, members = _similar_tracks(spark, d)
+    sizes = members.groupBy("class").agg(F.count(F.lit(1)).alias("tracks"))
+    other = pairs.where("class_a <> class_b")
+    ends = other.select("class_a", "class_b").unionByName(other.select(F.col("class_b").alias("class_a"), F.col("class_a").alias("class_b")))
+    links = ends.join(sizes.withColumnRenamed("class", "class_b").hint("merge"), "class_b").groupBy(F.col("class_a").alias("class")).agg(F.sum("tracks").alias("others"))
+    rows = sizes.join(links.hint("merge"), "class", "left").withColumn("links", F.col("tracks") - 1 + F.coalesce("others", F.lit(0)))
+    return members.join(rows.hint("merge"), "class").select(F.col("id").alias("track_id"), "class", "tracks", "links")
+
+
+QUERIES = {"p4_found": p4_found, "p4_scores": p4_scores, "p5_found": p5_found, "p5_ngrams": p5_ngrams, "p6_found": p6_found, "p6_links": p6_links}
 
 # DuckDB has no NFKC; of the spelling variants in these tables it changes full-width letters and white space.
 _WIDE = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
@@ -100,6 +111,11 @@ _FIRST = "fst AS (SELECT * FROM music_tag WHERE track_id IS NOT NULL QUALIFY row
 _SEQ = " UNION ALL ".join(
     f"SELECT track_id, '{f}' AS field, {_list(f if f != 'energy' else '[energy]')} AS t FROM cur" for f in ("emotion", "style", "energy")
 )
+_SIMILAR = f"""{_CURRENT}, s AS (SELECT track_id, {_list("emotion")} AS e, {_list("style")} AS s, {_list("placement")} AS p FROM cur),
+        k AS (SELECT track_id, list_distinct(list_concat(e, s, p)) AS t FROM s WHERE len(e) > 0 AND len(s) > 0 AND len(p) > 0),
+        o AS (SELECT track_id, len(t) AS z, unnest(t) AS tag FROM k),
+        c AS (SELECT x.track_id AS track_a, y.track_id AS track_b, any_value(x.z) AS za, any_value(y.z) AS zb, count(*) AS n
+              FROM o x JOIN o y ON x.tag = y.tag AND x.track_id < y.track_id GROUP BY 1, 2)"""
 SQL = {
     "p4_found": f"WITH {_BASKETS} SELECT a AS tag_a, b AS tag_b FROM sc WHERE n_ab >= 5 AND n_ab * n >= 3 * n_a * n_b",
     "p4_scores": f"""WITH {_BASKETS}, {_FIRST}, old AS (SELECT track_id, list_distinct(list_concat({_list("emotion")}, {_list("style")})) AS tags FROM fst),
@@ -117,10 +133,8 @@ SQL = {
               FROM (SELECT *, unnest(range(1, len(t) + 1)) AS i FROM seq), range(1, 4) r(k) WHERE i + k - 1 <= len(t)),
         c AS (SELECT field, ngram, CAST(terms AS INTEGER) AS terms, count(*) AS occurrences, count(DISTINCT track_id) AS records FROM g GROUP BY ALL)
         SELECT c.*, CASE WHEN records <= 2 THEN 'rare' WHEN records > 0.18 * n THEN 'common' END AS mark FROM c, n""",
-    "p6_found": f"""WITH {_CURRENT}, s AS (SELECT track_id, {_list("emotion")} AS e, {_list("style")} AS s, {_list("placement")} AS p FROM cur),
-        k AS (SELECT track_id, list_distinct(list_concat(e, s, p)) AS t FROM s WHERE len(e) > 0 AND len(s) > 0 AND len(p) > 0),
-        o AS (SELECT track_id, len(t) AS z, unnest(t) AS tag FROM k),
-        c AS (SELECT x.track_id AS track_a, y.track_id AS track_b, any_value(x.z) AS za, any_value(y.z) AS zb, count(*) AS n
-              FROM o x JOIN o y ON x.tag = y.tag AND x.track_id < y.track_id GROUP BY 1, 2)
-        SELECT track_a, track_b FROM c WHERE n * 10 >= 6 * (za + zb - n)""",
+    "p6_found": f"""WITH {_SIMILAR} SELECT track_a, track_b FROM c WHERE n * 10 >= 6 * (za + zb - n)""",
+    "p6_links": f"""WITH {_SIMILAR}, e AS (SELECT track_a AS i FROM c WHERE n * 10 >= 6 * (za + zb - n) UNION ALL SELECT track_b FROM c WHERE n * 10 >= 6 * (za + zb - n)),
+        l AS (SELECT i, count(*) AS links FROM e GROUP BY 1)
+        SELECT track_id, min(track_id) OVER (PARTITION BY list_sort(t)) AS class, count(*) OVER (PARTITION BY list_sort(t)) AS tracks, coalesce(links, 0) AS links FROM k LEFT JOIN l ON track_id = i""",
 }
