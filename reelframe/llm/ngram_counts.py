@@ -14,7 +14,7 @@ def _count_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Aggregate all prefix counts of reverse-lexicographically sorted suffixes with a stack.
 
     A suffix row is (field, suffix, seen, n): n occurrences of the truncated suffix, of which the prefixes of up to
-    ``seen`` terms stood earlier in the same record, so that only longer ones count for a new record.
+    ``seen`` terms count at another suffix of the same record, so that only longer ones count for a new record.
     In reverse order a prefix follows all suffixes that extend it; what the stack holds at depth l is the
     prefix of l terms with all its counts so far. ``seen`` takes the place of a set of record ids: it makes the
     number of records additive.
@@ -57,16 +57,21 @@ def _count_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _suffixes(terms, max_len: int):  # noqa: ANN001, ANN202
-    """Truncated suffixes of a record with the length of the longest prefix that began an earlier one."""
-    size = F.size(terms)
-    cuts = F.transform(F.sequence(F.lit(1), size), lambda i: F.slice(terms, i, max_len))
+    """Truncated suffixes of a record, sorted, each with the length of the prefix that it shares with the one before it.
 
-    def seen(s, i):  # noqa: ANN001, ANN202
-        earlier = F.slice(cuts, 1, i)
-        lens = F.sequence(F.lit(1), F.size(s))
-        return F.coalesce(F.array_max(F.filter(lens, lambda k: F.exists(earlier, lambda e: F.slice(e, 1, k) == F.slice(s, 1, k)))), F.lit(0))
+    Suffixes that share a prefix follow each other, so that every distinct prefix is longer than what is shared at one of them only: there it
+    counts for the record. Sorting takes n log n comparisons of at most ``max_len`` terms, however long the record.
+    """
+    sorted_ = F.array_sort(F.transform(F.sequence(F.lit(1), F.size(terms)), lambda i: F.slice(terms, i, max_len)))
+
+    def shared(s, p):  # noqa: ANN001, ANN202
+        return F.size(F.filter(F.sequence(F.lit(1), F.size(s)), lambda k: F.slice(s, 1, k) == F.slice(p, 1, k)))
+
+    def pairs(xs):  # noqa: ANN001, ANN202
+        return F.transform(xs, lambda s, i: F.struct(s.alias("suffix"), F.when(i > 0, shared(s, F.get(xs, i - 1))).otherwise(0).alias("seen")))
 
-    return F.when(size > 0, F.transform(cuts, lambda s, i: F.struct(s.alias("suffix"), seen(s, i).alias("seen"))))
+    # The sorted array is bound once, as the only element of an array, instead of being sorted anew for each suffix.
+    return F.when(F.size(terms) > 0, F.transform(F.array(sorted_), pairs)[0])
 
 
 def ngram_counts(df: DataFrame, fields: dict[str, str], max_len: int = 1, partitions: int | None = None, salts: int = 1) -> DataFrame:

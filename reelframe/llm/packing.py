@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
 from collections.abc import Iterator
-from math import inf
 
 import numpy as np
 import pandas as pd
@@ -17,8 +15,6 @@ from reelframe.session import cut
 
 #: Items that one task packs together, about: more fill the containers no better, fewer leave more part-filled ones.
 BLOCK_ITEMS = 16_384
-#: Bins that one look at the open bins compares; the look goes on until a bin meets every constraint.
-LOOK = 12
 #: Weights of tokens, documents and attention cost in the residual norm.
 WEIGHTS = (1.0, 0.05, 0.25)
 
@@ -26,44 +22,38 @@ WEIGHTS = (1.0, 0.05, 0.25)
 def best_fit(sizes: list[int], capacity: int, max_items: int, max_cost: int) -> list[int]:
     """The bin of each item (sizes in falling order) by vector best-fit.
 
-    A bin has three residual capacities: tokens, documents, and attention cost (the sum of squared sizes). Of the
-    open bins that can take an item, looked at from the tightest in tokens on, it goes to the one of the first that fit
-    whose weighted residual norm is least afterwards; a new bin is opened only where none fits.
+    A bin has three residual capacities: tokens, documents, and attention cost (the sum of squared sizes). An item goes to the one of all
+    open bins that can take it whose weighted residual norm is least afterwards (the first opened of equals); a new bin is opened only where none can. An item whose own cost is above ``max_cost`` has a bin to itself.
     """
     wt, wc, wa = (w / c / c for w, c in zip(WEIGHTS, (capacity, max_items, max_cost)))
-    tokens: list[int] = []
-    count: list[int] = []
-    cost: list[int] = []
-    opened: list[tuple[int, int]] = []  # (tokens left, bin), the bins that can take more
+    room = np.empty((3, 256))  # tokens, documents and cost left of the open bins
+    number = np.empty(256, np.int64)
+    m = bins = 0
     out = []
     for n in sizes:
-        sq, best, at = n * n, inf, -1
-        i = bisect_left(opened, (n, -1))
-        while i < len(opened) and at < 0:
-            for k in range(i, min(i + LOOK, len(opened))):
-                left, b = opened[k]
-                if count[b] and cost[b] >= sq:
-                    r, c, a = left - n, count[b] - 1, cost[b] - sq
-                    norm = wt * r * r + wc * c * c + wa * a * a
-                    if norm < best:
-                        best, at = norm, k
-                        if not r:
-                            break
-            i += LOOK
-        if at >= 0:
-            left, b = opened.pop(at)
-        else:
-            left, b = capacity, len(tokens)
-            tokens.append(capacity)
-            count.append(max_items)
-            cost.append(max_cost)
-        left -= n
-        tokens[b] = left
-        count[b] -= 1
-        cost[b] -= sq
-        if left and count[b] and cost[b]:
-            insort(opened, (left, b))
-        out.append(b)
+        sq, at = n * n, -1
+        if m:
+            left = room[:, :m]
+            r, a = left[0] - n, left[2] - sq
+            norm = wt * r * r + wc * (left[1] - 1) ** 2 + wa * a * a
+            norm[(r < 0) | (a < 0)] = np.inf
+            at = int(norm.argmin())
+            if norm[at] == np.inf:
+                at = -1
+        if at < 0:
+            if sq > max_cost:
+                out.append(bins)
+                bins += 1
+                continue
+            if m == len(number):
+                room, number = np.concatenate((room, np.empty_like(room)), axis=1), np.concatenate((number, np.empty_like(number)))
+            room[:, m], number[m] = (capacity, max_items, max_cost), bins
+            at, m, bins = m, m + 1, bins + 1
+        room[:, at] -= (n, 1, sq)
+        out.append(int(number[at]))
+        if room[:, at].min() <= 0:  # closed: the bins behind move up, in the order in which they were opened
+            room[:, at : m - 1], number[at : m - 1] = room[:, at + 1 : m], number[at + 1 : m].copy()
+            m -= 1
     return out
 
 
@@ -87,11 +77,11 @@ def pack(
 
     ``sizes``: id, n_tokens. ``limits``: (limit_id, max_tokens). A container takes at most max_tokens tokens,
     max(1, max_tokens * ``max_docs``) documents and an attention cost (the sum of squared piece sizes) of ``attention`` *
-    max_tokens²; attention is at least 1, so that a full piece fits. Output: limit_id, container_id, id, piece, token_start, n_tokens.
+    max_tokens². From 1 on any filling meets this and it weighs in the choice only; below 1 it binds, and a piece that alone costs more has a container of its own. Output: limit_id, container_id, id, piece, token_start, n_tokens.
 
     An item is split only if it exceeds max_tokens: into full pieces, each a container of its own, and a rest that is
-    packed like any item. Other items are spread over blocks by a hash, so that no task takes more than about
-    ``block_items``; each block is packed in falling order of size, and the containers of all blocks that stay less than
+    packed like any item. The sizes are written once and their rows numbered, so that equal ids and equal rows are spread alike; other items are spread over blocks
+    by a hash of that number, so that no task takes more than about ``block_items``; each block is packed in falling order of size, and the containers of all blocks that stay less than
     nine tenths full are opened again and packed anew in fewer blocks.
 
     Defined results: items of no tokens (null or empty texts) get no container; equal ids or texts are items
@@ -102,21 +92,22 @@ def pack(
     schema = f"limit_id int, max_tokens long, id {sizes.schema['id'].dataType.simpleString()}, piece int, token_start long, n_tokens long, block long"
     if not limits:
         return spark.createDataFrame([], schema).select("limit_id", F.lit(0).cast("long").alias("container_id"), "id", "piece", "token_start", "n_tokens")
+    # Numbered before they are written: what is read from there on has the same numbers in every attempt.
+    sizes = cut(sizes.where("n_tokens > 0").select("id", "n_tokens", F.monotonically_increasing_id().alias("_row")))
     n = sizes.agg(F.count(F.lit(1))).first()[0]
     blocks = max(1, -(-n // block_items))
     each = F.explode(F.array(*[F.struct(F.lit(i).cast("int").alias("limit_id"), F.lit(m).cast("long").alias("max_tokens")) for i, m in limits]))
-    items = sizes.where("n_tokens > 0").select("id", "n_tokens", each.alias("l")).select("id", "n_tokens", "l.*")
+    items = sizes.select("_row", "id", "n_tokens", each.alias("l")).select("_row", "id", "n_tokens", "l.*")
     whole = F.col("n_tokens") <= F.col("max_tokens")
     starts = F.when(whole, F.array(F.lit(0).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("n_tokens") - 1, F.col("max_tokens")))
-    pieces = items.select("limit_id", "max_tokens", "id", F.col("n_tokens").alias("total"), F.posexplode(starts).alias("piece", "token_start"))
+    pieces = items.select("limit_id", "max_tokens", "_row", "id", F.col("n_tokens").alias("total"), F.posexplode(starts).alias("piece", "token_start"))
     pieces = pieces.withColumn("n_tokens", F.least("max_tokens", F.col("total") - F.col("token_start"))).drop("total")
-    # Rows of equal content go to different blocks: the hash also takes the piece and a random part.
-    pieces = pieces.withColumn("block", F.pmod(F.xxhash64("id", "piece", "limit_id"), F.lit(blocks)))
+    pieces = pieces.withColumn("block", F.pmod(F.xxhash64("_row", "piece", "limit_id"), F.lit(blocks))).drop("_row")
 
     def fill(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["n_tokens", "id", "piece"], ascending=[False, True, True], kind="stable", ignore_index=True)
         cap = int(pdf["max_tokens"].iloc[0])
-        pdf["bin"] = best_fit(pdf["n_tokens"].tolist(), cap, max(1, int(cap * max_docs)), int(max(1.0, attention) * cap * cap))
+        pdf["bin"] = best_fit(pdf["n_tokens"].tolist(), cap, max(1, int(cap * max_docs)), max(1, int(attention * cap * cap)))
         filled = pdf["n_tokens"].groupby(pdf["bin"]).transform("sum")
         pdf["open"] = filled * 10 < cap * 9
         return pdf[["limit_id", "max_tokens", "id", "piece", "token_start", "n_tokens", "block", "bin", "open"]]
@@ -124,7 +115,8 @@ def pack(
     out_schema = schema + ", bin long, open boolean"
     full = F.col("n_tokens") == F.col("max_tokens")
     parts = cut(pieces.where(~full).groupBy("limit_id", "block").applyInPandas(fill, out_schema))
-    again = max(1, blocks // 16)
+    left = parts.where("open").groupBy("limit_id").count().collect()  # a row a limit
+    again = max([1, *(-(-r["count"] // block_items) for r in left)])
     rest = parts.where("open").withColumn("block", F.pmod("block", F.lit(again))).select("limit_id", "max_tokens", "id", "piece", "token_start", "n_tokens", "block")
     rest = rest.groupBy("limit_id", "block").applyInPandas(fill, out_schema)
 

@@ -7,16 +7,15 @@ from pyspark.sql import DataFrame, SparkSession
 from reelframe.llm.leakage import decontaminate, leaked_items
 from reelframe.llm.packing import pack, token_counts
 from reelframe.llm.splitting import split_documents
-from reelframe.session import cut, read
+from reelframe.session import read
 
 #: Letters of the shortest run that counts as a leak.
 LEAST_RUN = 32
-#: Rows of documents in an Arrow batch: long texts make large batches.
-BATCH_ROWS = "1000"
+#: Attention cost of a container, as a share of that of one full piece, in p7_attention.
+ATTENTION = 0.5
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return read(spark, d, "documents").select("doc_id", "text")
 
 
@@ -27,8 +26,12 @@ def _limits(spark: SparkSession, d: str, purpose: str) -> list[tuple]:
 
 def p7_containers(spark: SparkSession, d: str) -> DataFrame:
     """limit_id, container_id, id, piece, token_start, n_tokens for every size limit of purpose pack."""
-    sizes = cut(token_counts(_documents(spark, d)))
-    return pack(sizes, [x[:2] for x in _limits(spark, d, "pack")])
+    return pack(token_counts(_documents(spark, d)), [x[:2] for x in _limits(spark, d, "pack")])
+
+
+def p7_attention(spark: SparkSession, d: str) -> DataFrame:
+    """As p7_containers, with a bound on the attention cost that large pieces come up against."""
+    return pack(token_counts(_documents(spark, d)), [x[:2] for x in _limits(spark, d, "pack")], attention=ATTENTION)
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
@@ -45,5 +48,5 @@ def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split_documents(_documents(spark, d), _limits(spark, d, "cut"))
 
 
-QUERIES = {"p7_containers": p7_containers, "p8_found": p8_found, "p8_removed": p8_removed, "p9_pieces": p9_pieces}
+QUERIES = {"p7_containers": p7_containers, "p7_attention": p7_attention, "p8_found": p8_found, "p8_removed": p8_removed, "p9_pieces": p9_pieces}
 SQL: dict[str, str] = {}

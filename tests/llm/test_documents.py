@@ -94,6 +94,43 @@ def test_best_fit_meets_every_constraint():
         bound = max(-(-sum(sizes) // cap), -(-len(sizes) // most), -(-sum(n * n for n in sizes) // cost))
         assert len(bins) <= 1.2 * bound + 1
     assert best_fit([], 5, 1, 25) == [] and best_fit([5, 5, 3, 2], 5, 9, 25) == [0, 1, 2, 2]
+    assert best_fit([9, 6, 3, 3], 10, 9, 50) == [0, 1, 1, 2]  # 81 is above the cost of a bin by itself; 36 + 9 + 9 of three together
+
+
+def test_best_fit_takes_the_least_norm_of_all_open_bins():
+    from reelframe.llm.packing import WEIGHTS
+
+    rng = random.Random(6)
+    for cap, most, cost in ((100, 6, 10_000), (50, 50, 900)):
+        sizes = sorted((rng.randint(1, 28) for _ in range(500)), reverse=True)
+        bins, want = [], []
+        for n in sizes:
+            fits = [(sum(w * (v / c) ** 2 for w, v, c in zip(WEIGHTS, (t - n, k - 1, a - n * n), (cap, most, cost))), b) for b, (t, k, a) in enumerate(bins) if t >= n and k >= 1 and a >= n * n]
+            b = min(fits, key=lambda x: (round(x[0], 12), x[1]))[1] if fits else len(bins)
+            if not fits:
+                bins.append((cap, most, cost))
+            t, k, a = bins[b]
+            bins[b] = (t - n, k - 1, a - n * n)
+            want.append(b)
+        assert best_fit(sizes, cap, most, cost) == want
+
+
+def test_rows_of_one_id_are_spread_over_the_blocks(spark):
+    """A third of all rows of one id, a third of a null id: no block takes much more than its share."""
+    rng = random.Random(3)
+    rows = [(i if i % 3 == 0 else 5 if i % 3 == 1 else None, rng.randint(1, 90)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "id long, n_tokens long")
+    got = pack(df, [(1, 1000)], block_items=300).collect()
+    share = {}
+    for r in got:
+        if not r.container_id >> 61:  # not those that were opened again
+            share[r.container_id >> 31] = share.get(r.container_id >> 31, 0) + 1
+    assert len(share) >= 15 and max(share.values()) < 450 and sum(r.n_tokens for r in got) == sum(n for _, n in rows)
+    low = pack(df, [(1, 1000)], attention=0.02).collect()
+    cost = {}
+    for r in low:
+        cost[r.container_id] = cost.get(r.container_id, 0) + r.n_tokens**2
+    assert max(cost.values()) <= 20_000 and len(cost) > len({r.container_id for r in got}) and sum(r.n_tokens for r in low) == sum(n for _, n in rows)
 
 
 def test_pack_whole_and_full(spark):

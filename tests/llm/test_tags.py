@@ -148,6 +148,19 @@ def test_ngram_counts_equal_brute_force(spark, salts):
     assert got == {g: (occ[g], rec[g]) for g in occ}
 
 
+def test_ngram_counts_of_long_records(spark):
+    """Records of tens of thousands of terms, as documents have them."""
+    rng = random.Random(8)
+    seqs = [[f"w{min(int(rng.expovariate(0.01)), 400)}" for _ in range(20_000)] for _ in range(3)]
+    got = {tuple(r.ngram): (r.occurrences, r.records) for r in ngram_counts(spark.createDataFrame([(s,) for s in seqs], "x array<string>"), {"x": "x"}, 2).collect()}
+    occ, rec = Counter(), Counter()
+    for t in seqs:
+        grams = [tuple(t[i : i + k]) for k in (1, 2) for i in range(len(t) - k + 1)]
+        occ.update(grams)
+        rec.update(set(grams))
+    assert got == {g: (occ[g], rec[g]) for g in occ}
+
+
 def test_ngram_counts_empty_and_marks(spark):
     assert not ngram_counts(spark.createDataFrame([], "x array<string>"), {"x": "x"}, 2).collect()
     c = spark.createDataFrame([(1,), (2,), (3,), (18,), (19,)], "records long")
