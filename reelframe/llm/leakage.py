@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,18 +12,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelframe.llm.letters import letters
+from reelframe.session import cut
 
-#: Letters of test items that one automaton takes (about 200 bytes a letter in each worker). More items
-#: make more automata, each of which every document is run through; none is left out.
+#: Letters of test items that one automaton takes (about 200 bytes a letter in a worker): the bound of what is broadcast at once. More items
+#: make more automata, and a pass over the documents for each: none is left out, and no task holds two of them.
 SHARD_LETTERS = 1_000_000
 #: No character gives more letters a byte in NFKC (U+FDFA: 3 bytes, 15 letters): a bound for texts that are too short for a run.
 LETTERS_A_BYTE = 5
 
 
 class SuffixAutomaton:
-    """All substrings of a set of texts (arrays of code points), with the texts that hold them."""
+    """All substrings of a set of texts (arrays of code points); those of at least ``least`` letters with the texts that hold them."""
 
-    def __init__(self, texts: dict[int, np.ndarray]) -> None:
+    def __init__(self, texts: dict[int, np.ndarray], least: int = 1) -> None:
         self.next: list[dict[int, int]] = [{}]
         self.link, self.len = [-1], [0]
         ends: list[set[int]] = [set()]
@@ -33,12 +35,17 @@ class SuffixAutomaton:
                 while len(ends) < len(self.len):
                     ends.append(set())
                 ends[last].add(item)
-        # The texts of a state are those of all states below it in the tree of links.
-        for v in sorted(range(1, len(self.len)), key=self.len.__getitem__, reverse=True):
-            ends[self.link[v]] |= ends[v]
-        ends[0] = set()
+        # The texts of a state are those of all states below it in the tree of links. Longest first, so that a state is complete when it is
+        # looked at; what is shorter than a run keeps no texts, however many share it.
         known: dict[tuple[int, ...], tuple[int, ...]] = {}
-        self.items = [known.setdefault(t, t) for t in (tuple(sorted(e)) for e in ends)]
+        self.items: list[tuple[int, ...]] = [()] * len(self.len)
+        for v in sorted(range(1, len(self.len)), key=self.len.__getitem__, reverse=True):
+            if self.len[v] >= least:
+                t = tuple(sorted(ends[v]))
+                self.items[v] = known.setdefault(t, t)
+                if self.len[self.link[v]] >= least:
+                    ends[self.link[v]] |= ends[v]
+            ends[v] = set()
 
     def _extend(self, last: int, c: int) -> int:
         nxt, link, length = self.next, self.link, self.len
@@ -96,7 +103,7 @@ class SuffixAutomaton:
 
 
 class Leaks:
-    """Test items ready for the stream: automata, and a filter that finds where a long run can be at all.
+    """Test items ready for the stream: their automaton, and a filter that finds where a long run can be at all.
 
     A run of ``least`` letters covers some block of g = (least + 1) // 2 letters that begins at a multiple of g
     in the document. So a document none of whose blocks is a substring of an item holds no such run, and
@@ -104,22 +111,13 @@ class Leaks:
     only let a document through in vain.
     """
 
-    def __init__(self, items: dict[int, np.ndarray], least: int, shard_letters: int = SHARD_LETTERS) -> None:
+    def __init__(self, items: dict[int, np.ndarray], least: int) -> None:
         self.least, self.g = least, (least + 1) // 2
         rng = np.random.default_rng(20240)
         self.mul = rng.integers(1, 1 << 63, self.g, dtype=np.uint64) | np.uint64(1)
-        shards: list[dict[int, np.ndarray]] = [{}]
-        size = 0
-        grams = [np.empty(0, np.uint64)]
-        for i, a in sorted(items.items()):
-            if size and size + len(a) > shard_letters:
-                shards.append({})
-                size = 0
-            if len(a) >= least:
-                shards[-1][i] = a
-                size += len(a)
-                grams.append(self._hash(np.lib.stride_tricks.sliding_window_view(a, self.g)))
-        self.automata = [SuffixAutomaton(s) for s in shards if s]
+        long = {i: a for i, a in sorted(items.items()) if len(a) >= least}
+        self.automaton = SuffixAutomaton(long, least) if long else None
+        grams = [np.empty(0, np.uint64)] + [self._hash(np.lib.stride_tricks.sliding_window_view(a, self.g)) for a in long.values()]
         self.grams = np.unique(np.concatenate(grams))
         # A bitmap by the top 22 bits lets most blocks go without a search.
         self.bitmap = np.zeros(1 << 22, dtype=bool)
@@ -154,34 +152,62 @@ class Leaks:
         runs: dict[int, int] = {}
         spans: list[tuple[int, int]] = []
         for lo, hi in self.windows(a):
-            part = a[lo:hi].tolist()
-            for m in self.automata:
-                for e, n, v in m.matches(part, self.least):
-                    spans.append((lo + e - n, lo + e))
-                    for run, items in m.holders(v, n, self.least):
-                        for i in items:
-                            if runs.get(i, 0) < run:
-                                runs[i] = run
-        spans.sort()
-        merged: list[tuple[int, int]] = []
-        for s, e in spans:
-            if merged and s <= merged[-1][1]:
-                merged[-1] = (merged[-1][0], max(e, merged[-1][1]))
-            else:
-                merged.append((s, e))
-        return runs, merged
-
-
-def _broadcast(spark: SparkSession, items: DataFrame, id_col: str, text_col: str, least: int, shard_letters: int):  # noqa: ANN202
-    """The automata of the test items. Test sets are small by nature; their size is what is broadcast, whatever the corpus."""
-    rows = items.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).where(F.col(f"`{id_col}`").isNotNull()).toLocalIterator()
-    texts: dict[int, list[np.ndarray]] = {}
-    for i, t in rows:
-        if t:
-            texts.setdefault(i, []).append(letters(t)[0])
-    # An item given twice with other texts holds the runs of both; a separator that is no letter keeps them apart.
-    joined = {i: np.concatenate([x for p in ps for x in (p, np.zeros(1, np.uint32))][:-1]) for i, ps in texts.items()}
-    return spark.sparkContext.broadcast(Leaks(joined, least, shard_letters))
+            for e, n, v in self.automaton.matches(a[lo:hi].tolist(), self.least):
+                spans.append((lo + e - n, lo + e))
+                for run, items in self.automaton.holders(v, n, self.least):
+                    for i in items:
+                        if runs.get(i, 0) < run:
+                            runs[i] = run
+        return runs, merged(spans)
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Stretches that touch or overlap as one, in order."""
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(spans):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
+def _shards(spark: SparkSession, items: DataFrame, id_col: str, text_col: str, least: int, shard_letters: int):  # noqa: ANN202
+    """One broadcast of Leaks a shard of at most ``shard_letters`` letters, but for an item that has more by itself; without items one of none.
+
+    The items stream to the driver by id, a partition at a time, and a shard is built and handed over before the next one begins: what
+    the driver and a worker hold is one shard, whatever the number of items.
+    """
+    rows = items.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t")).where(F.col("i").isNotNull() & (F.col("t") != "")).distinct().orderBy("i", "t")
+    out, shard, size = [], {}, 0
+    gap = np.zeros(1, np.uint32)  # no letter: keeps the texts of an item that is given several apart
+    now, texts = None, []
+
+    def close() -> None:
+        nonlocal shard, size
+        if shard or not out:
+            out.append(spark.sparkContext.broadcast(Leaks(shard, least)))
+        shard, size = {}, 0
+
+    def add() -> None:
+        nonlocal size
+        n = sum(map(len, texts))
+        if size and size + n > shard_letters:
+            close()
+        shard[now] = np.concatenate([x for p in texts for x in (p, gap)][:-1])
+        size += n
+
+    for i, t in rows.toLocalIterator():
+        if i != now and texts:
+            add()
+            texts = []
+        now = i
+        texts.append(letters(t)[0])
+    if texts:
+        add()
+    if shard or not out:
+        close()
+    return out
 
 
 def leaked_items(
@@ -201,23 +227,27 @@ def leaked_items(
 
     Defined results: null and empty texts and items shorter than ``least`` letters match nothing; null ids of items are left out, null ids of documents are
     reported like others; repeated rows give repeated rows, items listed twice count once; empty tables give no rows.
-    No shuffle: the items are broadcast, each document is read once, whole.
+    No shuffle: the items are broadcast, a shard of bounded size at a time, and each document is read once a shard, whole.
     """
-    leaks = _broadcast(docs.sparkSession, items, item_id, item_text, least, shard_letters)
+    shards = _shards(docs.sparkSession, items, item_id, item_text, least, shard_letters)
     cols = docs.select(F.col(f"`{doc_id}`").alias("d"), F.col(f"`{text_col}`").cast("string").alias("t")).where(F.octet_length("t") * LETTERS_A_BYTE >= least)
     d_type, i_type = cols.schema["d"].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = leaks.value.find
-        for b in batches:
-            ids, found = b.column(0), []
-            for k, x in enumerate(b.column(1)):
-                found += [(k, i, n) for i, n in find(letters(x.as_py())[0])[0].items()]
-            at, it, n = zip(*found) if found else ((), (), ())
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int64())), pa.array(it, i_arrow), pa.array(n, pa.int32())], names=[doc_id, item_id, "longest_run"])
-
     i_arrow = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}[i_type]
-    return cols.mapInArrow(run, f"`{doc_id}` {d_type}, `{item_id}` {i_type}, longest_run int")
+
+    def through(leaks):  # noqa: ANN001, ANN202
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            find = leaks.value.find
+            for b in batches:
+                ids, found = b.column(0), []
+                for k, x in enumerate(b.column(1)):
+                    found += [(k, i, n) for i, n in find(letters(x.as_py())[0])[0].items()]
+                at, it, n = zip(*found) if found else ((), (), ())
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int64())), pa.array(it, i_arrow), pa.array(n, pa.int32())], names=[doc_id, item_id, "longest_run"])
+
+        return cols.mapInArrow(run, f"`{doc_id}` {d_type}, `{item_id}` {i_type}, longest_run int")
+
+    return reduce(DataFrame.unionByName, map(through, shards))
 
 
 def decontaminate(
@@ -229,6 +259,7 @@ def decontaminate(
     text_col: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
+    shard_letters: int = SHARD_LETTERS,
 ) -> DataFrame:
     """What becomes of the documents that hold runs of test items: id, letters, covered, action, spans, text.
 
@@ -236,27 +267,44 @@ def decontaminate(
     document's letters the whole document goes (action 'drop', null text), else text is what is left (action 'trim').
     Documents without such runs are not listed. The same defined results as ``leaked_items``.
     """
-    leaks = _broadcast(docs.sparkSession, items, item_id, item_text, least, SHARD_LETTERS)
+    shards = _shards(docs.sparkSession, items, item_id, item_text, least, shard_letters)
     cols = docs.select(F.col(f"`{doc_id}`").alias("d"), F.col(f"`{text_col}`").cast("string").alias("t")).where(F.octet_length("t") * LETTERS_A_BYTE >= least)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kind = cols.schema["d"].dataType.simpleString()
+    out = f"`{doc_id}` {kind}, letters int, covered int, action string, spans array<struct<start:int,end:int>>, text string"
+
+    def row(d, text: str, found: list[tuple[int, int]], a: np.ndarray, places: np.ndarray) -> tuple:  # noqa: ANN001
+        covered = sum(e - s for s, e in found)
+        drop = covered > max_coverage * len(a)
+        cuts = [(int(places[s]), int(places[e - 1]) + 1) for s, e in found]
+        kept, at = [], 0
+        for s, e in cuts:
+            kept.append(text[at:s])
+            at = e
+        kept.append(text[at:])
+        return d, len(a), covered, "drop" if drop else "trim", [{"start": s, "end": e} for s, e in cuts], None if drop else "".join(kept)
+
+    def removed(batches: Iterator[pd.DataFrame], spans: Callable) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for d, text in zip(pdf["d"], pdf["t"]):
-                a, places = letters(text)
-                spans = leaks.value.find(a)[1]
-                if not spans:
-                    continue
-                covered = sum(e - s for s, e in spans)
-                drop = covered > max_coverage * len(a)
-                cuts = [(int(places[s]), int(places[e - 1]) + 1) for s, e in spans]
-                kept, at = [], 0
-                for s, e in cuts:
-                    kept.append(text[at:s])
-                    at = e
-                kept.append(text[at:])
-                out.append((d, len(a), covered, "drop" if drop else "trim", [{"start": s, "end": e} for s, e in cuts], None if drop else "".join(kept)))
-            yield pd.DataFrame(out, columns=[doc_id, "letters", "covered", "action", "spans", "text"])
+            rows = []
+            for r in pdf.itertuples(index=False):
+                a, places = letters(r.t)
+                if found := spans(r, a):
+                    rows.append(row(r.d, r.t, found, a, places))
+            yield pd.DataFrame(rows, columns=[doc_id, "letters", "covered", "action", "spans", "text"])
 
-    kind = cols.schema["d"].dataType.simpleString()
-    return cols.mapInPandas(run, f"`{doc_id}` {kind}, letters int, covered int, action string, spans array<struct<start:int,end:int>>, text string")
+    if len(shards) == 1:
+        return cols.mapInPandas(lambda it: removed(it, lambda r, a: shards[0].value.find(a)[1]), out)
+
+    # Several shards: each pass gives the spans of its own items, those of a document are put together before they are cut out.
+    rows = cut(cols.withColumn("n", F.monotonically_increasing_id()))
+
+    def spans_of(leaks):  # noqa: ANN001, ANN202
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                got = [(n, [{"s": s, "e": e} for s, e in leaks.value.find(letters(t)[0])[1]]) for n, t in zip(pdf["n"], pdf["t"])]
+                yield pd.DataFrame([x for x in got if x[1]], columns=["n", "spans"])
+
+        return rows.select("n", "t").mapInPandas(run, "n long, spans array<struct<s:int,e:int>>")
+
+    found = reduce(DataFrame.unionByName, map(spans_of, shards)).groupBy("n").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return rows.join(found.hint("merge"), "n").select("d", "t", "spans").mapInPandas(lambda it: removed(it, lambda r, a: merged([(x["s"], x["e"]) for x in r.spans])), out)

@@ -40,7 +40,7 @@ def test_automaton_longest_matches():
     for _ in range(60):
         texts = {i: np.array([rng.randint(1, 3) for _ in range(rng.randint(1, 25))], np.uint32) for i in range(4)}
         doc = [rng.randint(1, 3) for _ in range(40)]
-        m = SuffixAutomaton(texts)
+        m, from_four = SuffixAutomaton(texts), SuffixAutomaton(texts, 4)
         has = lambda s: {i for i, t in texts.items() if any(t[k : k + len(s)].tolist() == s for k in range(len(t)))}
         got = {e: (n, v) for e, n, v in m.matches(doc, 1)}
         for e in range(1, len(doc) + 1):
@@ -49,13 +49,14 @@ def test_automaton_longest_matches():
             if n:
                 for run, items in m.holders(got[e][1], n, 1):
                     assert set(items) == has(doc[e - run : e])
+                if n >= 4:
+                    assert list(from_four.holders(got[e][1], n, 4)) == list(m.holders(got[e][1], n, 4))
 
 
-@pytest.mark.parametrize("shard", [1_000_000, 50])
-def test_leaks_equal_brute_force(shard):
+def test_leaks_equal_brute_force():
     rng = random.Random(3)
     items = {i: np.array([rng.randint(97, 100) for _ in range(rng.randint(5, 60))], np.uint32) for i in range(12)}
-    leaks = Leaks(items, 9, shard)
+    leaks = Leaks(items, 9)
     for _ in range(200):
         d = np.array([rng.randint(97, 100) for _ in range(rng.randint(0, 80))], np.uint32)
         if len(d) > 20 and rng.random() < 0.7:
@@ -79,6 +80,10 @@ def test_leaked_items_and_removal(spark):
     left = {r.doc_id: r for r in decontaminate(docs(spark, [(1, "前文。" * 30 + item[:40] + "！后文"), (2, item), (3, "x")]), items).collect()}
     assert left[1].action == "trim" and left[1].text == "前文。" * 30 + "！后文" and left[1].covered == 40
     assert left[2].action == "drop" and left[2].text is None and set(left) == {1, 2}
+    # A pass over the documents for each of several shards gives the same.
+    assert sorted(map(repr, leaked_items(docs(spark, texts), items, shard_letters=45).collect())) == sorted(map(repr, leaked_items(docs(spark, texts), items).collect()))
+    whole, parts = (decontaminate(docs(spark, texts), items, shard_letters=n).collect() for n in (1_000_000, 45))
+    assert len(whole) == 4 and sorted(map(repr, whole)) == sorted(map(repr, parts))
     assert not leaked_items(docs(spark, []), items).collect()
     assert not leaked_items(docs(spark, texts), items.where("false")).collect()
 
