@@ -209,6 +209,51 @@ def test_varied_subset_beats_chance(spark):
     assert len(got) > 1.3 * chance
 
 
+def test_features_have_dimensions_of_their_own(spark, monkeypatch):
+    """More features than any fixed number of dimensions, and more picks: all rows independent of one another are chosen before any other."""
+    import reelframe.llm.varied_subset as V
+
+    monkeypatch.setattr(V, "LEAF_ROWS", 4000)
+    rows = [(i, [f"own{i}", "all"]) for i in range(6000)] + [(10_000 + i, [f"own{i}", f"own{i + 1}"]) for i in range(0, 5000)]
+    df = spark.createDataFrame(rows, "id long, emotion array<string>")
+    got = varied_subset(df, 200, "id", ["emotion"]).orderBy("pick").collect()
+    by = dict(rows)
+    seen = [{t for r in got[: k + 1] for t in by[r.id]} for k in range(200)]
+    assert all(len(b) > len(a) for a, b in zip(seen, seen[1:])) and len({r.id for r in got}) == 200
+
+
+def test_tournament_against_the_whole(spark, monkeypatch):
+    """Pivoting all rows at once gives what plain Gram-Schmidt does, the tournament of one leaf the same, and that of many picks that add nearly as much."""
+    import numpy as np
+    import pandas as pd
+
+    import reelframe.llm.varied_subset as V
+
+    rng = random.Random(12)
+    rows = [(i, sorted({f"t{min(int(rng.expovariate(0.08)), 90)}" for _ in range(4)})) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, emotion array<string>")
+    n = Counter(t for _, ts in rows for t in ts)
+    names = {t: i for i, t in enumerate(n)}
+    sets = sorted({tuple(ts) for _, ts in rows})
+    pdf = pd.DataFrame({"id": range(len(sets)), "idx": [[names[t] for t in ts] for ts in sets], "val": [[np.log1p(n[t]) ** 0.5 for t in ts] for ts in sets]})
+    dense = np.zeros((len(sets), len(names)))
+    for r, (i, v) in enumerate(zip(pdf["idx"], pdf["val"])):
+        dense[r, i] = v
+
+    greedy, _, residuals = V.pivoted_rows(pdf, V.Basis.empty(), 24)
+    left = dense.copy()
+    for i in greedy:  # against plain Gram-Schmidt with pivoting
+        norms = (left**2).sum(axis=1)
+        assert norms[i] > norms.max() - 1e-6
+        d = left[i] / np.sqrt(norms[i])
+        left -= np.outer(left @ d, d)
+    one = [r.residual for r in varied_subset(df, 24, "id", ["emotion"]).orderBy("pick").collect()]
+    assert np.allclose(one, residuals)
+    monkeypatch.setattr(V, "LEAF_ROWS", 200)
+    many = [r.residual for r in varied_subset(df, 24, "id", ["emotion"]).orderBy("pick").collect()]
+    assert all(b > 0.95 * a for a, b in zip(residuals, many)) and np.log(many).sum() > np.log(residuals).sum() - 0.5
+
+
 def test_tournament_is_the_same_for_any_number_of_leaves(spark, monkeypatch):
     import reelframe.llm.varied_subset as V
 
