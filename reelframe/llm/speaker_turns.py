@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -12,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reelframe.functions.text import NOT_HAN
 from reelframe.session import cut
 
 # Fixed values of the transcripts: time stamps, markers of a label, sound annotations, hesitations.
@@ -26,9 +28,9 @@ _STAMP = re.compile(
     r")[ \t]*"
 )
 _LEAD = re.compile(r"\s*(?:>>|-+|—+)?\s*")
-_BRACKETED = re.compile(r"(?:【([^】]{1,40})】|\[([^\]]{1,40})\]|<([^>]{1,40})>)\s*[:：]?")
-_SIDE = r"(?:\s*[（(][^）)]{0,20}[）)]|\s*(?:V\.?O\.?|O\.?S\.?)(?![A-Za-z]))*"
-_COLON = re.compile(rf"([^：:，。！？…,.!?（(\[【<>♪*\n]{{1,24}}?){_SIDE}\s*[：:]")
+_BRACKETED = re.compile(r"(?:【([^】]+)】|\[([^\]]+)\]|<([^>]+)>)\s*[:：]?")
+_SIDE = r"(?:\s*[（(][^）)]*[）)]|\s*(?:V\.?O\.?|O\.?S\.?)(?![A-Za-z]))*"
+_COLON = re.compile(rf"([^：:，。！？…,.!?（(\[【<>♪*\n]+?){_SIDE}\s*[：:]")
 _ANNOTATION = re.compile(r"\(\([^)]*\)\)|（[^）]*）|\([^)]*\)|【[^】]*】|\[[^\]]*\]|<[^>]*>|\*[^*]*\*|♪+[^♪]*♪+|♪+")
 _HESITATION = ("就是说", "那个", "嗯", "呃", "额", "诶", "啊这", "um", "uh", "erm", "hmm")
 _HES = "|".join(_HESITATION)
@@ -41,11 +43,14 @@ _INNER = re.compile(rf"(?<={_JOINT[:-1]}])(?:{_HES})(?={_JOINT}|$){_JOINT}*", re
 FEATURES = (
     "label names the speaker", "label is close to the speaker", "label names another", "no label at the start", "label inside names the speaker",
     "label inside names another", "short pause before", "long pause before", "unknown pause before", "text goes on", "further line", "log lines",
+    "no words at the start", "no words in a further line",
 )
-#: A section of a recording in seconds that one call decodes.
-SECTION_S = 3600
-#: Recordings that the model is fitted on at most; the rest of the data takes no part in the fit.
-TRAIN_RECORDINGS = 64
+#: A section of a recording in seconds, and in lines, that is decoded as one.
+SECTION_S, SECTION_LINES = 3600, 512
+#: Lines that the model is fitted on at most, in pieces of so many lines; the rest of the data takes no part in the fit.
+TRAIN_LINES, TRAIN_PIECE = 1024, 24
+#: Letters of an episode's code that name its series.
+SERIES_LETTERS = 7
 
 
 def plain_name(s: str | None) -> str:
@@ -135,7 +140,7 @@ def parse_chunk(text: str | None, items: list | None, offset: float | None, cast
             time, pending = pending, None
         s = s[_LEAD.match(s).end() :]
         head = s
-        for _ in range(4):  # an annotation may stand before the label
+        while True:  # annotations may stand before the label
             if m := _BRACKETED.match(head):
                 if who := cast.resolve(re.sub(_SIDE + r"$", "", next(g for g in m.groups() if g))):
                     break
@@ -148,8 +153,6 @@ def parse_chunk(text: str | None, items: list | None, offset: float | None, cast
                 continue
             m = who = None
             break
-        else:
-            m = who = None
         line = Line("", *(who or ((), False)), time, time is not None)
         body = _ANNOTATION.sub("", head[m.end() :] if m else s)
         line.spoken = bool(_letters(body))
@@ -214,10 +217,9 @@ def _goes_on(a: Line | None, b: Line) -> float:
 
 
 def _features(lines: list[Line], speakers: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, inside): features of each line as the first of a turn, and as a further line, for each speaker; the last
-    speaker is the one who spoke before the section."""
+    """(start, inside): features of each line as the first of a turn, and as a further line, for each speaker."""
     t, f = len(lines), len(FEATURES)
-    start, inside = np.zeros((t, speakers + 1, f)), np.zeros((t, speakers + 1, f))
+    start, inside = np.zeros((t, speakers, f)), np.zeros((t, speakers, f))
     for i, k in enumerate(lines):
         before = lines[i - 1] if i else None
         if k.label:
@@ -231,6 +233,7 @@ def _features(lines: list[Line], speakers: int) -> tuple[np.ndarray, np.ndarray]
         start[i, :, 6:9] = _pause(before, k)
         start[i, :, 9] = _goes_on(before, k)
         inside[i, :, 10] = 1
+        start[i, :, 12] = inside[i, :, 13] = not k.words
     return start, inside
 
 
@@ -238,124 +241,162 @@ def _features(lines: list[Line], speakers: int) -> tuple[np.ndarray, np.ndarray]
 _NEVER = -1e9
 
 
+def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
+    top = x.max(axis=axis, keepdims=True)
+    return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
+
+
 class TurnModel:
     """A semi-Markov conditional model of turns: p(turns | lines) with a weight for each feature.
 
     The score of a turn (first line, last line, speaker) is the weighted sum of the features of its label, the
-    pause before it, its lexical continuity, its further lines and its length; neighbouring turns have different speakers.
+    pause before it, its lexical continuity, its further lines, lines without words and its length; neighbouring turns have different speakers.
     """
 
     def __init__(self, weights: np.ndarray | None = None) -> None:
-        self.w = np.zeros(len(FEATURES)) if weights is None else weights
+        self.w = np.zeros(len(FEATURES)) if weights is None else np.asarray(weights, float)
+
+    def to_json(self) -> str:
+        return json.dumps(dict(zip(FEATURES, self.w.tolist())), ensure_ascii=False)
 
-    def _scores(self, lines: list[Line], speakers: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        start, inside = _features(lines, speakers)
-        a, b = start @ self.w, inside @ self.w
-        a[1:, speakers] = _NEVER
-        a[:1, speakers] = 0.0  # who spoke before goes on without a start
+    @staticmethod
+    def from_json(s: str) -> TurnModel:
+        return TurnModel(np.array([json.loads(s)[f] for f in FEATURES]))
+
+    def _scores(self, lines: list[Line], a: np.ndarray, b: np.ndarray, speakers: int) -> None:
+        """Fill in the scores of each line as the first of a turn (a) and as a further one (b); column ``speakers`` is who spoke before the section."""
+        w, none = self.w, speakers
+        before = None
         for i, k in enumerate(lines):
+            first = float(_pause(before, k) @ w[6:9]) + w[9] * _goes_on(before, k) + (0.0 if k.words else w[12])
+            more = w[10] + (0.0 if k.words else w[13])
             if k.label:
-                b[i, speakers] = _NEVER  # a label ends the carried turn
-        if lines and lines[0].label:
-            a[0, speakers] = _NEVER
-        return a, np.concatenate((np.zeros((1, speakers + 1)), np.cumsum(b, axis=0))), self.w[11] * np.log1p(np.arange(len(lines) + 1))
+                a[i, :none], b[i, :none] = first + w[2], more + w[5]
+                for s in k.label:
+                    a[i, s], b[i, s] = first + w[0 if k.exact else 1], more + w[4]
+                b[i, none] = _NEVER  # a label ends the carried turn
+            else:
+                a[i, :none], b[i, : none + 1] = first + w[3], more
+            a[i, none] = _NEVER
+            before = k
+        if lines and not lines[0].label:
+            a[0, none] = 0.0  # who spoke before goes on without a start
 
     def decode(self, lines: list[Line], speakers: int) -> list[tuple[int, int, int]]:
         """The best turns: (first line, line after the last, speaker); speaker = ``speakers`` for whoever spoke before."""
-        t = len(lines)
-        if not t:
-            return []
-        a, c, length = self._scores(lines, speakers)
-        best = np.full((t + 1, speakers + 1), -np.inf)  # of turns that end before line e, by the last speaker
-        back = np.zeros((t + 1, speakers + 1), int)
-        enter = np.zeros((t, speakers + 1))  # the best before line i whose speaker differs
-        who = np.zeros((t + 1, speakers + 1), int)
-        enter[0] = 0.0
+        return self.decode_many([(lines, speakers)])[0]
+
+    def decode_many(self, sections: list[tuple[list[Line], int]]) -> list[list[tuple[int, int, int]]]:
+        """``decode`` for several sections at once; sections of about the same length go together."""
+        out: list[list[tuple[int, int, int]]] = [[] for _ in sections]
+        order = sorted((i for i, (x, _) in enumerate(sections) if x), key=lambda i: len(sections[i][0]))
+        while order:
+            least = len(sections[order[0]][0])
+            n = next((k for k, i in enumerate(order) if len(sections[i][0]) > 1.3 * least + 8), len(order))
+            for i, turns in zip(order[:n], self._decode_padded([sections[i] for i in order[:n]])):
+                out[i] = turns
+            order = order[n:]
+        return out
+
+    def _decode_padded(self, sections: list[tuple[list[Line], int]]) -> list[list[tuple[int, int, int]]]:
+        p, t, n = len(sections), max(len(x) for x, _ in sections), max(k for _, k in sections) + 1
+        a, b = np.full((p, t, n), _NEVER), np.zeros((p, t, n))
+        for i, (lines, speakers) in enumerate(sections):
+            self._scores(lines, a[i, : len(lines), : speakers + 1], b[i, : len(lines), : speakers + 1], speakers)
+        c = np.concatenate((np.zeros((p, 1, n)), np.cumsum(b, axis=1)), axis=1)
+        length = self.w[11] * np.log1p(np.arange(t + 1))
+        # head: the best way up to line i and a turn that begins there, but for what follows in the turn.
+        head = np.full((p, t, n), _NEVER)
+        head[:, 0] = a[:, 0] - c[:, 1]
+        best = np.full((p, t + 1, n), -np.inf)  # of turns that end before line e, by the last speaker
+        back, who = np.zeros((p, t + 1, n), np.int32), np.zeros((p, t + 1, n), np.int16)
+        rows = np.arange(p)
         for e in range(1, t + 1):
-            # Every turn that ends here, from each first line i: start score, further lines, length.
-            seg = enter[:e] + a[:e] + (c[e] - c[1 : e + 1]) + length[e - np.arange(e)][:, None]
-            back[e] = seg.argmax(axis=0)
-            best[e] = seg[back[e], np.arange(speakers + 1)]
+            seg = head[:, :e] + length[e - np.arange(e)][None, :, None]
+            back[:, e] = seg.argmax(axis=1)
+            best[:, e] = np.take_along_axis(seg, back[:, e][:, None].astype(np.int64), axis=1)[:, 0] + c[:, e]
             if e < t:
-                order = np.argsort(-best[e], kind="stable")
-                who[e] = order[0]
-                enter[e] = best[e, order[0]]
-                if speakers:
-                    enter[e, order[0]], who[e, order[0]] = best[e, order[1]], order[1]
-        turns, e, s = [], t, int(best[t].argmax())
-        while e > 0:
-            i = int(back[e, s])
-            turns.append((i, e, s))
-            e, s = i, int(who[i, s])
-        return turns[::-1]
+                first = best[:, e].argmax(axis=1)
+                others = best[:, e].copy()
+                top = others[rows, first]
+                others[rows, first] = -np.inf
+                second = others.argmax(axis=1) if n > 1 else first
+                enter = np.repeat(top[:, None], n, axis=1)
+                who[:, e] = first[:, None]
+                enter[rows, first] = others[rows, second] if n > 1 else _NEVER
+                who[rows, e, first] = second
+                head[:, e] = enter + a[:, e] - c[:, e + 1]
+        got = []
+        for i, (lines, _) in enumerate(sections):
+            e = len(lines)
+            s, turns = int(best[i, e].argmax()), []
+            while e > 0:
+                lo = int(back[i, e, s])
+                turns.append((lo, e, s))
+                e, s = lo, int(who[i, lo, s])
+            got.append(turns[::-1])
+        return got
 
     def fit(self, sample: list[tuple[list[Line], int, list[int]]], rounds: int = 60, rate: float = 0.5, penalty: float = 1e-3) -> TurnModel:
-        """Maximum conditional likelihood by gradient steps (Adam) over (lines, speakers, speaker of each line)."""
-        data = [x for x in sample if x[0]]
+        """Maximum conditional likelihood by gradient steps (Adam) over (lines, speakers, speaker of each line or -1 where it is not known).
+
+        The gradient is the difference of the expected features with the known speakers held and without.
+        """
+        data = [x for x in sample if x[0] and x[1] and any(y >= 0 for y in x[2])]
+        if not data:
+            return self
+        p, t, n = len(data), max(len(x[0]) for x in data), max(x[1] for x in data)
+        start, inside = np.zeros((2, p, t, n, len(FEATURES)))
+        blocked = np.zeros((2, p, t, n), bool)
+        for i, (lines, k, gold) in enumerate(data):
+            start[i, : len(lines), :k], inside[i, : len(lines), :k] = _features(lines, k)
+            blocked[:, i, :, k:] = True
+            for j, y in enumerate(gold):
+                if y >= 0:
+                    blocked[1, i, j] = True
+                    blocked[1, i, j, y] = False
+        sizes = np.array([len(x[0]) for x in data])
         m = v = np.zeros_like(self.w)
-        feats = [(*_features(lines, n), n, y) for lines, n, y in data]
         for step in range(1, rounds + 1):
-            grad = -penalty * self.w
-            for start, inside, n, y in feats:
-                grad = grad + (self._gold(start, inside, y) - self._expected(start, inside, n)) / len(feats)
+            grad = (self.expected(start, inside, sizes, blocked[1]) - self.expected(start, inside, sizes, blocked[0])) / p - penalty * self.w
             m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
             self.w = self.w + rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         return self
 
-    @staticmethod
-    def _gold(start: np.ndarray, inside: np.ndarray, y: list[int]) -> np.ndarray:
-        g, run = np.zeros(start.shape[2]), 0
-        for i, s in enumerate(y):
-            new = i == 0 or y[i - 1] != s
-            if new and run:
-                g[11] += np.log1p(run)
-            run = 1 if new else run + 1
-            g += start[i, s] if new else inside[i, s]
-        g[11] += np.log1p(run)
-        return g
+    def expected(self, start: np.ndarray, inside: np.ndarray, sizes: np.ndarray, blocked: np.ndarray) -> np.ndarray:
+        """Expected features of the turns under the model, summed over pieces, by forward and backward sums over turns.
 
-    def _expected(self, start: np.ndarray, inside: np.ndarray, n: int) -> np.ndarray:
-        """Expected features of the turns under the model, by forward and backward sums over turns."""
-        t = len(start)
-        start, inside = start[:, :n], inside[:, :n]
-        a, b = start @ self.w, inside @ self.w
-        c = np.concatenate((np.zeros((1, n)), np.cumsum(b, axis=0)))
+        start, inside: (pieces, lines, speakers, features), padded; sizes: lines of each piece; blocked: (pieces, lines, speakers), what a line cannot be.
+        """
+        p, t, n = blocked.shape
+        never = np.where(blocked, _NEVER, 0.0)
+        a, b = start @ self.w + never, inside @ self.w + never
+        c = np.concatenate((np.zeros((p, 1, n)), np.cumsum(b, axis=1)), axis=1)
         logs = np.log1p(np.arange(t + 1))
-
-        def others(x: np.ndarray) -> np.ndarray:  # log of the sum over the other speakers
-            if n == 1:
-                return np.full(1, -np.inf)
-            top = x.max()
-            p = np.exp(x - top)
-            return top + np.log(np.maximum(p.sum() - p, 1e-300))
-
-        def total(x: np.ndarray, axis: int) -> np.ndarray:
-            top = x.max(axis=axis, keepdims=True)
-            top = np.where(np.isfinite(top), top, 0.0)
-            return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True) + 1e-300)).squeeze(axis)
-
-        fwd, enter = np.full((t + 1, n), -np.inf), np.zeros((t + 1, n))
-        segs = []
-        for e in range(1, t + 1):
-            seg = a[:e] + (c[e] - c[1 : e + 1]) + self.w[11] * logs[e - np.arange(e)][:, None]
-            segs.append(seg)
-            fwd[e] = total(enter[:e] + seg, 0)
-            enter[e] = others(fwd[e])
-        z = total(fwd[t], 0)
-        bwd = np.full((t + 1, n), -np.inf)
-        bwd[t] = 0.0
-        for i in range(t - 1, 0, -1):  # bwd[i]: of what follows a turn that ends before line i
-            follow = total(np.array([segs[e - 1][i] + bwd[e] for e in range(i + 1, t + 1)]), 0)
-            bwd[i] = others(follow)
-        g = np.zeros(len(FEATURES))
-        begins, goes = np.zeros((t, n)), np.zeros((t, n))
-        for e in range(1, t + 1):
-            p = np.exp(np.minimum(enter[:e] + segs[e - 1] + bwd[e] - z, 0.0))
-            begins[:e] += p
-            run = np.cumsum(p, axis=0)
-            goes[1:e] += run[: e - 1]
-            g[11] += (p.sum(axis=1) * logs[e - np.arange(e)]).sum()
-        return g + np.einsum("ts,tsf->f", begins, start) + np.einsum("ts,tsf->f", goes, inside)
+        i, e = np.arange(t)[:, None], np.arange(t + 1)[None, :]
+        span = np.where(e > i, logs[np.maximum(e - i, 0)], 0.0)
+        # seg[i, e]: a turn of lines i to e - 1.
+        seg = (a - c[:, 1:])[:, :, None] + c[:, None] + (self.w[11] * span)[None, :, :, None] + np.where(e > i, 0.0, _NEVER)[None, :, :, None]
+        apart = np.where(np.eye(n, dtype=bool), _NEVER, 0.0)
+        fwd, enter = np.full((p, t + 1, n), _NEVER), np.full((p, t + 1, n), _NEVER)
+        enter[:, 0] = 0.0
+        for k in range(1, t + 1):
+            fwd[:, k] = _log_sum(enter[:, :k] + seg[:, :k, k], 1)
+            enter[:, k] = _log_sum(fwd[:, k, :, None] + apart, 1)
+        rows = np.arange(p)
+        z = _log_sum(fwd[rows, sizes], 1)
+        bwd = np.full((p, t + 1, n), _NEVER)
+        bwd[rows, sizes] = 0.0
+        for k in range(t - 1, 0, -1):  # bwd[k]: of what follows a turn that ends before line k
+            follow = _log_sum(_log_sum(seg[:, k, k + 1 :] + bwd[:, k + 1 :], 1)[:, :, None] + apart, 1)
+            bwd[:, k] = np.where((k < sizes)[:, None], follow, bwd[:, k])
+        prob = np.exp(np.minimum(enter[:, :t, None] + seg + bwd[:, None] - z[:, None, None, None], 0.0))
+        prob *= (e > i)[None, :, :, None] & (e[None] <= sizes[:, None, None])[..., None]
+        later = np.cumsum(prob[:, :, ::-1], axis=2)[:, :, ::-1]  # turns from i that end at e or later
+        goes = (later[:, :, 1:] * (i < np.arange(t)[None, :])[None, :, :, None]).sum(axis=1)
+        g = np.einsum("pts,ptsf->f", prob.sum(axis=2), start) + np.einsum("pts,ptsf->f", goes, inside)
+        g[11] += (prob.sum(axis=(0, 3)) * span).sum()
+        return g
 
 
 def _name(c: str):  # noqa: ANN202
@@ -369,141 +410,184 @@ def _cast_table(aliases: DataFrame) -> DataFrame:
     return listed.distinct().groupBy("series").agg(F.array_sort(F.collect_list(F.struct("alias", "speaker"))).alias("cast"))
 
 
-def _lines_of(orig: int, chunk: int, episode: str, offset, text, items, cast) -> list[tuple]:  # noqa: ANN001
-    c = Cast([(x["alias"], x["speaker"]) for x in cast] if cast is not None else [])
-    out = []
-    for n, k in enumerate(parse_chunk(text, items, offset, c)):
-        out.append((orig, chunk, n, round(k.time * 1000), [c.speakers[i] for i in k.label], k.exact, k.text, k.spoken, episode))
-    return out
+_LINE = "orig_index int, chunk_index int, line_no int, t_ms long, label array<string>, exact boolean, text string, spoken boolean, nth int, episode string"
 
 
-_LINE = "orig_index int, chunk_index int, line_no int, t_ms long, label array<string>, exact boolean, text string, spoken boolean, episode string"
+def transcript_lines(chunks: DataFrame, aliases: DataFrame, series_letters: int = SERIES_LETTERS) -> DataFrame:
+    """The lines of all recordings' chunks, each chunk in its latest version; what overlapping chunks share comes once a chunk.
 
-
-def transcript_lines(chunks: DataFrame, aliases: DataFrame) -> DataFrame:
-    """The lines of all recordings, once each: chunks delivered twice and lines of overlapping chunks are taken once."""
+    nth numbers equal lines of one time within a chunk, so that the k-th of one chunk is the k-th of its neighbour, and all of them stay.
+    """
     rows = chunks.where("orig_index IS NOT NULL").select(
         "orig_index", "chunk_index", F.struct("episode", "offset_sec", "text", "items").alias("v"), F.struct("loaded_at", F.xxhash64("text", "offset_sec")).alias("o")
     )
     rows = rows.groupBy("orig_index", "chunk_index").agg(F.max_by("v", "o").alias("v")).select("orig_index", "chunk_index", "v.*")
-    rows = rows.join(_cast_table(aliases), F.substring("episode", 1, 7) == F.col("series"), "left")
+    rows = rows.join(_cast_table(aliases), F.left("episode", F.lit(series_letters)) == F.col("series"), "left")
 
     def parse(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        casts: dict[tuple, Cast] = {}
         for pdf in it:
             out: list[tuple] = []
             for r in pdf.itertuples(index=False):
+                names = tuple((x["alias"], x["speaker"]) for x in r.cast) if r.cast is not None else ()
+                if names not in casts:
+                    casts = {names: Cast(list(names))}  # rows of a series mostly follow each other
+                cast = casts[names]
                 items = None if r.items is None else list(r.items)
                 offset = None if r.offset_sec != r.offset_sec else r.offset_sec
-                out += _lines_of(r.orig_index, 0 if r.chunk_index != r.chunk_index else r.chunk_index, r.episode, offset, r.text, items, r.cast)
+                chunk, seen = 0 if r.chunk_index != r.chunk_index else r.chunk_index, {}
+                for no, k in enumerate(parse_chunk(r.text, items, offset, cast)):
+                    key = (round(k.time * 1000), k.label, k.exact, k.text, k.spoken)
+                    seen[key] = nth = seen.get(key, 0) + 1
+                    out.append((r.orig_index, chunk, no, key[0], [cast.speakers[i] for i in k.label], k.exact, k.text, k.spoken, nth, r.episode))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _LINE.split(", ")])
 
-    lines = rows.select("orig_index", "chunk_index", "episode", "offset_sec", "text", "items", "cast").mapInPandas(parse, _LINE)
-    first = F.struct("chunk_index", "line_no")
-    return lines.groupBy("orig_index", "t_ms", "label", "exact", "text", "spoken").agg(F.min(first).alias("at"), F.min("episode").alias("episode")).select(
-        "orig_index", "t_ms", "at.*", "label", "exact", "text", "spoken", "episode"
-    )
+    return rows.select("orig_index", "chunk_index", "episode", "offset_sec", "text", "items", "cast").mapInPandas(parse, _LINE)
+
 
+#: What makes lines of two chunks the same line.
+_SAME = ["t_ms", "label", "exact", "text", "spoken", "nth"]
 
-def _as_lines(pdf: pd.DataFrame) -> tuple[list[Line], list[str]]:
-    names = sorted({s for x in pdf["label"] for s in x})
+
+def _as_lines(t_ms: list, labels: list, exact: list, text: list, spoken: list, more: set[str] = frozenset()) -> tuple[list[Line], list[str]]:
+    """(lines, names): names are the speakers that the labels name, and ``more``."""
+    names = sorted({s for x in labels for s in x} | more)
     at = {s: i for i, s in enumerate(names)}
-    lines = [
-        Line(text, tuple(at[s] for s in label), bool(exact), t / 1000, True, bool(spoken), _letters(text))
-        for t, label, exact, text, spoken in zip(pdf["t_ms"], pdf["label"], pdf["exact"], pdf["text"], pdf["spoken"])
-    ]
-    return lines, names
-
-
-def fit_turn_model(lines: DataFrame, script: DataFrame, recordings: int = TRAIN_RECORDINGS) -> TurnModel:
-    """Fit the model on at most ``recordings`` recordings (those of the least hash) whose lines the screenplay names a speaker for."""
-    ids = lines.groupBy("orig_index").agg(F.min("episode").alias("e")).orderBy(F.xxhash64("orig_index"), "orig_index").limit(recordings).collect()
-    sample = lines.where(F.col("orig_index").isin([r[0] for r in ids])).toPandas()  # bounded by the number of recordings
-    said = script.where(F.col("episode").isin([r[1] for r in ids])).select("episode", "line", _name("speaker").alias("speaker")).where("speaker <> ''")
-    truth: dict[tuple[str, str], set[str]] = {}
-    for e, line, who in said.collect():
-        truth.setdefault((e, line), set()).add(who)
-    data = []
-    for _, pdf in sample.groupby("orig_index"):
-        pdf = pdf.sort_values(["t_ms", "chunk_index", "line_no"], ignore_index=True)
-        lines_, names = _as_lines(pdf)
-        gold, now = [], None
-        for k, e in zip(lines_, pdf["episode"]):
-            who = truth.get((e, "".join(c for c in k.words if "㐀" <= c <= "鿿")), set()) & set(names)
-            if len(who) == 1 and (not k.label or names.index(min(who)) in k.label):
-                now = names.index(min(who))
-            elif k.label and (k.exact or now not in k.label):
-                now = k.label[0]
-            gold.append(now)
-        if names and gold and gold[0] is not None:
-            data.append((lines_, len(names), gold))
-    return TurnModel().fit(data) if data else TurnModel(np.array(DEFAULT_WEIGHTS))
+    return [Line(x, tuple(at[s] for s in l), bool(e), t / 1000, True, bool(z), _letters(x)) for t, l, e, x, z in zip(t_ms, labels, exact, text, spoken)], names
+
+
+def training_pieces(lines: DataFrame, script: DataFrame, most: int = TRAIN_LINES, piece: int = TRAIN_PIECE) -> list[tuple[list[Line], int, list[int]]]:
+    """(lines, speakers, speaker of each line or -1) from at most ``most`` lines: those of the recordings of the least hash, in order.
+
+    The speaker of a line is known where the screenplay of its episode has its words and gives them to one speaker; labels tell nothing here. A piece begins
+    at a line with a label.
+    """
+    sample = lines.orderBy(F.xxhash64("orig_index"), "orig_index", "t_ms", "chunk_index", "line_no").limit(most)
+    words = F.regexp_replace("text", NOT_HAN, "")
+    said = script.select(F.col("episode").alias("e"), F.col("line").alias("l"), _name("speaker").alias("s")).where("s <> ''")
+    known = said.groupBy("e", "l").agg(F.min("s").alias("gold"), F.max("s").alias("other")).where("gold = other").drop("other")
+    rows = sample.join(known, (F.col("episode") == F.col("e")) & (words == F.col("l")), "left").drop("e", "l").toPandas()
+    rows["label"] = rows["label"].map(tuple)
+    rows = rows.sort_values(["orig_index", "t_ms", "chunk_index", "line_no"]).drop_duplicates(["orig_index", *_SAME])
+    out = []
+    for _, g in rows.groupby("orig_index"):
+        at = [i for i, x in enumerate(g["label"]) if len(x)]
+        while at:
+            lo = at[0]
+            k = g.iloc[lo : lo + piece]
+            gold = [x if isinstance(x, str) else None for x in k["gold"]]
+            got, names = _as_lines(*[k[c].tolist() for c in _SAME[:5]], {x for x in gold if x})
+            out.append((got, len(names), [names.index(x) if x else -1 for x in gold]))
+            at = [i for i in at if i >= lo + piece]
+    return out
+
+
+def fit_turn_model(lines: DataFrame, script: DataFrame, most: int = TRAIN_LINES) -> TurnModel:
+    """Fit the model to the screenplays of a sample of at most ``most`` lines; where it has none, the model of DEFAULT_WEIGHTS."""
+    pieces = [x for x in training_pieces(lines, script, most) if any(y >= 0 for y in x[2])]
+    return TurnModel().fit(pieces) if pieces else TurnModel(np.array(DEFAULT_WEIGHTS))
 
 
 #: Weights where there is nothing to fit on (empty tables, no screenplay): a label counts, a turn without one goes on.
-DEFAULT_WEIGHTS = (6.0, 4.0, -8.0, -8.0, 2.0, -8.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0)
+DEFAULT_WEIGHTS = (6.0, 4.0, -8.0, -8.0, 2.0, -8.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0)
 
 
-def speaker_turns(chunks: DataFrame, aliases: DataFrame, script: DataFrame, model: TurnModel | None = None, section_s: int = SECTION_S) -> DataFrame:
+def speaker_turns(
+    chunks: DataFrame, aliases: DataFrame, script: DataFrame | None = None, model: TurnModel | None = None, section_s: int = SECTION_S, section_lines: int = SECTION_LINES,
+    series_letters: int = SERIES_LETTERS,
+) -> DataFrame:
     """Clean turns in order of time: orig_index, start_ms, speaker, text, lines.
 
     Lines are stripped of stamps, labels, hesitations and sound annotations; label variants (spacing, width, case, numbers, side
-    marks, one wrong character) are resolved against the cast of the series. A semi-Markov conditional model,
-    fitted to the screenplays of a bounded sample of recordings, chooses the best sequence of whole turns. Lines of
-    which nothing is left make no turn and end none; neighbouring turns of one speaker are one.
+    marks, one wrong character) are resolved against the cast of the series. A semi-Markov conditional model chooses the best sequence of whole turns:
+    ``model``, or one that is fitted to the screenplays of a bounded sample of lines. Lines of
+    which nothing is left are scored like others, and left out when a turn is put together: they make no turn and end none; neighbouring turns of one speaker are one.
 
-    Recordings are decoded in sections of ``section_s`` seconds; whoever spoke last before a section is carried into it, and
+    Recordings are decoded in sections of ``section_s`` seconds and at most ``section_lines`` lines, which stream through a task in order; whoever spoke last before a section is carried into it, and
     turns are joined across its border, so a recording of any length is no hot task.
 
     Defined results: null orig_index does not count; null chunk_index is 0; null or empty text and items give no
-    lines; a chunk delivered again counts in its latest version; lines before the first label of a recording have a null
+    lines; a chunk delivered again counts in its latest version; of equal lines of one time the k-th of one chunk and the k-th of another are one line, those of one chunk all
+    count; lines before the first label of a recording have a null
     speaker; a recording without a cast has one turn of null speaker; a line without a time of its own has the time of the line before it (else the
     next one's, else the start of its chunk); empty tables give no rows. Columns besides the tables' own are ignored.
     """
-    lines = cut(transcript_lines(chunks, aliases))
-    model = model or fit_turn_model(lines, script)
+    lines = transcript_lines(chunks, aliases, series_letters)
+    if model is None:
+        lines = cut(lines)
+        model = fit_turn_model(lines, script) if script is not None else TurnModel(np.array(DEFAULT_WEIGHTS))
     weights = model.w
+    names_out = ["orig_index", "section", "seq", "start_ms", "speaker", "text", "lines", "last", "first", "second", "final", "turns"]
 
-    def decode(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["t_ms", "chunk_index", "line_no"], ignore_index=True)
-        rows, names = _as_lines(pdf)
-        out: list[list] = []
+    def turns_of(key: tuple, rows: tuple, names: list[str], got: list[tuple[int, int, int]]) -> list[tuple]:
+        turns: list[list] = []
         last = None
-        for lo, hi, s in TurnModel(weights).decode(rows, len(names)):
+        for lo, hi, s in got:
             who = names[s] if s < len(names) else None
             last = who or last
             left = [k for k in rows[lo:hi] if k.text]
             if not left:
                 continue
-            text = "\n".join(k.text for k in left)
-            if out and out[-1][1] == who:
-                out[-1][2] += "\n" + text
-                out[-1][3] += len(left)
+            if turns and turns[-1][1] == who:
+                turns[-1][2] += left
             else:
-                out.append([round(left[0].time * 1000), who, text, len(left), False])
-        out.append([None, last, None, 0, True])
-        got = pd.DataFrame(out, columns=["start_ms", "speaker", "text", "lines", "end"])
-        got["start_ms"] = got["start_ms"].astype("Int64")
-        return got.assign(orig_index=pdf["orig_index"].iloc[0], section=pdf["section"].iloc[0], seq=range(len(got)))
-
-    ddl = "orig_index int, section long, seq int, start_ms long, speaker string, text string, lines int, end boolean"
-    sections = lines.withColumn("section", F.floor(F.col("t_ms") / (1000 * section_s)))
-    parts = cut(sections.groupBy("orig_index", "section").applyInPandas(decode, ddl))
+                turns.append([round(left[0].time * 1000), who, left])
+        out = [(*key, i, at, who, "\n".join(k.text for k in left), len(left), None, None, None, None, None) for i, (at, who, left) in enumerate(turns)]
+        # One more row a section: who spoke last, the speakers of its first two turns and its last one, its number of turns.
+        spoke = [x[1] for x in turns]
+        return [*out, (*key, -1, None, None, None, None, last, *(spoke + [None] * 2)[:2], spoke[-1] if spoke else None, len(turns))]
+
+    def decode(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = TurnModel(weights)
+        sections: list[tuple[tuple, list[Line], list[str]]] = []
+        key, rows, part = None, [], 0
+
+        def close() -> None:
+            if rows:
+                sections.append(((key[0], key[1] * (1 << 24) + part), *_as_lines(*zip(*rows))))
+
+        def done() -> pd.DataFrame:
+            got = m.decode_many([(x, len(names)) for _, x, names in sections])
+            out = [r for (k, x, names), turns in zip(sections, got) for r in turns_of(k, x, names, turns)]
+            sections.clear()
+            pdf = pd.DataFrame(out, columns=names_out)
+            return pdf.astype({"start_ms": "Int64", "lines": "Int32", "turns": "Int32"})
 
+        for pdf in it:
+            for o, h, *row in zip(*[pdf[c].tolist() for c in ("orig_index", "hour", "t_ms", "label", "exact", "text", "spoken")]):
+                if (o, h) != key:
+                    close()
+                    key, rows, part = (o, h), [], 0
+                elif len(rows) >= section_lines:
+                    close()
+                    rows, part = [], part + 1
+                rows.append(row)
+            if sum(len(x) for _, x, _ in sections) >= 8192:
+                yield done()
+        close()
+        yield done()
+
+    ddl = "orig_index int, section long, seq int, start_ms long, speaker string, text string, lines int, last string, first string, second string, final string, turns int"
+    hours = lines.withColumn("hour", F.floor(F.col("t_ms") / (1000 * section_s))).repartition("orig_index", "hour")
+    once = hours.groupBy("orig_index", "hour", *_SAME).agg(F.min(F.struct("chunk_index", "line_no")).alias("at")).sortWithinPartitions("orig_index", "hour", "t_ms", "at")
+    parts = cut(once.select("orig_index", "hour", "t_ms", "label", "exact", "text", "spoken").mapInPandas(decode, ddl))
+
+    # Sections in order: whom a turn without a name of its own goes to, and whether the first turn goes on with the one before it.
     before = Window.partitionBy("orig_index").orderBy("section").rowsBetween(Window.unboundedPreceding, -1)
-    carried = parts.where("end").select("orig_index", "section", F.last("speaker", ignorenulls=True).over(before).alias("carried"))
-    turns = parts.where("NOT end").join(carried.hint("merge"), ["orig_index", "section"]).withColumn("speaker", F.coalesce("speaker", "carried")).drop("carried", "end")
-    # Of each section the last speaker who left words, carried on in the same way, tells whether its first turn is new.
-    inner = Window.partitionBy("orig_index", "section").orderBy("seq")
-    who = F.struct("speaker")
-    turns = turns.withColumn("prev", F.lag(who).over(inner))
-    ends = turns.groupBy("orig_index", "section").agg(F.max_by(who, "seq").alias("final"))
-    ends = ends.withColumn("prior", F.last("final", ignorenulls=True).over(before)).drop("final")
-    turns = turns.join(ends.hint("merge"), ["orig_index", "section"]).withColumn("prev", F.coalesce("prev", "prior"))
-    new = F.col("prev").isNull() | ~F.col("prev.speaker").eqNullSafe(F.col("speaker"))
-    turns = turns.withColumn("head", F.when(new, F.struct("section", "seq")))
-    turns = turns.withColumn("own", F.last("head", ignorenulls=True).over(inner.rowsBetween(Window.unboundedPreceding, 0)))
-    heads = turns.groupBy("orig_index", "section").agg(F.max("head").alias("h")).withColumn("from", F.last("h", ignorenulls=True).over(before)).drop("h")
-    turns = turns.join(heads.hint("merge"), ["orig_index", "section"]).withColumn("own", F.coalesce("own", "from"))
+    ends = parts.where("seq = -1").withColumn("carried", F.last("last", ignorenulls=True).over(before))
+    some, here = F.col("turns") > 0, lambda n: F.struct(F.col("section").alias("section"), F.lit(n).cast("int").alias("seq") if isinstance(n, int) else n.alias("seq"))
+    ends = ends.withColumn("prior", F.last(F.when(some, F.struct(F.coalesce("final", "carried").alias("x"))), ignorenulls=True).over(before))
+    goes_on = some & F.col("prior").isNotNull() & F.col("prior.x").eqNullSafe(F.coalesce("first", "carried"))
+    # The second turn is the first one's, where that turns out to be of the same speaker.
+    same = (F.col("turns") > 1) & F.col("first").isNull() & F.col("second").eqNullSafe(F.col("carried"))
+    ends = ends.withColumn("goes_on", goes_on).withColumn("same", same)
+    first_only = F.col("turns") == F.when(F.col("same"), 2).otherwise(1)
+    ends = ends.withColumn("head", F.when(some & ~first_only, here(F.col("turns") - 1)).when(first_only & ~F.col("goes_on"), here(0)))
+    ends = ends.withColumn("own", F.when(F.col("goes_on"), F.last("head", ignorenulls=True).over(before)).otherwise(here(0)))
+    turns = parts.where("seq >= 0").select("orig_index", "section", "seq", "start_ms", "speaker", "text", "lines")
+    turns = turns.join(ends.select("orig_index", "section", "carried", "own", "same").hint("merge"), ["orig_index", "section"])
+    begins = (F.col("seq") == 0) | ((F.col("seq") == 1) & F.col("same"))
+    turns = turns.withColumn("speaker", F.coalesce("speaker", "carried")).withColumn("own", F.when(begins, F.col("own")).otherwise(F.struct("section", "seq")))
     piece = F.struct("section", "seq", "start_ms", "text", "lines")
     whole = turns.groupBy("orig_index", "own").agg(F.any_value("speaker").alias("speaker"), F.array_sort(F.collect_list(piece)).alias("p"))
     return whole.select(
