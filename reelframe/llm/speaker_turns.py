@@ -48,7 +48,7 @@ FEATURES = (
 #: A section of a recording in seconds, and in lines, that is decoded as one.
 SECTION_S, SECTION_LINES = 3600, 512
 #: Lines that the model is fitted on at most, in pieces of so many lines; the rest of the data takes no part in the fit.
-TRAIN_LINES, TRAIN_PIECE = 1024, 24
+TRAIN_LINES, TRAIN_PIECE = 1024, 16
 #: Letters of an episode's code that name its series.
 SERIES_LETTERS = 7
 
@@ -337,7 +337,7 @@ class TurnModel:
             got.append(turns[::-1])
         return got
 
-    def fit(self, sample: list[tuple[list[Line], int, list[int]]], rounds: int = 60, rate: float = 0.5, penalty: float = 1e-3) -> TurnModel:
+    def fit(self, sample: list[tuple[list[Line], int, list[int]]], rounds: int = 40, rate: float = 0.5, penalty: float = 1e-3) -> TurnModel:
         """Maximum conditional likelihood by gradient steps (Adam) over (lines, speakers, speaker of each line or -1 where it is not known).
 
         The gradient is the difference of the expected features with the known speakers held and without.
