@@ -117,3 +117,26 @@ def nearest_sides(df: DataFrame, keys: list[str], order: list[str], value: str,
     return df.withColumn("before", F.last(v, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))).withColumn(
         "after", F.first(v, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
     )
+
+
+def timed_cues(cues: DataFrame) -> DataFrame:
+    """Cues that last; a duration of 0 or less, or an unknown one, goes."""
+    return cues.where(F.col("end_time") - F.col("start_time") > 0)
+
+
+def target_stem(stems: Column | str, index: Column | str | None) -> Column:
+    """Of an array of stems the target only, as an array of one (``index`` from 1); all where no target is set."""
+    i = F.lit(None).cast("int") if index is None else _c(index)
+    return F.when(i.isNull(), _c(stems)).otherwise(F.slice(_c(stems), F.coalesce(i, F.lit(1)), 1))
+
+
+def music_url(script_json: Column | str) -> Column:
+    """The first address of an mp3 in the field aliyun_url of a script JSON (an object or a list of them); null if there is none or it is broken."""
+    one = "struct<aliyun_url:string>"
+    items = F.coalesce(F.from_json(_c(script_json), f"array<{one}>"), F.array(F.from_json(_c(script_json), one)))
+    return F.get(F.filter(F.transform(items, lambda x: x["aliyun_url"]), lambda u: F.endswith(F.lower(u), F.lit(".mp3"))), 0)
+
+
+def audio_record(rate_a: Column | str, rate_b: Column | str, rate: Column | str) -> Column:
+    """The sampling rate of an audio given as (rate, data), (data, rate) or a record with the field sampling_rate: the first that is there; null for another shape."""
+    return F.coalesce(_c(rate), _c(rate_a), _c(rate_b)).cast("int")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -122,6 +124,27 @@ def gained(x: Column, gain: float) -> Column:
     return F.transform(x, lambda v: v * gain)
 
 
+def channels_flipped(channels: Column) -> Column:
+    """An array of channels with the channels turned."""
+    return F.reverse(channels)
+
+
+def time_reversed(channels: Column) -> Column:
+    """An array of channels, each played backwards."""
+    return F.transform(channels, F.reverse)
+
+
+def mean_brightness(r: Column, g: Column, b: Column) -> Column:
+    """The mean grey value of pixels (arrays of 0 to 255): each pixel's 0.299 r + 0.587 g + 0.114 b, rounded; null for none."""
+    grey = F.zip_with(F.zip_with(r, g, lambda x, y: x * 0.299 + y * 0.587), b, lambda x, y: F.floor(x + y * 0.114 + 0.5))
+    return mean(grey)
+
+
+def weighted_loss(terms: dict[str, float], reference: Column, estimate: Column) -> Column:
+    """The sum of the chosen terms (names of METRICS) by their coefficients."""
+    return reduce(Column.__add__, [metric(name, reference, estimate) * w for name, w in terms.items()])
+
+
 def volume_for(mean_db: Column | str, target_db: float = -34.0, least: float = 0.05, most: float = 0.40, unknown: float = 0.20) -> Column:
     """The linear volume that brings a mean loudness to the target."""
     v = F.pow(F.lit(10.0), (F.lit(target_db) - _c(mean_db)) / 20.0)

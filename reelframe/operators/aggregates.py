@@ -163,3 +163,31 @@ def mixup(chunks: DataFrame, p: float, seed: int) -> DataFrame:
     other = F.lead("values").over(w)
     take = (F.rand(seed) < p) & other.isNotNull()
     return chunks.withColumn("_o", other).withColumn("values", F.when(take, F.zip_with("values", "_o", lambda a, b: (a + b) / 2)).otherwise(F.col("values"))).drop("_o")
+
+
+def epoch_loss(steps: DataFrame, keys: list[str], loss: str) -> DataFrame:
+    """Keys, loss: the sum over steps by their number, whatever the workers that they ran on; null losses count as no step."""
+    return steps.groupBy(*keys).agg(F.avg(loss).alias("loss"), F.count(loss).alias("steps"))
+
+
+def found_and_skipped(listed: DataFrame, lengths: DataFrame, keys: list[str], path: str, length: str) -> DataFrame:
+    """Keys, listed, found, skipped: of the tracks listed, those whose length is known; a path without one (or null) is skipped."""
+    rows = listed.select(*keys, path).join(lengths.groupBy(path).agg(F.max(length).alias("_n")), path, "left")
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("listed"), F.count("_n").alias("found"), F.count_if(F.col("_n").isNull()).alias("skipped"))
+
+
+def target_instruments(config: DataFrame, keys: list[str], instruments: str, target: str) -> DataFrame:
+    """P20: keys, instrument, index: the target instrument where one is set (null or empty: none is), else all of the list, with their place in the list (null if it is not in it)."""
+    chosen = F.when(F.coalesce(target, F.lit("")) != "", F.array(F.col(target))).otherwise(F.col(instruments))
+    rows = config.select(*keys, F.col(instruments).alias("_all"), F.explode(chosen).alias("instrument"))
+    return rows.select(*keys, "instrument", F.nullif(F.array_position("_all", F.col("instrument")), F.lit(0)).cast("int").alias("index"))
+
+
+def aligned_draws(levels: DataFrame, keys: list[str], attempt: str, level: str, least: float, attempts: int = 10) -> DataFrame:
+    """P9 (aligned): the draw that is kept of an entity: the first of ``attempts`` (from 0) in which no stem is quieter than ``least``, else the last one made.
+
+    ``levels``: a row a stem and draw with its mean absolute value; null is quiet. Output: keys, attempt, quiet (stems of that draw).
+    """
+    draws = levels.where(F.col(attempt) < attempts).groupBy(*keys, attempt).agg(F.count_if(~F.coalesce(F.col(level) >= least, F.lit(False))).alias("quiet"))
+    best = F.min_by(F.struct(attempt, "quiet"), F.when(F.col("quiet") == 0, F.struct(F.lit(0).alias("k"), F.col(attempt).cast("long").alias("a"))).otherwise(F.struct(F.lit(1).alias("k"), (-F.col(attempt).cast("long")).alias("a"))))
+    return draws.groupBy(*keys).agg(best.alias("_b")).select(*keys, "_b.*")

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelframe.functions.text import han
+from reelframe.operators.ranks import bucketed, null_safe_join
+from reelframe.operators.sequence import Script, best_line
+
+
+#: Times beyond this many seconds count as this, as far as buckets are concerned.
+_FAR = 1e12
+#: Seconds of a bucket in which points and intervals of an entity are looked at in order.
+BUCKET_S = 600.0
 
 
 def point_in_intervals(
@@ -15,26 +22,37 @@ def point_in_intervals(
 ) -> DataFrame:
     """Points joined with the intervals of the same entity that contain them (both ends included).
 
-    Intervals are spread over buckets of ``width`` seconds and meet the points of their buckets in an equi-join on (entity,
-    bucket): no nested loop, and a hot entity is as many keys as it has buckets. A point lies in one bucket, so that no pair comes twice.
+    An interval of up to ``width`` seconds lies in one or two buckets of that width, one of up to four times as much in one or two of a fourfold width, and so on: a
+    wrong end time makes no more rows than any other. Points look into their bucket of each width in use (a handful), in an equi-join on (entity,
+    width, bucket): no nested loop, and a hot entity is as many keys as it has buckets. An interval has one width and a point one bucket in it, so that no pair comes twice.
     Columns: those of the points, and the interval as struct ``interval``. Null times meet nothing.
     """
-    p = points.withColumn("_at", at).withColumn("_b", F.floor(F.col("_at") / width))
+    near = lambda c: F.least(F.greatest(c, F.lit(-_FAR)), F.lit(_FAR))
+    wide = lambda level: F.lit(width) * F.pow(F.lit(4.0), level)
     iv = intervals.select(*keys, F.struct(*intervals.columns).alias("interval"), start.alias("_s"), end.alias("_e")).where(F.col("_e") >= F.col("_s"))
-    iv = iv.withColumn("_b", F.explode(F.sequence(F.floor(F.col("_s") / width), F.floor(F.col("_e") / width))))
-    return p.join(iv, [*keys, "_b"]).where(F.col("_at").between(F.col("_s"), F.col("_e"))).drop("_at", "_b", "_s", "_e")
+    span = F.greatest(near(F.col("_e")) - near(F.col("_s")), F.lit(width))
+    iv = iv.withColumn("_level", F.ceil(F.log(4.0, span / width) - 1e-9).cast("int"))
+    bucket = lambda c: F.floor(near(c) / wide(F.col("_level")))
+    levels = iv.agg(F.collect_set("_level").alias("_levels")).withColumn("_one", F.lit(1))  # one row of a few numbers
+    iv = iv.withColumn("_b", F.explode(F.sequence(bucket(F.col("_s")), bucket(F.col("_e")))))
+    p = points.withColumn("_at", at).where("_at IS NOT NULL").withColumn("_one", F.lit(1)).join(F.broadcast(levels), "_one").withColumn("_level", F.explode("_levels")).drop("_one", "_levels")
+    p = p.withColumn("_b", bucket(F.col("_at")))
+    return p.join(iv, [*keys, "_level", "_b"]).where(F.col("_at").between(F.col("_s"), F.col("_e"))).drop("_at", "_b", "_level", "_s", "_e")
+
 
+def not_covered(points: DataFrame, intervals: DataFrame, keys: list[str], at: Column, start: Column, end: Column, width: float = BUCKET_S) -> DataFrame:
+    """Points that lie in no interval of their entity; points without a time stay. Rows are kept as they are, repeats too.
 
-def not_covered(points: DataFrame, intervals: DataFrame, keys: list[str], at: Column, start: Column, end: Column, width: float = 10.0) -> DataFrame:
-    """Points that lie in no interval of their entity; points without a time stay. Rows are kept as they are, repeats too."""
-    p = points.withColumn("_at", at).withColumn("_b", F.floor(F.col("_at") / width))
-    iv = intervals.select(*keys, start.alias("_s"), end.alias("_e")).where(F.col("_e") >= F.col("_s"))
-    iv = iv.withColumn("_b", F.explode(F.sequence(F.floor(F.col("_s") / width), F.floor(F.col("_e") / width))))
-    cond = [p[k].eqNullSafe(iv[k]) for k in keys] + [p["_b"] == iv["_b"], p["_at"].between(iv["_s"], iv["_e"])]
-    on = cond[0]
-    for c in cond[1:]:
-        on = on & c
-    return p.join(iv, on, "left_anti").drop("_at", "_b")
+    A point is covered if the greatest end of the intervals that start no later lies no earlier: a running maximum over points and starts in order, taken in buckets of
+    ``width`` seconds. An interval is one row, however long it is.
+    """
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in points.schema if f.name not in keys]
+    p = points.withColumn("_t", at.cast("double")).withColumn("_e", F.lit(None).cast("double")).withColumn("_side", F.lit(1))
+    iv = intervals.select(*keys, start.cast("double").alias("_t"), end.cast("double").alias("_e")).where("_e >= _t")
+    iv = iv.select(*keys, *nulls, "_t", "_e", F.lit(0).alias("_side")).select(p.columns)
+    bucket = F.floor(F.least(F.greatest(F.col("_t"), F.lit(-_FAR)), F.lit(_FAR)) / width)
+    rows = bucketed(p.unionByName(iv), keys, ["_t", "_side"], "_e", "_reach", bucket, "max")
+    return rows.where("_side = 1 AND NOT coalesce(_reach >= _t, false)").select(points.columns)
 
 
 def hard_subtitles(cues: DataFrame, hard: DataFrame, lines: DataFrame, keys: list[str], cue_id: list[str], width: float = 10.0) -> DataFrame:
@@ -81,30 +99,42 @@ def split_long_cues(cues: DataFrame, words: DataFrame, keys: list[str], cue_ord:
     return rows.select(*others, F.explode(parts).alias("_p")).select(*others, "_p.*")
 
 
-def nearest(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, left_at: str, right_id: str, right_at: str) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, left_at: str, right_id: str, right_at: str, width: float | None = None) -> DataFrame:
     """J5, J1 (one side): for each left row the nearest right row in time of its entity; ties go to the earlier, then to the lesser id.
 
-    Both sides are merged into one order and looked at forward and backward (an as-of join either way), which costs a sort instead of a product.
+    Both sides are merged into one order and looked at forward and backward (an as-of join either way), which costs a sort instead of a product. With ``width``, in
+    buckets of so much time, so that a hot entity is spread.
     Output: keys, left_id, left_at, right_id, right_at, distance; null where the entity has no right row.
     """
     a = left.select(*keys, F.col(left_at).alias("_t"), F.lit(1).alias("_side"), F.col(left_id).alias("_l"), F.lit(None).cast(right.schema[right_id].dataType).alias("_r"))
     b = right.where(F.col(right_at).isNotNull()).select(*keys, F.col(right_at).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(left.schema[left_id].dataType).alias("_l"), F.col(right_id).alias("_r"))
     rows = a.unionByName(b).withColumn("_x", F.when(F.col("_side") == 0, F.struct(F.col("_t").alias("t"), F.col("_r").alias("r"))))
-    order = [F.col("_t"), F.col("_side"), F.desc("_r"), F.col("_l")]
-    fwd = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_b", F.floor(F.col("_t") / width) if width else F.lit(0).cast("long"))
+    inner = Window.partitionBy(*keys, "_b")
+    before = inner.orderBy("_t", "_side", F.desc("_r"), "_l").rowsBetween(Window.unboundedPreceding, 0)
     # Behind: the least id among those of the next time; sides are turned so that equal times count once, before.
-    back = Window.partitionBy(*keys).orderBy(F.desc("_t"), F.col("_side"), F.desc("_r"), F.col("_l")).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_p", F.last("_x", ignorenulls=True).over(fwd)).withColumn("_q", F.last("_x", ignorenulls=True).over(back)).where("_side = 1")
+    behind = inner.orderBy(F.desc("_t"), "_side", F.desc("_r"), "_l").rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.withColumn("_p", F.last("_x", ignorenulls=True).over(before)).withColumn("_q", F.last("_x", ignorenulls=True).over(behind)).where("_side = 1")
+    if width:
+        # Of each bucket its last and its first time, with the least id of each; a bucket without any passes on what it was given.
+        right_only = lambda t: F.when(F.col("_side") == 0, F.struct(t.alias("t"), F.col("_r").alias("r")))
+        ends = rows.groupBy(*keys, "_b").agg(F.min_by("_x", right_only(-F.col("_t"))).alias("_last"), F.min_by("_x", right_only(F.col("_t"))).alias("_first"))
+        over = Window.partitionBy(*keys).orderBy("_b")
+        ends = ends.withColumn("_bp", F.last("_last", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)))
+        ends = ends.withColumn("_bq", F.first("_first", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing))).select(*keys, "_b", "_bp", "_bq")
+        local = null_safe_join(local, ends, [*keys, "_b"]).withColumn("_p", F.coalesce("_p", "_bp")).withColumn("_q", F.coalesce("_q", "_bq"))
+    rows = local
     dp, dq = F.col("_t") - F.col("_p.t"), F.col("_q.t") - F.col("_t")
     best = F.when(F.col("_p").isNull() | (dq < dp), F.col("_q")).otherwise(F.col("_p"))
     return rows.select(*keys, F.col("_l").alias(left_id), F.col("_t").alias(left_at), best["r"].alias(right_id), best["t"].alias(right_at), F.abs(F.col("_t") - best["t"]).alias("distance"))
 
 
-def near_groups(groups: DataFrame, cues: DataFrame, keys: list[str], most: float = 8.0) -> DataFrame:
+def near_groups(groups: DataFrame, cues: DataFrame, keys: list[str], most: float = 8.0, width: float = BUCKET_S) -> DataFrame:
     """Groups at most ``most`` seconds from a cue: the least of |cue end - group start| and |group end - cue start|."""
     g = groups.withColumn("_id", F.struct("start_time", "end_time"))
-    a = nearest(g.select(*keys, "_id", F.col("start_time").alias("_a")), cues.withColumn("_c", F.struct("start_time", "end_time")), keys, "_id", "_a", "_c", "end_time")
-    b = nearest(g.select(*keys, "_id", F.col("end_time").alias("_a")), cues.withColumn("_c", F.struct("start_time", "end_time")), keys, "_id", "_a", "_c", "start_time")
+    c = cues.withColumn("_c", F.struct("start_time", "end_time"))
+    a = nearest(g.select(*keys, "_id", F.col("start_time").alias("_a")), c, keys, "_id", "_a", "_c", "end_time", width)
+    b = nearest(g.select(*keys, "_id", F.col("end_time").alias("_a")), c, keys, "_id", "_a", "_c", "start_time", width)
     d = a.select(*keys, "_id", "distance").unionByName(b.select(*keys, "_id", "distance")).groupBy(*keys, "_id").agg(F.min("distance").alias("nearest_gap"))
     return g.join(d, [*keys, "_id"]).where(F.col("nearest_gap") <= most).drop("_id")
 
@@ -132,74 +162,32 @@ def assign_junctions(scenes: DataFrame, junctions: DataFrame, keys: list[str], d
     return cand.groupBy(*keys).applyInPandas(choose, ddl)
 
 
-def lcs_many(text: str, lines: list[np.ndarray]) -> list[int]:
-    """LCS lengths of a text with each line, bit-parallel: one machine step a character for lines of up to any length."""
-    out = []
-    for line in lines:
-        masks: dict[int, int] = {}
-        for i, c in enumerate(line):
-            masks[c] = masks.get(c, 0) | (1 << i)
-        full = (1 << len(line)) - 1
-        v = full
-        for c in map(ord, text):
-            m = masks.get(c, 0)
-            u = v & m
-            v = ((v + u) | (v - u)) & full
-        out.append(len(line) - v.bit_count())
-    return out
-
-
-def best_lines(cues: DataFrame, lines: DataFrame, keys: list[str], cue_id: str, line_ord: str, blocks: int = 16) -> DataFrame:
+#: Cues that one task compares with a script, about.
+BLOCK_CUES = 1024
+
+
+def best_lines(cues: DataFrame, lines: DataFrame, keys: list[str], cue_id: str, line_ord: str, block_cues: int = BLOCK_CUES) -> DataFrame:
     """Keys, cue_id, match_li, match_score: the line of the entity's script with the greatest LCS ratio to the cue's Han characters, the first of equals.
 
-    Cues shorter than two characters, and entities without lines, give (-1, 0). Cues are dealt over ``blocks`` per entity, and the script of the entity goes to each block
-    once, so a hot entity is many tasks. Candidates are pruned by an upper bound: common characters, counted with repeats, over the greater length.
+    Cues shorter than two characters, and entities without lines, give (-1, 0). Cues are dealt over as many blocks of about ``block_cues`` as their entity needs, and the
+    script of the entity goes to each block once, so a hot entity is many tasks. A text is compared with all lines of the script at once, and once however often it is said.
     """
-    c = cues.select(*keys, cue_id, han(F.coalesce("text", F.lit(""))).alias("_h")).withColumn("_block", F.pmod(F.xxhash64(cue_id), F.lit(blocks)))
-    s = lines.select(*keys, line_ord, han(F.coalesce("line", F.lit(""))).alias("_l")).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    c = cues.select(*keys, cue_id, han(F.coalesce("text", F.lit(""))).alias("_h"))
+    blocks = c.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block_cues).alias("_n"))
+    # Equal texts meet in a block.
+    c = null_safe_join(c, blocks, keys).withColumn("_block", F.pmod(F.xxhash64("_h"), F.col("_n"))).drop("_n")
+    s = lines.select(*keys, line_ord, han(F.coalesce("line", F.lit(""))).alias("_l")).join(blocks, keys)
+    s = s.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1))).drop("_n")
 
     def match(cue: pd.DataFrame, script: pd.DataFrame) -> pd.DataFrame:
-        script = script.sort_values(line_ord, kind="stable")
-        texts = [x for x in script["_l"]]
-        codes = [[ord(x) for x in t] for t in texts]
-        seen: dict[str, tuple[int, float]] = {}
-        post: dict[int, dict[int, int]] = {}  # character -> line -> times
-        for i, t in enumerate(codes):
-            for x in t:
-                d = post.setdefault(x, {})
-                d[i] = d.get(i, 0) + 1
-        li, score = [], []
-        for h in cue["_h"]:
-            if h not in seen:
-                seen[h] = _best(h, codes, post)
-            li.append(seen[h][0])
-            score.append(seen[h][1])
-        return cue[[*keys, cue_id]].assign(match_li=li, match_score=score)
+        held = Script(script.sort_values(line_ord, kind="stable")["_l"].tolist())
+        seen = {h: best_line(h, held) for h in cue["_h"].unique()}
+        return cue[[*keys, cue_id]].assign(match_li=[seen[h][0] for h in cue["_h"]], match_score=[seen[h][1] for h in cue["_h"]])
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cues.select(*keys, cue_id).schema) + ", match_li int, match_score double"
     return c.groupBy(*keys, "_block").cogroup(s.groupBy(*keys, "_block")).applyInPandas(lambda a, b: match(a, b) if len(a) else a[[*keys, cue_id]].assign(match_li=[], match_score=[]), ddl)
 
 
-def _best(h: str, codes: list[list[int]], post: dict[int, dict[int, int]]) -> tuple[int, float]:
-    if len(h) < 2:
-        return -1, 0.0
-    have: dict[int, int] = {}
-    for c in map(ord, h):
-        have[c] = have.get(c, 0) + 1
-    bound: dict[int, int] = {}
-    for c, k in have.items():
-        for i, n in post.get(c, {}).items():
-            bound[i] = bound.get(i, 0) + min(k, n)
-    best, at = 0.0, -1
-    for ub, i in sorted(((-(b / max(len(h), len(codes[i]))), i) for i, b in bound.items())):
-        if -ub < best:
-            break
-        r = lcs_many(h, [codes[i]])[0] / max(len(h), len(codes[i]))
-        if r > best or (r == best and r > 0 and i < at):
-            best, at = r, i
-    return at, best
-
-
 def known_and_new(items: DataFrame, cache: DataFrame, on: list[str], value: str) -> tuple[DataFrame, DataFrame]:
     """(items whose value the cache holds, with it; items to be probed)."""
     return items.join(cache.select(*on, value), on), items.join(cache, on, "left_anti")
@@ -219,14 +207,22 @@ def coalesced_lookup(left: DataFrame, sources: list[DataFrame], on: list[str], v
 
 
 def title_matches(titles: DataFrame, names: DataFrame, title: str, name: str) -> DataFrame:
-    """For each title the name that holds most of its characters, at least half; ties go to the lesser name.
+    """For each title the name that holds most of its characters (counted with repeats in the title), at least half; ties go to the lesser name.
 
-    The candidates meet on the characters that they share, which are counted: no product of titles and names.
+    A name that holds at least half of a title's n characters holds one of its rarest: whatever n // 2 + 1 of them are picked, one is in it. So a title meets names through
+    that many of its least frequent characters, and what they share is counted on the pairs that meet.
     """
-    t = titles.select(title).distinct().withColumn("_c", F.explode(F.filter(F.split(title, ""), lambda c: c != "")))
-    n = names.select(name).distinct().withColumn("_c", F.explode(F.array_distinct(F.filter(F.split(name, ""), lambda c: c != ""))))
-    shared = t.join(n, "_c").groupBy(title, name).agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") * 2 >= F.length(title))
-    return shared.groupBy(title).agg(F.min_by(F.struct(name, "shared"), F.struct(-F.col("shared"), F.col(name))).alias("_b")).select(title, "_b.*")
+    chars = lambda c: F.filter(F.split(c, ""), lambda x: x != "")
+    n = names.select(name).where(F.length(name) > 0).distinct()
+    held = n.select(name, F.explode(F.array_distinct(chars(F.col(name)))).alias("_c"))
+    often = held.groupBy("_c").agg(F.count(F.lit(1)).alias("_n"))
+    t = titles.select(title).where(F.length(title) > 0).distinct()
+    each = t.select(title, F.posexplode(chars(F.col(title))).alias("_i", "_c")).join(often, "_c", "left")
+    each = each.withColumn("_k", F.row_number().over(Window.partitionBy(title).orderBy(F.coalesce("_n", F.lit(0)), "_i")))
+    probe = each.where(F.col("_k") <= F.floor(F.length(title) / 2) + 1).select(title, "_c").distinct()
+    met = probe.join(held, "_c").select(title, name).distinct()
+    met = met.withColumn("shared", F.size(F.filter(chars(F.col(title)), lambda x: F.contains(F.col(name), x))).cast("long")).where(F.col("shared") * 2 >= F.length(title))
+    return met.groupBy(title).agg(F.min_by(F.struct(name, "shared"), F.struct(-F.col("shared"), F.col(name))).alias("_b")).select(title, "_b.*")
 
 
 def project_directories(projects: DataFrame, names: DataFrame, project: str, name: str) -> DataFrame:
@@ -252,19 +248,31 @@ def positional_zip(a: DataFrame, b: DataFrame, keys: list[str], order_a: list[st
     return x.join(y, [*keys, "position"])
 
 
+def _holding(rows: DataFrame, text: Column, needles: DataFrame, keys: list[str], needle: str) -> DataFrame:
+    """Rows joined with the needles of their entity that their text holds, through the substrings of the needles' lengths; a needle that comes twice in a text counts once."""
+    lens = needles.agg(F.collect_set(F.length(needle)).alias("_ns")).withColumn("_one", F.lit(1))  # one row: texts have few lengths
+    cut = F.flatten(F.transform("_ns", lambda n: F.when(F.length("_t") >= n, F.transform(F.sequence(F.lit(1), F.length("_t") - n + 1), lambda i: F.substring(F.col("_t"), i, n))).otherwise(F.array().cast("array<string>"))))
+    subs = rows.withColumn("_t", text).withColumn("_one", F.lit(1)).join(F.broadcast(lens), "_one").withColumn(needle, F.explode(F.array_distinct(cut))).drop("_t", "_one", "_ns")
+    return subs.join(needles, [*keys, needle])
+
+
 def position_gate(cues: DataFrame, lines: DataFrame, pairs: DataFrame, keys: list[str], most: float = 0.35) -> DataFrame:
     """The replacements (cue, wrong, right) whose place in the script agrees with the cue's place.
 
     ``cues``: keys, cue_pct, cue_id, text; ``lines``: keys, line_pct, line; ``pairs``: keys, wrong, right. A pair applies to a cue that holds wrong; it is refused if the lines
-    that hold right are all further than ``most``, or if wrong (three Han characters or more) is itself in a line within ``most``.
+    that hold right are all further than ``most``, or if wrong (three Han characters or more) is itself in a line within ``most``. Texts meet the pairs through their
+    substrings, so that no cue is compared with all pairs and no pair with all lines. Rows with null keys, and empty wrong, meet nothing.
     """
-    use = cues.join(pairs, keys).where(F.contains("text", F.col("wrong")))
-    near = use.join(lines, keys, "left").groupBy(*[F.col(c) for c in [*keys, "cue_id", "cue_pct", "wrong", "right"]]).agg(
-        F.min(F.when(F.contains("line", han("right")) & (han("right") != ""), F.abs(F.col("cue_pct") - F.col("line_pct")))).alias("_r"),
-        F.min(F.when(F.contains("line", han("wrong")) & (F.length(han("wrong")) >= 3), F.abs(F.col("cue_pct") - F.col("line_pct")))).alias("_w"),
-    )
-    ok = (F.col("_r").isNull() | (F.col("_r") <= most)) & (F.col("_w").isNull() | (F.col("_w") > most))
-    return near.where(ok).drop("_r", "_w")
+    p = pairs.select(*keys, "wrong", "right").distinct().where("wrong <> ''")
+    places = lambda text, least, out: (
+        _holding(lines.select(*keys, "line_pct", "line"), F.col("line"), p.select(*keys, han(text).alias("_h")).where(F.length("_h") >= least).distinct(), keys, "_h")
+        .groupBy(*keys, "_h").agg(F.collect_list("line_pct").alias(out))
+    )
+    p = p.withColumn("_h", han("right")).join(places("right", 1, "_rs"), [*keys, "_h"], "left").withColumn("_h", han("wrong")).join(places("wrong", 3, "_ws"), [*keys, "_h"], "left").drop("_h")
+    use = _holding(cues.select(*keys, "cue_id", "cue_pct", "text"), F.col("text"), p, keys, "wrong")
+    gap = lambda c: F.array_min(F.transform(c, lambda x: F.abs(F.col("cue_pct") - x)))
+    r, w = gap("_rs"), gap("_ws")
+    return use.where((r.isNull() | (r <= most)) & (w.isNull() | (w > most))).select(*keys, "cue_id", "cue_pct", "wrong", "right").distinct()
 
 
 def claimed_elsewhere(matches: DataFrame, keys: list[str], least: float = 0.5) -> DataFrame:

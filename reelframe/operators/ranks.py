@@ -15,25 +15,32 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFram
     return left.join(r, cond).drop(*[f"_on{i}" for i in range(len(on))])
 
 
-def bucketed_cumsum(df: DataFrame, keys: list[str], order: str, value: str, out: str, bucket: Column) -> DataFrame:
-    """Add ``out`` = sum of ``value`` over the rows of the same ``keys`` up to and including this one by ``order``.
+def bucketed(df: DataFrame, keys: list[str], order: list[str | Column], value: str, out: str, bucket: Column, how: str = "sum", falling: bool = False) -> DataFrame:
+    """Add ``out`` = the sum, the greatest or the last that is not null (``how``: sum, max, last) of ``value`` over the rows of the same ``keys`` up to and including this one by ``order``.
 
-    ``bucket`` is a non-decreasing function of ``order``. Rows are summed inside (keys, bucket) and the
-    bucket totals are summed in a second, far smaller window, so a key that holds a third of all rows is
-    spread over its buckets. ``order`` must be unique within ``keys``. Empty input gives empty output; null keys are one entity,
-    and rows whose bucket is null are a bucket before all others, so that every row stays.
+    ``bucket`` is a function of the order that does not decrease along it (does not increase, if ``falling``). Rows are looked at inside (keys, bucket), and what the
+    buckets before give comes from a second, far smaller window over one row a bucket, so a key that holds a third of all rows is
+    spread over its buckets. ``order`` must be unique within ``keys`` but for rows of equal value. Empty input gives empty output; null keys are one entity,
+    and rows whose bucket is null are a bucket of their own, so that every row stays.
     """
+    take = {"sum": F.sum, "max": F.max, "last": lambda c: F.last(c, ignorenulls=True)}[how]
     b = df.withColumn("_bucket", bucket)
-    inner = Window.partitionBy(*keys, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    local = b.withColumn("_local", F.sum(value).over(inner))
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        b.groupBy(*keys, "_bucket")
-        .agg(F.sum(value).alias("_total"))
-        .withColumn("_base", F.coalesce(F.sum("_total").over(before), F.lit(0)))
-        .drop("_total")
-    )
-    return null_safe_join(local, totals, [*keys, "_bucket"]).withColumn(out, F.col("_local") + F.col("_base")).drop("_local", "_base", "_bucket")
+    inner = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    upto = inner.rowsBetween(Window.unboundedPreceding, 0)
+    local = b.withColumn("_local", take(value).over(upto))
+    if how == "last":  # an aggregate has no order: the last row of a bucket tells
+        ends = local.withColumn("_from_end", F.lead(F.lit(1)).over(inner)).where("_from_end IS NULL").select(*keys, "_bucket", F.col("_local").alias("_total"))
+    else:
+        ends = b.groupBy(*keys, "_bucket").agg(take(value).alias("_total"))
+    before = Window.partitionBy(*keys).orderBy(F.desc("_bucket") if falling else F.asc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("_base", take("_total").over(before)).drop("_total")
+    both = {"sum": lambda: F.col("_local") + F.coalesce(F.col("_base"), F.lit(0)), "max": lambda: F.greatest("_local", "_base"), "last": lambda: F.coalesce("_local", "_base")}[how]()
+    return null_safe_join(local, ends, [*keys, "_bucket"]).withColumn(out, both).drop("_local", "_base", "_bucket")
+
+
+def bucketed_cumsum(df: DataFrame, keys: list[str], order: str, value: str, out: str, bucket: Column) -> DataFrame:
+    """``bucketed`` for a running sum over one column."""
+    return bucketed(df, keys, [order], value, out, bucket)
 
 
 def neighbour(df: DataFrame, keys: list[str], order: list[str], cols: list[str], out: str, ahead: bool = False, bucket: Column | None = None) -> DataFrame:

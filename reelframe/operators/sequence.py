@@ -8,15 +8,20 @@ a large share of the rows is many groups.
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
+from collections import Counter
 from dataclasses import dataclass, replace
+from functools import cached_property
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelframe.functions.text import NOT_HAN
+from reelframe.operators.ranks import bucketed, neighbour, null_safe_join
 
 _NOT_HAN = re.compile(NOT_HAN)
 PARTICLES = "吗呢吧啊哦嗯哈呀啦哟"  # fixed value: particles that a line of the script may end in
@@ -34,7 +39,7 @@ class Cue:
     li: int = -1
     score: float = 0.0
 
-    @property
+    @cached_property
     def h(self) -> str:
         return han(self.text)
 
@@ -68,13 +73,70 @@ def ordered_ratio(hay: str, needle: str) -> float:
     return n / max(len(needle), 1)
 
 
+class Script(list):
+    """The lines of a script, which gives the longest common subsequence of a text with all of them at once.
+
+    Each line is the bits of one machine word; a character of the text changes the words of the lines that hold it, and only these are touched.
+    Lines of more than 64 characters are compared one by one.
+    """
+
+    def __init__(self, lines: list[str]) -> None:
+        super().__init__(lines)
+        self.size = np.array([len(x) for x in lines], np.int64)
+        masks: dict[str, dict[int, int]] = {}
+        for i, x in enumerate(lines):
+            if len(x) <= 64:
+                for k, c in enumerate(x):
+                    d = masks.setdefault(c, {})
+                    d[i] = d.get(i, 0) | 1 << k
+        self._masks = {c: (np.fromiter(d, np.int64, len(d)), np.fromiter(d.values(), np.uint64, len(d))) for c, d in masks.items()}
+        self._full = np.array([(1 << len(x)) - 1 if len(x) <= 64 else 0 for x in lines], np.uint64)
+        self._long = [i for i, x in enumerate(lines) if len(x) > 64]
+        self._memo: dict[str, np.ndarray] = {}
+        self.begins: dict[str, list[int]] = {}
+        for i, x in enumerate(lines):
+            if x:
+                self.begins.setdefault(x[0], []).append(i)
+
+    def lcs(self, h: str) -> np.ndarray:
+        """The LCS length of ``h`` with each line."""
+        got = self._memo.get(h)
+        if got is None:
+            v = self._full.copy()
+            for c in h:
+                if c in self._masks:
+                    at, m = self._masks[c]
+                    x = v[at]
+                    u = x & m
+                    v[at] = (x + u) | (x - u)
+            got = (self.size - np.bitwise_count(v & self._full)).astype(np.int32)
+            for i in self._long:
+                got[i] = lcs(h, self[i])
+            if len(self._memo) * max(len(self), 1) > 1 << 24:
+                self._memo.clear()
+            self._memo[h] = got
+        return got
+
+    def ratios(self, h: str) -> np.ndarray:
+        """H5 of ``h`` with each line; 0 for an empty text or line."""
+        return self.lcs(h) / np.maximum(np.maximum(self.size, len(h)), 1)
+
+    def like(self, h: str, least: int) -> list[int]:
+        """The lines, in order, that have at least ``least`` characters in common with ``h`` in order."""
+        return np.flatnonzero(self.lcs(h) >= least).tolist()
+
+
+def as_script(lines: list[str]) -> Script:
+    return lines if isinstance(lines, Script) else Script(lines)
+
+
 def best_line(h: str, lines: list[str]) -> tuple[int, float]:
     """The first line of the greatest ratio; (-1, 0) for fewer than two characters or no line in common."""
-    if len(h) < 2:
+    if len(h) < 2 or not lines:
         return -1, 0.0
-    rs = [ratio(h, x) for x in lines]
-    top = max(rs, default=0.0)
-    return (rs.index(top), top) if top > 0 else (-1, 0.0)
+    rs = as_script(lines).ratios(h)
+    at = int(rs.argmax())
+    return (at, float(rs[at])) if rs[at] > 0 else (-1, 0.0)
 
 
 def _original(text: str, k: int) -> int:
@@ -88,14 +150,16 @@ def _original(text: str, k: int) -> int:
 
 def split_merged(segments: list[str], lines: list[str]) -> list[str]:
     """A segment that runs over two neighbouring lines of the script is cut between them."""
-    pairs = [(a, b) for a, b in zip(lines, lines[1:]) if len(a) > 1 and len(b) > 1]
+    script = as_script(lines)
 
     def cut(seg: str) -> list[str]:
         h = han(seg)
         if len(h) < 5:
             return [seg]
-        for a, b in pairs:
-            if len(b) >= len(h) - 1:
+        # The second line has to share at least three quarters of itself with the end of the segment.
+        for i in np.flatnonzero((script.lcs(h) >= 0.75 * script.size) & (script.size > 1) & (script.size < len(h) - 1)).tolist():
+            a, b = script[i - 1] if i else "", script[i]
+            if len(a) < 2:
                 continue
             scored = []
             for k in range(max(2, len(h) - len(b) - 2), min(len(h) - 2, len(h) - len(b) + 2) + 1):
@@ -115,7 +179,7 @@ def split_merged(segments: list[str], lines: list[str]) -> list[str]:
 
 def fix_single_chars(segments: list[str], lines: list[str]) -> list[str]:
     """A segment of one character before a recognised line becomes the end of the line before it, where that is unsaid."""
-    out = list(segments)
+    out, lines = list(segments), as_script(lines)
     hs = [han(s) for s in segments]
     for i, h in enumerate(hs):
         if len(h) != 1:
@@ -255,12 +319,13 @@ def merge_short(cues: list[Cue], chars: int = 2, least: float = 0.5) -> list[Cue
 
 def attach_orphans(cues: list[Cue], lines: list[str]) -> list[Cue]:
     """One or two characters before a pause join the beginning of the next cue where together they are a line of the script."""
-    out = list(cues)
+    out, lines = list(cues), as_script(lines)
     i = 0
     while i + 1 < len(out):
         c, n = out[i], out[i + 1]
         if 1 <= len(c.h) <= 2 and n.start - c.end > 1.0:
-            line = next((x for x in lines if x.startswith(c.h) and len(x) > len(c.h) and n.h.startswith(x[len(c.h) :])), None)
+            held = (lines[k] for k in lines.begins.get(c.h[0], ()))
+            line = next((x for x in held if x.startswith(c.h) and len(x) > len(c.h) and n.h.startswith(x[len(c.h) :])), None)
             if line:
                 out[i] = replace(c, text=line, end=min(c.start + 0.4 * len(line), n.start - 0.05))
                 rest = n.h[len(line) - len(c.h) :]
@@ -306,12 +371,25 @@ LOW, HIGH, NEAR = 0.35, 0.5, 6
 
 
 def score(cues: list[Cue], lines: list[str]) -> list[Cue]:
-    return [replace(c, li=m[0], score=m[1]) for c in cues for m in [best_line(c.h, lines)]]
+    script = as_script(lines)
+    return [replace(c, li=m[0], score=m[1]) for c in cues for m in [best_line(c.h, script)]]
+
+
+class Claims:
+    """Which lines are held by cues, kept up to date while a pass changes them."""
 
+    def __init__(self, cues: list[Cue]) -> None:
+        self._cues, self._n = cues, Counter(c.li for c in cues if c.score >= HIGH)
 
-def _claimed(cues: list[Cue], i: int, li: int) -> bool:
-    """Another cue holds the line."""
-    return any(c.li == li and c.score >= HIGH for j, c in enumerate(cues) if j != i)
+    def by_another(self, i: int, li: int) -> bool:
+        c = self._cues[i]
+        return self._n[li] > (c.li == li and c.score >= HIGH)
+
+    def put(self, i: int, cue: Cue) -> None:
+        old = self._cues[i]
+        self._n[old.li] -= old.score >= HIGH
+        self._n[cue.li] += cue.score >= HIGH
+        self._cues[i] = cue
 
 
 def fix_lost(cues: list[Cue], lines: list[str]) -> list[Cue]:
@@ -320,12 +398,13 @@ def fix_lost(cues: list[Cue], lines: list[str]) -> list[Cue]:
 
     The recognised neighbours are judged by the texts as they were, what is said by the texts as they now are.
     """
-    out = list(cues)
+    out, lines = list(cues), as_script(lines)
+    claims = Claims(out)
     for i, c in enumerate(cues):
         h = c.h
         if out[i].score >= LOW or len(h) <= 1:
             continue
-        if max((int(ratio(h, x) * max(len(h), len(x))) / len(h) for x in lines if x), default=0.0) >= 0.5:
+        if len(lines) and (lines.ratios(h) * np.maximum(lines.size, len(h))).astype(np.int64).max() / len(h) >= 0.5:
             continue
         ahead = next((j for j in range(i + 1, min(len(out), i + NEAR + 1)) if len(cues[j].h) > 1 and out[j].score >= HIGH and out[j].li >= 0), None)
         if ahead is None:
@@ -338,7 +417,7 @@ def fix_lost(cues: list[Cue], lines: list[str]) -> list[Cue]:
             tail = _unsaid(target, said)
             if 2 <= len(tail) <= 8 and tail != h:
                 got = tail, li - 1
-            elif not said and 2 <= len(target) <= 8 and target != h and not _claimed(out, i, li - 1):
+            elif not said and 2 <= len(target) <= 8 and target != h and not claims.by_another(i, li - 1):
                 got = target, li - 1
         same, nh = lines[li], cues[ahead].h
         if got is None and same:
@@ -348,37 +427,42 @@ def fix_lost(cues: list[Cue], lines: list[str]) -> list[Cue]:
             elif len(same) <= 3 and nh == same and len(h) > len(same) + 1:
                 got = same, li
         if got:
-            out[i] = replace(out[i], text=got[0], li=got[1], score=1.0)
+            claims.put(i, replace(out[i], text=got[0], li=got[1], score=1.0))
     return out
 
 
 def expand_substrings(cues: list[Cue], lines: list[str]) -> list[Cue]:
     """A cue that lacks up to four characters of a line becomes the line, unless the line is the cue said twice, what would be added in front
     is a neighbour's text, or another cue holds the line."""
-    out = list(cues)
-    for i, c in enumerate(out):
+    out, lines = list(cues), as_script(lines)
+    claims = Claims(out)
+    for i, c in enumerate(cues):
         h = c.h
         if len(h) < 4 or c.score >= 1.0:
             continue
-        li = next((k for k, x in enumerate(lines) if len(h) < len(x) <= len(h) + 4 and h in x), None)
+        li = next((k for k in lines.like(h, len(h)) if len(h) < len(lines[k]) <= len(h) + 4 and h in lines[k]), None)
         if li is None or lines[li] == 2 * h:
             continue
         head = han(lines[li][: lines[li].find(h)])
         sides = [out[j].h for j in (i - 1, i + 1) if 0 <= j < len(out)]
-        if not (head and head in sides) and not _claimed(out, i, li):
-            out[i] = replace(c, text=lines[li], li=li, score=1.0)
+        if not (head and head in sides) and not claims.by_another(i, li):
+            claims.put(i, replace(c, text=lines[li], li=li, score=1.0))
     return out
 
 
-def _per_cue(rule: Callable[[str, str], tuple[str, float] | None], least: int, most: int = 1 << 30) -> Callable[[list[Cue], list[str]], list[Cue]]:
-    """A pass that looks at each cue by itself: the first line for which the rule gives a text and a score."""
+def _per_cue(rule: Callable[[str, str], tuple[str, float] | None], common: Callable[[int], int], least: int, most: int = 1 << 30) -> Callable[[list[Cue], list[str]], list[Cue]]:
+    """A pass that looks at each cue by itself: the first line for which the rule gives a text and a score.
+
+    ``common``: the characters that a text of n characters shares, in order, with every line for which the rule can hold; other lines are not looked at.
+    """
 
     def run(cues: list[Cue], lines: list[str]) -> list[Cue]:
-        out = []
+        out, lines = [], as_script(lines)
         for c in cues:
             h = c.h
             if least <= len(h) <= most:
-                for li, x in enumerate(lines):
+                for li in lines.like(h, max(1, common(len(h)))):
+                    x = lines[li]
                     if x and (got := rule(h, x)):
                         c = replace(c, text=got[0], li=li, score=got[1])
                         break
@@ -457,10 +541,10 @@ def _cleanup(h: str, x: str) -> tuple[str, float] | None:
     return None
 
 
-fix_by_end = _per_cue(_by_end, 4)
-strip_short_heads = _per_cue(_short_tail, 2, 3)
-fix_near_exact = _per_cue(_near_exact, 4)
-clean_heads = _per_cue(_cleanup, 4)
+fix_by_end = _per_cue(_by_end, lambda n: 4, 4)
+strip_short_heads = _per_cue(_short_tail, lambda n: 2, 2, 3)
+fix_near_exact = _per_cue(_near_exact, lambda n: min(n - 2, (n + 1) // 2), 4)
+clean_heads = _per_cue(_cleanup, lambda n: min(n - 3, (n + 1) // 2), 4)
 
 
 def merge_fragments(cues: list[Cue], lines: list[str], gap: float = 2.0) -> list[Cue]:
@@ -470,6 +554,7 @@ def merge_fragments(cues: list[Cue], lines: list[str], gap: float = 2.0) -> list
     line. Backward, the score must rise and the short cue must not belong to an earlier line.
     """
     out: list[Cue | None] = list(cues)
+    lines = as_script(lines)
 
     def fit(h: str) -> tuple[int, float] | None:
         if len(h) < 4:
@@ -491,7 +576,7 @@ def merge_fragments(cues: list[Cue], lines: list[str], gap: float = 2.0) -> list
                 out[i], out[j] = joined(c, n, m), None
                 continue
             both = c.h + n.h
-            hit = next(((both[k:], li) for k in (1, 2) if len(both) - k >= 2 for li, x in enumerate(lines) if x.startswith(both[k:]) and len(x) > len(both) - k), None)
+            hit = next(((both[k:], li) for k in (1, 2) if len(both) - k >= 2 for li in lines.begins.get(both[k], ()) for x in (lines[li],) if x.startswith(both[k:]) and len(x) > len(both) - k), None)
             if hit:
                 out[i], out[j] = replace(c, text=hit[0], end=n.end, li=hit[1], score=len(hit[0]) / len(lines[hit[1]])), None
                 continue
@@ -525,20 +610,19 @@ def fix_short_repeats(cues: list[Cue], lines: list[str]) -> list[Cue]:
 def split_long(cues: list[Cue], lines: list[str], longest: float = 4.0) -> list[Cue]:
     """A cue longer than ``longest`` that fits two lines, one after the other, is cut between them."""
 
+    script = as_script(lines)
+
     def best(part: str, first: int, prefix: bool) -> tuple[int, float]:
-        at, top = -1, 0.0
-        for li in range(first, len(lines)):
-            x = lines[li]
-            if not x:
-                continue
-            if part == x:
-                return li, 1.0
-            r = ratio(part, x)
-            if prefix and len(part) >= 4 and len(x) > len(part) and x.startswith(part):
-                r = max(r, 0.75)
-            if r > top:
-                at, top = li, r
-        return at, top
+        rs = script.ratios(part)[first:]
+        if prefix and len(part) >= 4:
+            rs = rs.copy()
+            for li in script.like(part, len(part)):
+                if li >= first and len(script[li]) > len(part) and script[li].startswith(part):
+                    rs[li - first] = max(rs[li - first], 0.75)
+        if not len(rs) or rs.max() <= 0:
+            return -1, 0.0
+        at = int(rs.argmax())
+        return first + at, float(rs[at])
 
     out = []
     for c in cues:
@@ -599,6 +683,7 @@ def correct(cues: list[Cue], lines: list[str]) -> list[Cue]:
     """W29 to W36, W27, W11, W12 in order."""
     if not lines:
         return cues
+    lines = as_script(lines)
     now = score(cues, lines)
     for p in CORRECTION:
         now = p(now, lines)
@@ -613,12 +698,24 @@ def repair_times(ts: list[float]) -> list[int]:
     n = len(ts)
     if not n:
         return []
-    # best[i]: the longest that ends in i; of equal predecessors the first counts.
-    best, parent = [1] * n, [-1] * n
-    for i in range(n):
-        for j in range(i):
-            if ts[j] <= ts[i] and best[j] + 1 > best[i]:
-                best[i], parent[i] = best[j] + 1, j
+    # best[i]: the longest that ends in i; of the predecessors that give it, the first counts. Of each length, the rows that end one come in falling order of
+    # their times, so that the first one not above a time is found by bisection.
+    best, parent, ends = [1] * n, [-1] * n, []
+    for i, t in enumerate(ts):
+        lo, hi = 0, len(ends)
+        while lo < hi:  # the greatest length of which an end is not above t
+            mid = (lo + hi) // 2
+            if ts[ends[mid][-1]] <= t:
+                lo = mid + 1
+            else:
+                hi = mid
+        best[i] = lo + 1
+        if lo:
+            e = ends[lo - 1]
+            parent[i] = e[bisect_left(e, -t, key=lambda j: -ts[j])]
+        if lo == len(ends):
+            ends.append([])
+        ends[lo].append(i)
     keep, i = set(), best.index(max(best))
     while i >= 0:
         keep.add(i)
@@ -680,17 +777,24 @@ def collapse_patterns(s: str, times: int = 20, longest: int = 20) -> str:
 # --- running passes on a cluster --------------------------------------------------------------------------------------------
 
 
-def islands(df: DataFrame, keys: list[str], order: list[str], gap: float) -> DataFrame:
-    """Add _island: rows of an entity apart from one another by a pause above ``gap``; no pass that breaks there looks across."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    far = F.col("start_time") - F.lag("end_time").over(w) > gap
-    return df.withColumn("_o", F.when(far, 1).otherwise(0)).withColumn("_island", F.sum("_o").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_o")
+def islands(df: DataFrame, keys: list[str], order: list[str], gap: float, bucket: Column | None = None) -> DataFrame:
+    """Add _island: rows of an entity apart from one another by a pause above ``gap``; no pass that breaks there looks across.
+
+    With ``bucket``, a non-decreasing function of the order, a hot entity is spread over its buckets.
+    """
+    rows = neighbour(df, keys, order, ["end_time"], "_p", False, bucket)
+    rows = rows.withColumn("_o", F.when(F.col("start_time") - F.col("_p.end_time") > gap, 1).otherwise(0)).drop("_p")
+    if bucket is None:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return rows.withColumn("_island", F.sum("_o").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_o")
+    return bucketed(rows, keys, order, "_o", "_island", bucket).drop("_o")
 
 
-def words_to_cues(words: DataFrame, keys: list[str], order: list[str], gap: float = 0.4) -> DataFrame:
-    """W2 on a table of words: keys, text, start_time, end_time. Words without a time or text are left out."""
+def words_to_cues(words: DataFrame, keys: list[str], order: list[str], gap: float = 0.4, bucket: Column | None = None) -> DataFrame:
+    """W2 on a table of words: keys, text, start_time, end_time. Words without a time or text are left out. ``bucket``: see ``islands``."""
     w = words.where("start_time IS NOT NULL AND end_time IS NOT NULL AND text IS NOT NULL")
-    rows = islands(w, keys, order, gap).withColumn("_last", F.col("_island") == F.max("_island").over(Window.partitionBy(*keys)))
+    rows = islands(w, keys, order, gap, bucket)
+    rows = null_safe_join(rows, rows.groupBy(*keys).agg(F.max("_island").alias("_end")), keys).withColumn("_last", F.col("_island") == F.col("_end"))
     rows = rows.select(*keys, "_island", "_last", *dict.fromkeys([*order, "text", "start_time", "end_time"]))
 
     # Islands are many and short: they stream through a task in order, instead of being a group each.
@@ -761,3 +865,63 @@ def align_cues(segments: DataFrame, words: DataFrame, lines: DataFrame, keys: li
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in w.select(*keys).schema)
     return told.groupBy(*keys).cogroup(w.groupBy(*keys)).applyInPandas(run, ddl + ", ord long, text string, start_time double, end_time double")
+
+
+def _key_ddl(df: DataFrame, keys: list[str]) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema)
+
+
+def segment_pass(segments: DataFrame, lines: DataFrame, keys: list[str], seg_ord: str, line_ord: str, fn: Callable[[list[str], list[str]], list[str]]) -> DataFrame:
+    """W38, W37, W22 on tables: a pass over the segments of an entity in order, given its script: keys, ord (from 0), text.
+
+    A pass goes on from segment to segment, so that a group is an entity. An entity without a script has an empty one; null texts count as empty.
+    """
+    seg = segments.select(*keys, F.col(seg_ord).cast("long").alias("_i"), F.coalesce("text", F.lit("")).alias("text"))
+    script = lines.select(*keys, F.col(line_ord).cast("long").alias("_i"), F.regexp_replace(F.coalesce("line", F.lit("")), NOT_HAN, "").alias("text"))
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        got = fn(a.sort_values("_i", kind="stable")["text"].tolist(), b.sort_values("_i", kind="stable")["text"].tolist())
+        out = pd.DataFrame(list(enumerate(got)), columns=["ord", "text"])
+        for k in keys:
+            out[k] = a[k].iloc[0] if len(a) else None
+        return out[[*keys, "ord", "text"]]
+
+    return seg.groupBy(*keys).cogroup(script.groupBy(*keys)).applyInPandas(run, f"{_key_ddl(seg, keys)}, ord long, text string")
+
+
+def cue_pass(cues: DataFrame, keys: list[str], order: list[str], fn: Callable[[list[Cue]], list[Cue]]) -> DataFrame:
+    """W24 and other passes that need no script, on tables: keys, ord (from 0), text, start_time, end_time. Cues without a time are left out; null texts count as empty."""
+    c = cues.where("start_time IS NOT NULL AND end_time IS NOT NULL").withColumn("text", F.coalesce("text", F.lit(""))).select(*dict.fromkeys([*keys, *order, "text", "start_time", "end_time"]))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(order, kind="stable")
+        got = fn([Cue(t, s, e) for t, s, e in zip(pdf["text"], pdf["start_time"], pdf["end_time"])])
+        out = pd.DataFrame([(i, x.text, x.start, x.end) for i, x in enumerate(got)], columns=["ord", "text", "start_time", "end_time"])
+        for k in keys:
+            out[k] = pdf[k].iloc[0]
+        return out[[*keys, "ord", "text", "start_time", "end_time"]]
+
+    return c.groupBy(*keys).applyInPandas(run, f"{_key_ddl(c, keys)}, ord long, text string, start_time double, end_time double")
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def repaired_times(ts: pd.Series) -> pd.Series:
+    """W40 on an array column of times; null stays null."""
+    return ts.map(lambda x: None if x is None else repair_times(list(x)))
+
+
+@F.pandas_udf(T.StringType())
+def collapsed_patterns(text: pd.Series) -> pd.Series:
+    """H11 on a text column; null stays null."""
+    return text.map(lambda x: None if x is None else collapse_patterns(x))
+
+
+def quiet_chunks(waves: DataFrame, keys: list[str], wav: str, rate: int, longest_s: float, search_s: float = 5.0, window_ms: float = 100.0) -> DataFrame:
+    """W39 on a table of waves: keys, chunk (from 0), lo, hi (sample bounds). Row by row in Arrow batches, no shuffle; null waves give none, an empty one gives an empty chunk."""
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            rows = [(*k, i, lo, hi) for *k, x in pdf.itertuples(index=False) for i, (lo, hi) in enumerate(quiet_cuts(x, rate, longest_s, search_s, window_ms))]
+            yield pd.DataFrame(rows, columns=[*keys, "chunk", "lo", "hi"])
+
+    return waves.where(F.col(wav).isNotNull()).select(*keys, wav).mapInPandas(run, f"{_key_ddl(waves, keys)}, chunk int, lo long, hi long")

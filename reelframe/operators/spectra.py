@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def stft(x: np.ndarray, n: int, hop: int, window: np.ndarray | None = None, pad: str = "reflect") -> np.ndarray:
@@ -78,19 +79,21 @@ def fft_ensemble(waves: list[np.ndarray], weights: list[float], how: str, n: int
     return istft(z, hop, len(waves[0]), w)
 
 
-def spectral_metric(pairs: DataFrame, keys: list[str], fn: Callable[[np.ndarray, np.ndarray], float], name: str) -> DataFrame:
-    """A21, A22's hook: keys and a metric of the array columns reference and estimate, cut to the shorter; null where either is empty."""
+def spectral_metric(pairs: DataFrame, keys: list[str], fn: Callable[[np.ndarray, np.ndarray], float | tuple], name: str | list[str]) -> DataFrame:
+    """A21, A23, A27, A22's hook: keys and a metric (or several, by their names) of the array columns reference and estimate, cut to the shorter; null where either is empty."""
+    names = [name] if isinstance(name, str) else name
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             out = []
             for a, b in zip(pdf["reference"], pdf["estimate"]):
                 n = min(len(a), len(b))
-                out.append(float(fn(np.asarray(a[:n], float), np.asarray(b[:n], float))) if n else float("nan"))
-            yield pdf[keys].assign(**{name: out})
+                got = fn(np.asarray(a[:n], float), np.asarray(b[:n], float)) if n else float("nan")
+                out.append(got if isinstance(got, tuple) else (got,) * len(names))
+            yield pdf[keys].assign(**{x: [float(r[i]) for r in out] for i, x in enumerate(names)})
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pairs.select(*keys).schema)
-    return pairs.select(*keys, "reference", "estimate").where("reference IS NOT NULL AND estimate IS NOT NULL").mapInPandas(run, f"{ddl}, {name} double")
+    return pairs.select(*keys, "reference", "estimate").where("reference IS NOT NULL AND estimate IS NOT NULL").mapInPandas(run, f"{ddl}, " + ", ".join(f"{x} double" for x in names))
 
 
 def demix(mix: np.ndarray, model: Callable[[np.ndarray], np.ndarray], chunk: int, overlap: int) -> np.ndarray:
@@ -128,3 +131,32 @@ def demix(mix: np.ndarray, model: Callable[[np.ndarray], np.ndarray], chunk: int
 def tta(x: np.ndarray, model: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
     """Mean of the model on (channels, time) as it is, with channels swapped and with the sign turned, each turned back."""
     return (model(x) + model(x[::-1])[::-1] - model(-x)) / 3
+
+
+def spec_rmse(reference: np.ndarray, estimate: np.ndarray, n: int = 4096, hop: int = 1024, normalised: bool = True) -> float:
+    """Root of the mean squared difference of complex spectra, rectangular window; real and imaginary parts count one by one, ``normalised`` divides by sqrt(n)."""
+    z = stft(reference, n, hop) - stft(estimate, n, hop)
+    return float(np.sqrt((z.real**2 + z.imag**2).mean() / 2 / (n if normalised else 1))) if z.size else float("nan")
+
+
+def ensemble_spectra(waves: DataFrame, keys: list[str], wav: str, weight: str, source: str, how: str, n: int = 2048, hop: int = 1024) -> DataFrame:
+    """A16, X6 on tables: keys, wav: one wave per entity from those of its sources, in the spectral domain. A group is the sources of one entity, a handful; null waves are left out."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(source, kind="stable")
+        got = fft_ensemble([np.asarray(x, float) for x in pdf[wav]], pdf[weight].tolist(), how, n, hop)
+        return pdf[keys].iloc[:1].assign(**{wav: [got]})
+
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in waves.select(*keys).schema)
+    return waves.where(F.col(wav).isNotNull()).select(*keys, wav, weight, source).groupBy(*keys).applyInPandas(run, f"{ddl}, `{wav}` array<double>")
+
+
+def mapped_waves(waves: DataFrame, keys: list[str], wav: str, fn: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """W41, H36 on tables: keys, wav: a function of each wave (demix, tta), row by row in Arrow batches. Null waves stay null."""
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            yield pdf.assign(**{wav: [None if x is None else np.asarray(fn(np.asarray(x, float))).ravel() for x in pdf[wav]]})
+
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in waves.select(*keys).schema)
+    return waves.select(*keys, wav).mapInPandas(run, f"{ddl}, `{wav}` array<double>")

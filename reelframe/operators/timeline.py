@@ -52,9 +52,9 @@ def gap_sessions(df: DataFrame, keys: list[str], order: list[str], start: str, e
     return bucketed_cumsum(rows.withColumn("_order", F.struct(*order)), keys, "_order", "_opens", "session", bucket).drop("_opens", "_order")
 
 
-def uncovered_groups(words: DataFrame, keys: list[str], order: list[str], gap: float = 0.5, least_han: int = 2) -> DataFrame:
-    """Groups of words less than ``gap`` apart with at least ``least_han`` Han characters: keys, text, start_time, end_time."""
-    s = gap_sessions(words, keys, order, "start_time", "end_time", gap)
+def uncovered_groups(words: DataFrame, keys: list[str], order: list[str], gap: float = 0.5, least_han: int = 2, bucket: Column | None = None) -> DataFrame:
+    """Groups of words less than ``gap`` apart with at least ``least_han`` Han characters: keys, text, start_time, end_time. ``bucket``: see ``gap_sessions``."""
+    s = gap_sessions(words, keys, order, "start_time", "end_time", gap, bucket)
     rows = s.groupBy(*keys, "session").agg(F.array_sort(F.collect_list(F.struct(*dict.fromkeys([*order, "text", "start_time", "end_time"])))).alias("w"))
     text = han(F.array_join(F.transform("w", lambda x: F.coalesce(x["text"], F.lit(""))), ""))
     out = rows.select(*keys, text.alias("text"), F.element_at("w", 1)["start_time"].alias("start_time"), F.element_at("w", -1)["end_time"].alias("end_time"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelframe.operators.intervals import periods_and_gaps
-from reelframe.plans import io_queries, record_queries, text_queries, timeline_queries, timeline_sql
+from reelframe.plans import fuzzy_sql, io_queries, pass_queries, record_queries, source_queries, text_queries, timeline_queries, timeline_sql
 from reelframe.session import read
 
 #: A gap this long is a break in the recording.
@@ -40,5 +40,5 @@ UNION ALL
 SELECT track, episode, 'gap', start_ms, end_ms FROM gaps WHERE end_ms IS NOT NULL AND end_ms - start_ms < 600000
 """
 
-QUERIES = {"p3_found": p3_found} | text_queries.QUERIES | timeline_queries.QUERIES | io_queries.QUERIES | record_queries.QUERIES
-SQL = {"p3_found": P3_SQL} | text_queries.SQL | timeline_sql.SQL | io_queries.SQL | record_queries.SQL
+QUERIES = {"p3_found": p3_found} | text_queries.QUERIES | timeline_queries.QUERIES | io_queries.QUERIES | record_queries.QUERIES | pass_queries.QUERIES | source_queries.QUERIES
+SQL = {"p3_found": P3_SQL} | text_queries.SQL | timeline_sql.SQL | io_queries.SQL | record_queries.SQL | pass_queries.SQL | source_queries.SQL | fuzzy_sql.SQL

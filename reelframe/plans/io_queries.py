@@ -35,7 +35,9 @@ def srt_write(spark: SparkSession, d: str) -> DataFrame:
 def result_json(spark: SparkSession, d: str) -> DataFrame:
     rows = _cues(spark, d).groupBy("episode", "cue_ord").agg(F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"), F.min("text").alias("text"))
     j = K.result_json(rows, EP, ["cue_ord"], "n")
-    return j.select("episode", F.get_json_object("json", "$.total").cast("long").alias("total"), F.get_json_object("json", "$.subtitles[0].text").alias("first"))
+    back = F.from_json("json", "total long, note string, subtitles array<struct<text:string,start_time:double,end_time:double,duration:double>>")
+    j = j.select("episode", back.alias("j")).select("episode", "j.total", "j.note", F.posexplode("j.subtitles").alias("i", "c"))
+    return j.select("episode", "total", "note", "i", "c.text", "c.start_time", "c.end_time", F.round("c.duration", 2).alias("duration"))
 
 
 def manifest_json(spark: SparkSession, d: str) -> DataFrame:
@@ -46,13 +48,12 @@ def manifest_json(spark: SparkSession, d: str) -> DataFrame:
 
 def edit_decisions(spark: SparkSession, d: str) -> DataFrame:
     e = K.edit_decisions(W.trim_decision(_frames(spark, d), ["user_id"], 10.0))
-    return e.groupBy("action").agg(F.count(F.lit(1)).alias("n"))
+    return e.select("user_id", "action", F.round("seek_s", 6).alias("seek_s"), F.round("length_s", 6).alias("length_s"))
 
 
 def concat_filters(spark: SparkSession, d: str) -> DataFrame:
     t = W.clip_timeline(_clips(spark, d), EP, ["clip_ord"], F.col("clip_ord") % 3 == 1)
-    f = K.concat_filter(t, EP, "clip_ord")
-    return f.select("episode", F.size(F.split("filter", ";")).alias("parts"), F.regexp_extract("filter", r"concat=n=(\d+)", 1).cast("int").alias("n"))
+    return K.concat_filter(t, EP, "clip_ord")
 
 
 def lcs_ratios(spark: SparkSession, d: str) -> DataFrame:
@@ -117,20 +118,28 @@ _AT = "printf('%02d:%02d:%02d,%03d', CAST(floor({0} / 3600) AS BIGINT), CAST(flo
 _SEC = "(CAST(split_part({0}, ':', 1) AS DOUBLE) * 3600 + CAST(split_part({0}, ':', 2) AS DOUBLE) * 60 + CAST(replace(split_part({0}, ':', 3), ',', '.') AS DOUBLE))"
 _TIMES = r"'^\s*(\d+:\d+:\d+[,.]\d+)\s*-->\s*(\d+:\d+:\d+[,.]\d+)'"
 SQL = {
+    # By cutting instead of matching: what stands before the first bracket or colon, an action in brackets, a colon, the rest.
     "script_parse": r"""WITH l AS (SELECT doc_id, unnest(string_split_regex(text, '\r\n|\r|\n')) AS t, generate_subscripts(string_split_regex(text, '\r\n|\r|\n'), 1) AS n FROM documents WHERE source = 'screenplay' AND text IS NOT NULL),
-        p AS (SELECT *, regexp_extract(t, '^【旁白】(.+)$', 1) AS told, regexp_extract(t, '^([^\s（(【△※\-#\d][^（(：:]{0,10}?)(?:（[^）]*）)?[：:]\s*(.+)$', ['who', 'said']) AS x FROM l),
-        k AS (SELECT doc_id, n, CASE WHEN told <> '' THEN '旁白' WHEN x.said <> '' THEN trim(x.who) END AS speaker, CASE WHEN told <> '' THEN trim(told) WHEN x.said <> '' THEN trim(x.said) END AS raw FROM p),
-        h AS (SELECT *, regexp_replace(raw, '[^\x{4e00}-\x{9fff}\x{3400}-\x{4dbf}]', '', 'g') AS line FROM k)
-        SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY n) - 1 AS INTEGER) AS line_ord, speaker, line, raw FROM h WHERE line <> '' AND length(speaker) <= 6""",
+        h AS (SELECT *, split_part(split_part(split_part(split_part(t, '（', 1), '(', 1), '：', 1), ':', 1) AS who FROM l),
+        r AS (SELECT *, substr(t, length(who) + 1) AS rest FROM h), b AS (SELECT *, CASE WHEN rest[1] = '（' AND contains(rest, '）') THEN substr(rest, instr(rest, '）') + 1) ELSE rest END AS tail FROM r),
+        k AS (SELECT doc_id, n, CASE WHEN left(t, 4) = '【旁白】' AND length(t) > 4 THEN '旁白' WHEN tail[1] IN ('：', ':') AND length(who) BETWEEN 1 AND 11 AND NOT (who[1] IN (' ', chr(9), chr(12), '【', '△', '※', '-', '#') OR who[1] BETWEEN '0' AND '9') THEN trim(who) END AS speaker,
+          CASE WHEN left(t, 4) = '【旁白】' THEN trim(substr(t, 5)) ELSE trim(substr(tail, 2)) END AS raw FROM b),
+        z AS (SELECT *, list_aggregate(list_filter(string_split(raw, ''), lambda c: (unicode(c) BETWEEN 19968 AND 40959) OR (unicode(c) BETWEEN 13312 AND 19903)), 'string_agg', '') AS line FROM k WHERE speaker IS NOT NULL)
+        SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY n) - 1 AS INTEGER) AS line_ord, speaker, line, raw FROM z WHERE line <> '' AND length(speaker) <= 6""",
     "srt_parse": rf"""WITH b AS (SELECT doc_id, string_split_regex(regexp_replace(regexp_replace(text, '\r\n?', chr(10), 'g'), '^\s+|\s+$', '', 'g'), '\n\s*\n') AS bs FROM documents WHERE source = 'subtitle' AND text IS NOT NULL),
         l AS (SELECT doc_id, unnest(bs) AS b, generate_subscripts(bs, 1) AS i FROM b), p AS (SELECT doc_id, i, string_split(b, chr(10)) AS ls FROM l),
         g AS (SELECT doc_id, i, regexp_extract(ls[2], {_TIMES}, 1) AS s, regexp_extract(ls[2], {_TIMES}, 2) AS e, trim(array_to_string(list_transform(ls[3:], lambda x: trim(x, ' ')), ' '), ' ') AS text FROM p WHERE len(ls) >= 3 AND regexp_matches(ls[2], {_TIMES}))
         SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS cue_ord, round({_SEC.format('s')}, 6) AS start, round({_SEC.format('e')}, 6) AS end, text FROM g WHERE text <> ''""",
     "srt_write": f"""WITH {_C}, n AS (SELECT *, row_number() OVER (PARTITION BY episode ORDER BY cue_ord, start_time, end_time, text) AS i FROM c WHERE start_time >= 0 AND end_time >= 0)
         SELECT episode, string_agg(i || chr(10) || {_AT.format('start_time')} || ' --> ' || {_AT.format('end_time')} || chr(10) || text || chr(10) || chr(10), '' ORDER BY i) AS srt FROM n GROUP BY 1""",
-    "result_json": f"WITH {_C}, r AS (SELECT episode, cue_ord, min(text) AS text FROM c GROUP BY ALL) SELECT episode, count(*) AS total, arg_min(text, cue_ord) AS first FROM r GROUP BY 1",
+    "result_json": f"""WITH {_C}, r AS (SELECT episode, cue_ord, min(start_time) AS s, max(end_time) AS e, min(text) AS text FROM c GROUP BY ALL)
+        SELECT episode, count(*) OVER (PARTITION BY episode) AS total, 'n' AS note, CAST(row_number() OVER (PARTITION BY episode ORDER BY cue_ord) - 1 AS INTEGER) AS i, text, s AS start_time, e AS end_time, round(round_even(e - s, 3), 2) AS duration FROM r""",
     "manifest_json": f"WITH {_CL} SELECT episode, CAST(row_number() OVER (PARTITION BY episode ORDER BY clip_ord) - 1 AS INTEGER) AS clip_ord, file, duration_s FROM cl",
-    "concat_filters": f"WITH {_CL} SELECT episode, CAST(count(*) * 2 + 1 AS INTEGER) AS parts, CAST(count(*) AS INTEGER) AS n FROM cl GROUP BY 1",
+    "concat_filters": f"""WITH {_CL}, t AS (SELECT *, CASE WHEN row_number() OVER o = 1 THEN 0 WHEN lag(clip_ord % 3 = 1) OVER o THEN 10 ELSE 1 END AS trim FROM cl WINDOW o AS (PARTITION BY episode ORDER BY clip_ord)),
+        p AS (SELECT episode, clip_ord AS i, printf('[%d:v]trim=start=%.6f,setpts=PTS-STARTPTS,scale=1920:1080,fps=30', clip_ord, trim / 30.0::DOUBLE)
+          || CASE WHEN clip_ord % 3 = 1 THEN printf(',fade=t=out:st=%.3f:d=0.5', round_even(duration_s - trim * (1 / 30.0::DOUBLE), 6) - 0.5) ELSE '' END
+          || printf('[v%d];[%d:a]atrim=start=%.6f,asetpts=PTS-STARTPTS[a%d];', clip_ord, clip_ord, trim / 30.0::DOUBLE, clip_ord) AS f FROM t)
+        SELECT episode, string_agg(f, '' ORDER BY i) || string_agg(printf('[v%d][a%d]', i, i), '' ORDER BY i) || 'concat=n=' || count(*) || ':v=1:a=1[v][a]' AS filter FROM p GROUP BY 1""",
     "leading_repeats": f"WITH {_S} SELECT episode, line_ord, CASE WHEN line IS NULL THEN NULL WHEN length(left(line, 2) || line) < 5 THEN left(line, 2) || line WHEN line[1] = line[2] THEN left(line, 2)[2:] || line ELSE line END AS text FROM s",
     "char_runs": f"WITH {_S} SELECT episode, line_ord, CASE WHEN line = '' THEN '|' ELSE left(line, 1) || '|' || line END AS text FROM s",
 }

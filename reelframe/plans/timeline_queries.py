@@ -10,7 +10,7 @@ from reelframe.operators import aggregates as A
 from reelframe.operators import joins as J
 from reelframe.operators import sequence as Q
 from reelframe.operators import timeline as W
-from reelframe.session import read
+from reelframe.session import cut, read
 
 EP = ["episode"]
 
@@ -56,7 +56,7 @@ def user_sessions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def size_gap_sessions(spark: SparkSession, d: str) -> DataFrame:
-    return Q.words_to_cues(_words(spark, d), EP, WORD_ORDER).select("episode", "text", F.round("start_time", 6).alias("start_time"), F.round("end_time", 6).alias("end_time"))
+    return Q.words_to_cues(_words(spark, d), EP, WORD_ORDER, bucket=_bucket("word_ord")).select("episode", "text", F.round("start_time", 6).alias("start_time"), F.round("end_time", 6).alias("end_time"))
 
 
 def overlap_truncate(spark: SparkSession, d: str) -> DataFrame:
@@ -189,7 +189,7 @@ def interval_anti(spark: SparkSession, d: str) -> DataFrame:
 
 def salvaged_groups(spark: SparkSession, d: str) -> DataFrame:
     """Words that no cue covers, grouped, with a cue no further than 8 s away."""
-    groups = W.uncovered_groups(interval_anti(spark, d), EP, WORD_ORDER)
+    groups = cut(W.uncovered_groups(interval_anti(spark, d), EP, WORD_ORDER, bucket=_bucket("word_ord")))  # both of its ends are looked up
     return J.near_groups(groups, _cues(spark, d), EP).withColumn("nearest_gap", F.round("nearest_gap", 6))
 
 
@@ -215,7 +215,7 @@ def nearest_event(spark: SparkSession, d: str) -> DataFrame:
     e = read(spark, d, "events").select("user_id", "event_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
     a = e.where("event_type = 'signup'").select("user_id", F.col("event_id").alias("signup"), F.col("t").alias("signup_us"))
     b = e.where("event_type = 'purchase'").select("user_id", F.col("event_id").alias("purchase"), F.col("t").alias("purchase_us"))
-    return J.nearest(a, b, ["user_id"], "signup", "signup_us", "purchase", "purchase_us")
+    return J.nearest(a, b, ["user_id"], "signup", "signup_us", "purchase", "purchase_us", 86_400e6)
 
 
 def fuzzy_best_line(spark: SparkSession, d: str) -> DataFrame:
@@ -334,9 +334,10 @@ def transcript_texts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def transcript_items(spark: SparkSession, d: str) -> DataFrame:
-    c = read(spark, d, "chunk_text").groupBy("orig_index", "chunk_index").agg(F.any_value("items").alias("items"), F.max("offset_sec").alias("offset_sec"))
+    c = read(spark, d, "chunk_text").groupBy("orig_index", "chunk_index").agg(F.max("items").alias("items"), F.max("offset_sec").alias("offset_sec"))
     got = A.merged_items(c, ["orig_index"], ["chunk_index"])
-    return got.select("orig_index", F.size("items").alias("n"), F.element_at("items", -1)["text"].alias("last"), F.round(F.element_at("items", -1)["end_time"], 2).alias("ends"))
+    got = got.select("orig_index", F.posexplode("items").alias("i", "x"))
+    return got.select("orig_index", "i", "x.text", "x.start_time", "x.end_time")
 
 
 def min_stem_length(spark: SparkSession, d: str) -> DataFrame:
@@ -378,12 +379,12 @@ def preflight(spark: SparkSession, d: str) -> DataFrame:
 
 
 def distinct_neighbours(spark: SparkSession, d: str) -> DataFrame:
-    return A.neighbour_indices(_clips(spark, d).where("clip_ord % 3 = 1"), EP, "clip_ord")
+    faded = W.clip_timeline(_clips(spark, d), EP, ["clip_ord"], F.col("clip_ord") % 3 == 1).where("has_fade_after")
+    return A.neighbour_indices(faded, EP, "clip_ord")
 
 
 def retention_verdict(spark: SparkSession, d: str) -> DataFrame:
-    c = _cues(spark, d).where("cue_ord % 7 <> 0")
-    return A.retention(_words(spark, d), c, EP).withColumn("ratio", F.round("ratio", 6))
+    return A.retention(_words(spark, d), _cues(spark, d), EP).withColumn("ratio", F.round("ratio", 6))
 
 
 def union_sorted(spark: SparkSession, d: str) -> DataFrame:

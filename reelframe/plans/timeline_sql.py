@@ -112,9 +112,8 @@ SQL = {
     "metric_macro_average": f"WITH {_METRIC} SELECT metric, round(sum(mean) / 2, 4) AS macro FROM n GROUP BY 1",
     "latest_metric": "SELECT 'm' AS metric, l_returnflag AS instrument, l_orderkey AS path, arg_max(l_extendedprice, row(l_linenumber, l_extendedprice)) AS value FROM lineitem GROUP BY ALL",
     "transcript_texts": "WITH c AS (SELECT orig_index, chunk_index, max(text) AS text FROM chunk_text GROUP BY ALL) SELECT orig_index, string_agg(coalesce(text, ''), '' ORDER BY chunk_index) AS text FROM c GROUP BY 1",
-    "transcript_items": """WITH c AS (SELECT orig_index, chunk_index, any_value(items) AS items, max(offset_sec) AS o FROM chunk_text GROUP BY ALL), e AS (SELECT orig_index, chunk_index, o, unnest(items) AS i, generate_subscripts(items, 1) AS k FROM c WHERE items IS NOT NULL),
-        g AS (SELECT orig_index, count(*) AS n, arg_max(i.text, row(chunk_index, k)) AS last, arg_max(round_even(i.end_time + o, 3), row(chunk_index, k)) AS ends FROM e GROUP BY 1)
-        SELECT orig_index, CAST(n AS INTEGER) AS n, last, round(ends, 2) AS ends FROM (SELECT DISTINCT orig_index FROM chunk_text) LEFT JOIN g USING (orig_index)""",
+    "transcript_items": """WITH c AS (SELECT orig_index, chunk_index, max(items) AS items, max(offset_sec) AS o FROM chunk_text GROUP BY ALL), e AS (SELECT orig_index, chunk_index, o, unnest(items) AS i, generate_subscripts(items, 1) AS k FROM c WHERE items IS NOT NULL)
+        SELECT orig_index, CAST(row_number() OVER (PARTITION BY orig_index ORDER BY chunk_index, k) - 1 AS INTEGER) AS i, i.text AS text, round_even(i.start_time + o, 3) AS start_time, round_even(i.end_time + o, 3) AS end_time FROM e""",
     "micro_timeline": f"""WITH {_CL}, t AS (SELECT episode, clip_ord, round(duration_s, 3) AS d, CASE WHEN row_number() OVER o = 1 THEN 0 WHEN lag(clip_ord % 3 = 1) OVER o THEN 10 ELSE 1 END AS f FROM cl WINDOW o AS (PARTITION BY episode ORDER BY clip_ord)),
         e AS (SELECT *, round(floor(round_even(d - f * (1 / 30.0::DOUBLE), 6) * 1000) / 1000, 3) + 0.0001::DOUBLE AS x FROM t),
         u AS (SELECT *, CAST(floor(x * 1000000) AS BIGINT) AS duration_us, CAST(floor(f / 30.0::DOUBLE * 1000000) AS BIGINT) AS source_us FROM e)
@@ -131,7 +130,7 @@ SQL = {
     "preflight": """WITH o AS (SELECT o_custkey AS k, bool_or(o_orderpriority LIKE '1%') AS a, bool_or(o_orderpriority LIKE '2%') AS b, bool_or(o_orderpriority LIKE '3%') AS c FROM orders GROUP BY 1)
         SELECT c_custkey AS k, coalesce(a, false) AS has_music, coalesce(b, false) AS has_cover, coalesce(c, false) AS has_script, coalesce(a AND b AND c, false) AS ready FROM customer LEFT JOIN o ON k = c_custkey""",
     "distinct_neighbours": f"WITH {_CL} SELECT DISTINCT episode, unnest([clip_ord, clip_ord + 1]) AS clip FROM cl WHERE clip_ord % 3 = 1",
-    "retention_verdict": f"""WITH {_W}, {_C}, a AS (SELECT episode, sum(length(text)) AS said FROM w GROUP BY 1), b AS (SELECT episode, sum(length(regexp_replace(text, {_HAN}, '', 'g'))) AS kept FROM c WHERE cue_ord % 7 <> 0 GROUP BY 1),
+    "retention_verdict": f"""WITH {_W}, {_C}, a AS (SELECT episode, sum(length(text)) AS said FROM w GROUP BY 1), b AS (SELECT episode, sum(length(regexp_replace(text, {_HAN}, '', 'g'))) AS kept FROM c GROUP BY 1),
         r AS (SELECT episode, coalesce(kept, 0) / greatest(said, 1) AS r FROM a LEFT JOIN b USING (episode)) SELECT episode, round(r::DOUBLE, 6) AS ratio, CASE WHEN r < 0.8 THEN 'reject' WHEN r < 0.9 THEN 'warn' ELSE 'ok' END AS verdict FROM r""",
     "union_sorted": f"WITH {_C} SELECT episode, cue_ord, text, CAST(row_number() OVER (PARTITION BY episode ORDER BY start_time, {_CO}) AS INTEGER) AS rank FROM c",
     "topk_per_group": "SELECT l_suppkey, l_orderkey, l_extendedprice, CAST(rn AS INTEGER) AS rn FROM (SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey) AS rn FROM lineitem) WHERE rn <= 3",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -117,6 +118,55 @@ def valid_payload(data: bytes) -> list[float] | None:
     return np.frombuffer(data, "<f4").astype(float).tolist() if len(data) % 4 == 0 else None
 
 
+def payloads(posts: DataFrame, keys: list[str], data: str) -> DataFrame:
+    """S31 on a table or stream of posted chunks: keys, samples; null where a chunk is refused. Row by row in Arrow batches."""
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            yield pdf[keys].assign(samples=[None if x is None else valid_payload(bytes(x)) for x in pdf[data]])
+
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in posts.select(*keys).schema)
+    return posts.select(*keys, data).mapInPandas(run, f"{ddl}, samples array<double>")
+
+
+class Sessions:
+    """The sessions of a server: a new id for each start, touched on access; one that was not for ``ttl_ms`` is finished, when the registry is next looked at.
+
+    ``finish`` is called with the state of a session that expires or ends; what it raises is left to it in the first case. Times are given in milliseconds, so that nothing depends on the clock.
+    """
+
+    def __init__(self, finish: Callable[[object], object], ttl_ms: int = TTL_MS) -> None:
+        self._finish, self._ttl, self._held = finish, ttl_ms, {}
+
+    def _expire(self, now_ms: int) -> None:
+        for k in [k for k, (_, seen) in self._held.items() if now_ms - seen > self._ttl]:
+            state, _ = self._held.pop(k)
+            try:
+                self._finish(state)
+            except Exception:  # noqa: BLE001, S110
+                pass
+
+    def start(self, state: object, now_ms: int) -> str:
+        key = uuid.uuid4().hex
+        self._held[key] = (state, now_ms)
+        return key
+
+    def get(self, key: str, now_ms: int) -> object | None:
+        """The state of a session, which is touched; null if there is none (any more)."""
+        self._expire(now_ms)
+        if key not in self._held:
+            return None
+        state, _ = self._held[key]
+        self._held[key] = (state, now_ms)
+        return state
+
+    def end(self, key: str, now_ms: int) -> object | None:
+        """What ``finish`` gives for a session, which is no more; null if there is none."""
+        self._expire(now_ms)
+        held = self._held.pop(key, None)
+        return None if held is None else self._finish(held[0])
+
+
 def event_sessions(stream: DataFrame, key: str, ts: str, gap: str, watermark: str) -> DataFrame:
     """Our extension: sessions by event time with a watermark; a gap longer than ``gap`` ends one."""
     s = stream.withWatermark(ts, watermark).groupBy(F.session_window(ts, gap).alias("w"), key).agg(F.count(F.lit(1)).alias("n"))
