@@ -49,4 +49,7 @@ def p9_pieces(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {"p7_containers": p7_containers, "p7_attention": p7_attention, "p8_found": p8_found, "p8_removed": p8_removed, "p9_pieces": p9_pieces}
-SQL: dict[str, str] = {}
+# Every run of 32 letters of every text, in blocks (a substring is counted from the start of its text). DuckDB composes characters but knows no compatibility forms, which these tables' letters have none of.
+_RUNS = r"""SELECT {0}, substr(b, i, 32) AS g FROM (SELECT {0}, substr(t, k, 231) AS b FROM (SELECT {0}, regexp_replace(lower(nfc_normalize(text)), '[^\p{{L}}]', '', 'g') AS t FROM {1} WHERE text IS NOT NULL) x, LATERAL (SELECT unnest(range(1, length(t) + 1, 200)) AS k)) y,
+        LATERAL (SELECT unnest(range(1, least(length(b) - 31, 200) + 1)) AS i)"""
+SQL: dict[str, str] = {"p8_found": f"WITH d AS ({_RUNS.format('doc_id', 'documents')}), e AS (SELECT DISTINCT * FROM ({_RUNS.format('item_id', 'eval_item')})) SELECT DISTINCT doc_id, item_id FROM d JOIN e USING (g)"}
