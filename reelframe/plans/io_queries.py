@@ -37,7 +37,7 @@ def result_json(spark: SparkSession, d: str) -> DataFrame:
     j = K.result_json(rows, EP, ["cue_ord"], "n")
     back = F.from_json("json", "total long, note string, subtitles array<struct<text:string,start_time:double,end_time:double,duration:double>>")
     j = j.select("episode", back.alias("j")).select("episode", "j.total", "j.note", F.posexplode("j.subtitles").alias("i", "c"))
-    return j.select("episode", "total", "note", "i", "c.text", "c.start_time", "c.end_time", F.round("c.duration", 2).alias("duration"))
+    return j.select("episode", "total", "note", "i", "c.text", "c.start_time", "c.end_time", "c.duration")
 
 
 def manifest_json(spark: SparkSession, d: str) -> DataFrame:
@@ -133,7 +133,7 @@ SQL = {
     "srt_write": f"""WITH {_C}, n AS (SELECT *, row_number() OVER (PARTITION BY episode ORDER BY cue_ord, start_time, end_time, text) AS i FROM c WHERE start_time >= 0 AND end_time >= 0)
         SELECT episode, string_agg(i || chr(10) || {_AT.format('start_time')} || ' --> ' || {_AT.format('end_time')} || chr(10) || text || chr(10) || chr(10), '' ORDER BY i) AS srt FROM n GROUP BY 1""",
     "result_json": f"""WITH {_C}, r AS (SELECT episode, cue_ord, min(start_time) AS s, max(end_time) AS e, min(text) AS text FROM c GROUP BY ALL)
-        SELECT episode, count(*) OVER (PARTITION BY episode) AS total, 'n' AS note, CAST(row_number() OVER (PARTITION BY episode ORDER BY cue_ord) - 1 AS INTEGER) AS i, text, s AS start_time, e AS end_time, round(round_even(e - s, 3), 2) AS duration FROM r""",
+        SELECT episode, count(*) OVER (PARTITION BY episode) AS total, 'n' AS note, CAST(row_number() OVER (PARTITION BY episode ORDER BY cue_ord) - 1 AS INTEGER) AS i, text, s AS start_time, e AS end_time, round_even(e - s, 3) AS duration FROM r""",
     "manifest_json": f"WITH {_CL} SELECT episode, CAST(row_number() OVER (PARTITION BY episode ORDER BY clip_ord) - 1 AS INTEGER) AS clip_ord, file, duration_s FROM cl",
     "concat_filters": f"""WITH {_CL}, t AS (SELECT *, CASE WHEN row_number() OVER o = 1 THEN 0 WHEN lag(clip_ord % 3 = 1) OVER o THEN 10 ELSE 1 END AS trim FROM cl WINDOW o AS (PARTITION BY episode ORDER BY clip_ord)),
         p AS (SELECT episode, clip_ord AS i, printf('[%d:v]trim=start=%.6f,setpts=PTS-STARTPTS,scale=1920:1080,fps=30', clip_ord, trim / 30.0::DOUBLE)

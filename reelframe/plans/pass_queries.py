@@ -218,7 +218,7 @@ def kept_replacements(spark: SparkSession, d: str) -> DataFrame:
 def answer_segments(spark: SparkSession, d: str) -> DataFrame:
     """Numbered lines of the script with pauses and speakers, as a model's answer."""
     s = _script(spark, d).where("line IS NOT NULL").withColumn("k", F.floor(F.col("line_ord") / 5))
-    row = F.struct("line_ord", F.concat((F.col("line_ord") % 5 + 1).cast("string"), F.lit(". 甲："), F.left("line", F.lit(3)), F.lit("[1.2s]"), F.substring("line", 4, 99)).alias("t"))
+    row = F.struct("line_ord", F.concat((F.col("line_ord") % 5 + 1).cast("string"), F.lit(". 甲："), F.left("line", F.lit(3)), F.lit("[1.2s]"), F.substring(F.col("line"), F.lit(4), F.length("line"))).alias("t"))
     a = s.groupBy("episode", "k").agg(F.concat(F.array_join(F.transform(F.array_sort(F.collect_list(row)), lambda x: x["t"]), "\n"), F.lit("\n\n")).alias("answer"))
     return a.select("episode", "k", F.posexplode(T.segments("answer")).alias("i", "text"))
 

@@ -70,8 +70,8 @@ def script_json_texts(spark: SparkSession, d: str) -> DataFrame:
 
 def music_tag_files(spark: SparkSession, d: str) -> DataFrame:
     """The tags of a folder as one JSON map, with a copy of some below completed/ that overrides them, and a broken file."""
-    m = read(spark, d, "music_tag").where("folder IS NOT NULL AND file IS NOT NULL").withColumn("folder", F.replace("folder", F.lit("/"), F.lit("_"))).groupBy("folder", "file").agg(F.max(F.struct("energy", "vocal")).alias("t"))
-    entry = F.struct("file", F.struct("t.energy", "t.vocal", F.array(F.lit("古筝"), F.col("file")).alias("style")).alias("v"))
+    m = read(spark, d, "music_tag").where("folder IS NOT NULL AND file IS NOT NULL").withColumn("folder", F.replace("folder", F.lit("/"), F.lit("_"))).groupBy("folder", "file").agg(F.max("energy").alias("energy"), F.max("vocal").alias("vocal"))
+    entry = F.struct("file", F.struct("energy", "vocal", F.array(F.lit("古筝"), F.col("file")).alias("style")).alias("v"))
     maps = m.groupBy("folder").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry)))).alias("text"), F.min("file").alias("first"))
     plain = maps.select(F.concat(F.lit("/r/"), "folder", F.lit("/music_tags.json")).alias("path"), "text")
     done = maps.select(F.concat(F.lit("/r/completed/"), "folder", F.lit("/music_tags.json")).alias("path"), F.to_json(F.create_map("first", F.struct(F.lit("最高").alias("energy")))).alias("text"))
@@ -212,8 +212,8 @@ SQL = {
     "numbered_texts": f"WITH {_S} SELECT '/x/' || episode AS folder, string_agg(line, chr(10) ORDER BY line_ord) AS text FROM s WHERE line IS NOT NULL AND line_ord % 7 <> 6 GROUP BY 1",
     "script_json_texts": f"""WITH {_S}, n AS (SELECT *, row_number() OVER (PARTITION BY episode ORDER BY line_ord) - 1 AS i, (length(episode) + count(*) OVER (PARTITION BY episode)) % 3 AS k FROM s WHERE line IS NOT NULL)
         SELECT episode AS path, CAST(CASE WHEN k = 2 THEN 1 ELSE i END AS INTEGER) AS ord, line || chr(10) || line AS text FROM n WHERE k = 1 OR i = 0""",
-    "music_tag_files": """WITH m AS (SELECT replace(folder, '/', '_') AS folder, file, max({'e': energy, 'v': vocal}) AS t FROM music_tag WHERE folder IS NOT NULL AND file IS NOT NULL GROUP BY 1, 2), f AS (SELECT *, min(file) OVER (PARTITION BY folder) AS first FROM m)
-        SELECT folder, file, CASE WHEN file = first THEN '最高' ELSE t.e END AS energy, CASE WHEN file <> first THEN t.v END AS vocal, CASE WHEN file <> first THEN '古筝|' || file END AS style FROM f""",
+    "music_tag_files": """WITH m AS (SELECT replace(folder, '/', '_') AS folder, file, max(energy) AS e, max(vocal) AS v FROM music_tag WHERE folder IS NOT NULL AND file IS NOT NULL GROUP BY 1, 2), f AS (SELECT *, min(file) OVER (PARTITION BY folder) AS first FROM m)
+        SELECT folder, file, CASE WHEN file = first THEN '最高' ELSE e END AS energy, CASE WHEN file <> first THEN v END AS vocal, CASE WHEN file <> first THEN '古筝|' || file END AS style FROM f""",
     "music_choice": f"WITH {_CL} SELECT episode AS path, 'g' AS genre, CAST(row_number() OVER (PARTITION BY episode ORDER BY clip_ord) - 1 AS INTEGER) AS sel_ord, file, (CASE WHEN clip_ord % 2 = 0 THEN clip_ord * 5.0 ELSE -1.0 END)::DOUBLE AS start_percent FROM cl",
     "track_listing": r"""WITH f AS (SELECT '/data/' || regexp_replace(p_brand, '\W', '_', 'g') || '/' || p_partkey || '.x.wav' AS path, p_partkey || '.x' AS stem, regexp_replace(p_brand, '\W', '_', 'g') AS parent FROM part)
         SELECT path, stem AS instrument, parent AS song, 1 AS layout FROM f UNION ALL SELECT path, parent, stem, 2 FROM f""",
