@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelframe.functions.text import han, ordered_share
+from reelframe.functions.text import bound, han, ordered_share
 
 
 def _c(x: Column | str) -> Column:
@@ -55,9 +55,9 @@ def token_slice(start_s: Column | str, end_s: Column | str, rate: int, n: Column
 
 def range_buckets(values: Column | str, n: int) -> Column:
     """Slices of a sorted array whose values fall into successive ranges of ``n``: array of struct(bucket, lo, hi), empty ranges left out."""
-    v = _c(values)
-    b = F.transform(v, lambda x: F.floor(x / F.lit(n)))
-    return F.transform(F.array_distinct(b), lambda k: F.struct(k.alias("bucket"), (F.array_position(b, k) - 1).alias("lo"), (F.array_position(b, k) - 1 + F.size(F.filter(b, lambda y: y == k))).alias("hi")))
+    b = F.transform(_c(values), lambda x: F.floor(x / F.lit(n)))
+    first = lambda b, k: F.array_position(b, k) - 1
+    return bound(b, lambda b: F.transform(F.array_distinct(b), lambda k: F.struct(k.alias("bucket"), first(b, k).alias("lo"), (first(b, k) + F.size(F.filter(b, lambda y: y == k))).alias("hi"))))
 
 
 def masked_labels(ids: Column | str, prefix: Column | str, pad: int | None) -> Column:
@@ -68,8 +68,8 @@ def masked_labels(ids: Column | str, prefix: Column | str, pad: int | None) -> C
 
 def decoded_times(words: Column | str, stamps_ms: Column | str) -> Column:
     """Word i from stamps 2i and 2i+1, in seconds to 3 places."""
-    at = lambda i: F.bround(F.element_at(_c(stamps_ms), i) / F.lit(1000.0), 3)
-    return F.transform(_c(words), lambda w, i: F.struct(w.alias("text"), at(2 * i + 1).alias("start_time"), at(2 * i + 2).alias("end_time")))
+    at = lambda ms, i: F.bround(F.element_at(ms, i) / F.lit(1000.0), 3)
+    return bound(_c(stamps_ms), lambda ms: F.transform(_c(words), lambda w, i: F.struct(w.alias("text"), at(ms, 2 * i + 1).alias("start_time"), at(ms, 2 * i + 2).alias("end_time"))))
 
 
 def instrumental(tags: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from reelframe.functions.text import bound
+
 EPS = 1e-8
 SAMPLE_RATE = 16_000
 
@@ -89,14 +91,15 @@ def std(x: Column, ddof: int = 0) -> Column:
 
 def standardised(x: Column, ddof: int = 0) -> Column:
     """Less the mean, over the deviation; unchanged where that is 0."""
-    m, s = mean(x), std(x, ddof)
-    return F.when(s > 0, F.transform(x, lambda v: (v - m) / s)).otherwise(x)
+    known = lambda x: F.struct(x.alias("x"), mean(x).alias("m"), std(x, ddof).alias("s"))
+    return bound(x, lambda x: bound(known(x), lambda k: F.when(k["s"] > 0, F.transform(k["x"], lambda v: (v - k["m"]) / k["s"])).otherwise(k["x"])))
 
 
 def peak_normalised(x: Column) -> Column:
     """Scaled down to a peak of 1 only if it is above, then clipped."""
-    peak = F.array_max(F.transform(x, F.abs))
-    return F.transform(x, lambda v: F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.when(peak > 1, v / peak).otherwise(v))))
+    known = lambda x: F.struct(x.alias("x"), F.array_max(F.transform(x, F.abs)).alias("peak"))
+    scaled = lambda k: F.transform(k["x"], lambda v: F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.when(k["peak"] > 1, v / k["peak"]).otherwise(v))))
+    return bound(x, lambda x: bound(known(x), scaled))
 
 
 def from_int16(x: Column) -> Column:
@@ -160,8 +163,7 @@ def fade_window(size: int, fade: int) -> Column:
 
 def fixed_chunk(x: Column, offset: int, size: int) -> Column:
     """``size`` samples from ``offset``, zeros after the end."""
-    part = F.slice(x, offset + 1, size)
-    return F.concat(part, F.array_repeat(F.lit(0.0), F.lit(size) - F.size(part)))
+    return bound(F.slice(x, offset + 1, size), lambda part: F.concat(part, F.array_repeat(F.lit(0.0), F.lit(size) - F.size(part))))
 
 
 def is_loud(x: Column, least: float) -> Column:
@@ -171,16 +173,20 @@ def is_loud(x: Column, least: float) -> Column:
 
 def linear_resample(x: Column, rate: int, to: int = SAMPLE_RATE) -> Column:
     """Linear resampling at the new rate's times; the last sample holds."""
-    n = F.floor(F.size(x) * F.lit(to) / F.lit(rate)).cast("int")
-    last = F.size(x) - 1
 
-    def at(i: Column) -> Column:
-        p = F.least(i.cast("double") * rate / to, last.cast("double"))
-        lo = F.floor(p).cast("int")
-        a, b = F.element_at(x, lo + 1), F.element_at(x, F.least(lo + 1, last) + 1)
-        return a + (b - a) * (p - lo)
+    def resampled(x: Column) -> Column:
+        n = F.floor(F.size(x) * F.lit(to) / F.lit(rate)).cast("int")
+        last = F.size(x) - 1
+
+        def at(i: Column) -> Column:
+            p = F.least(i.cast("double") * rate / to, last.cast("double"))
+            lo = F.floor(p).cast("int")
+            a, b = F.element_at(x, lo + 1), F.element_at(x, F.least(lo + 1, last) + 1)
+            return a + (b - a) * (p - lo)
+
+        return F.when((F.size(x) == 0) | (n == 0), F.array().cast("array<double>")).otherwise(F.transform(F.sequence(F.lit(0), n - 1), at))
 
-    return F.when((F.size(x) == 0) | (n == 0), F.array().cast("array<double>")).otherwise(F.transform(F.sequence(F.lit(0), n - 1), at))
+    return bound(x, resampled)
 
 
 def stem_format(x: Column) -> Column:

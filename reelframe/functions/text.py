@@ -32,6 +32,11 @@ def chars(x: Column | str) -> Column:
     return F.filter(F.split(_c(x), ""), lambda c: c != "")
 
 
+def bound(value: Column, fn) -> Column:  # noqa: ANN001
+    """``fn`` of a value that is computed once, however often fn looks at it: inside a lambda an expression would be computed anew for each element."""
+    return F.transform(F.array(value), fn)[0]
+
+
 def han(x: Column | str) -> Column:
     """Han characters only."""
     return F.regexp_replace(_c(x), NOT_HAN, "")
@@ -94,19 +99,22 @@ def padded_range(x: Column | str, pad: float = 0.5) -> Column:
 
 def lcs_length(a: Column | str, b: Column | str) -> Column:
     """Length of the longest common subsequence, one row of the table at a time (for short texts)."""
-    bs = chars(b)
-    zero = F.transform(F.sequence(F.lit(0), F.size(bs)), lambda _: F.lit(0))
 
-    def row(prev: Column, ch: Column) -> Column:
-        # cur[j] = prev[j-1] + 1 if equal, else the greater of prev[j] and cur[j-1]
-        start = F.array(F.lit(0))
-        step = lambda cur, j: F.concat(
-            cur,
-            F.array(F.when(F.element_at(bs, j) == ch, F.element_at(prev, j) + 1).otherwise(F.greatest(F.element_at(prev, j + 1), F.element_at(cur, -1)))),
-        )
-        return F.when(F.size(bs) == 0, start).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(bs), F.lit(1))), start, step))
+    def table(bs: Column) -> Column:
+        zero = F.transform(F.sequence(F.lit(0), F.size(bs)), lambda _: F.lit(0))
+
+        def row(prev: Column, ch: Column) -> Column:
+            # cur[j] = prev[j-1] + 1 if equal, else the greater of prev[j] and cur[j-1]
+            start = F.array(F.lit(0))
+            step = lambda cur, j: F.concat(
+                cur,
+                F.array(F.when(F.element_at(bs, j) == ch, F.element_at(prev, j) + 1).otherwise(F.greatest(F.element_at(prev, j + 1), F.element_at(cur, -1)))),
+            )
+            return F.when(F.size(bs) == 0, start).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(bs), F.lit(1))), start, step))
+
+        return F.element_at(F.aggregate(chars(a), zero, row), -1)
 
-    return F.element_at(F.aggregate(chars(a), zero, row), -1)
+    return bound(chars(b), table)
 
 
 def lcs_ratio(a: Column | str, b: Column | str) -> Column:
@@ -182,7 +190,7 @@ def is_known_language(x: Column | str) -> Column:
 def merged_languages(xs: Column | str) -> Column:
     """A10: languages in order, without blanks and repeats of the one before, joined by commas."""
     ts = F.filter(F.transform(F.coalesce(_c(xs), F.array().cast("array<string>")), lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != ""))
-    kept = F.filter(ts, lambda x, i: (i == 0) | (x != F.try_element_at(ts, F.greatest(i, F.lit(1)))))
+    kept = bound(ts, lambda t: F.filter(t, lambda x, i: (i == 0) | (x != F.try_element_at(t, F.greatest(i, F.lit(1))))))
     return F.array_join(kept, ",")
 
 
@@ -276,9 +284,9 @@ def title_case(x: Column | str) -> Column:
 
 def expand_placeholders(x: Column | str, marker: str, lengths: Column | str) -> Column:
     """The k-th marker is repeated lengths[k] times; a marker beyond the lengths stays single."""
-    parts = F.split(_c(x), "\\Q" + marker + "\\E")
-    times = lambda i: F.coalesce(F.try_element_at(_c(lengths), i + 1), F.lit(1)).cast("int")
-    return F.array_join(F.transform(parts, lambda p, i: F.when(i < F.size(parts) - 1, F.concat(p, F.repeat(F.lit(marker), times(i)))).otherwise(p)), "")
+    both = F.struct(F.split(_c(x), "\\Q" + marker + "\\E").alias("p"), _c(lengths).alias("n"))
+    times = lambda v, i: F.coalesce(F.try_element_at(v["n"], i + 1), F.lit(1)).cast("int")
+    return bound(both, lambda v: F.array_join(F.transform(v["p"], lambda p, i: F.when(i < F.size(v["p"]) - 1, F.concat(p, F.repeat(F.lit(marker), times(v, i)))).otherwise(p)), ""))
 
 
 def manual_junctions(x: Column | str, clips: Column | int) -> Column:
