@@ -6,13 +6,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: The bucket of rows whose bucket is null: before all others.
+_NULL_BUCKET = -(1 << 62)
+
+
+def keyed(df: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
+    """Add _key, the keys as one struct, and _bucket, never null. Structs of null fields equal each other, so that null keys join as they meet in a window's
+    partition, and an equi-join on (_key, _bucket) finds rows where a window over them has put and sorted them."""
+    return df.withColumn("_key", F.struct(*keys)).withColumn("_bucket", F.coalesce(bucket.cast("long"), F.lit(_NULL_BUCKET)))
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """An inner equi-join in which null keys meet null keys, as they do in a window's partition; the columns of ``on`` come once."""
-    r = right.select(*[F.col(k).alias(f"_on{i}") for i, k in enumerate(on)], *[c for c in right.columns if c not in on])
-    cond = F.lit(True)
-    for i, k in enumerate(on):
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_on{i}"))
-    return left.join(r, cond).drop(*[f"_on{i}" for i in range(len(on))])
+    """An inner equi-join in which null keys meet null keys; the columns of ``on`` come once."""
+    r = right.select(F.struct(*on).alias("_on"), *[c for c in right.columns if c not in on])
+    return left.withColumn("_on", F.struct(*on)).join(r, "_on").drop("_on")
 
 
 def bucketed(df: DataFrame, keys: list[str], order: list[str | Column], value: str, out: str, bucket: Column, how: str = "sum", falling: bool = False) -> DataFrame:
@@ -24,18 +31,18 @@ def bucketed(df: DataFrame, keys: list[str], order: list[str | Column], value: s
     and rows whose bucket is null are a bucket of their own, so that every row stays.
     """
     take = {"sum": F.sum, "max": F.max, "last": lambda c: F.last(c, ignorenulls=True)}[how]
-    b = df.withColumn("_bucket", bucket)
-    inner = Window.partitionBy(*keys, "_bucket").orderBy(*order)
+    b = keyed(df, keys, bucket)
+    inner = Window.partitionBy("_key", "_bucket").orderBy(*order)
     upto = inner.rowsBetween(Window.unboundedPreceding, 0)
     local = b.withColumn("_local", take(value).over(upto))
     if how == "last":  # an aggregate has no order: the last row of a bucket tells
-        ends = local.withColumn("_from_end", F.lead(F.lit(1)).over(inner)).where("_from_end IS NULL").select(*keys, "_bucket", F.col("_local").alias("_total"))
+        ends = local.withColumn("_from_end", F.lead(F.lit(1)).over(inner)).where("_from_end IS NULL").select("_key", "_bucket", F.col("_local").alias("_total"))
     else:
-        ends = b.groupBy(*keys, "_bucket").agg(take(value).alias("_total"))
-    before = Window.partitionBy(*keys).orderBy(F.desc("_bucket") if falling else F.asc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+        ends = b.groupBy("_key", "_bucket").agg(take(value).alias("_total"))
+    before = Window.partitionBy("_key").orderBy(F.desc("_bucket") if falling else F.asc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     ends = ends.withColumn("_base", take("_total").over(before)).drop("_total")
     both = {"sum": lambda: F.col("_local") + F.coalesce(F.col("_base"), F.lit(0)), "max": lambda: F.greatest("_local", "_base"), "last": lambda: F.coalesce("_local", "_base")}[how]()
-    return null_safe_join(local, ends, [*keys, "_bucket"]).withColumn(out, both).drop("_local", "_base", "_bucket")
+    return local.join(ends, ["_key", "_bucket"]).withColumn(out, both).drop("_local", "_base", "_bucket", "_key")
 
 
 def bucketed_cumsum(df: DataFrame, keys: list[str], order: str, value: str, out: str, bucket: Column) -> DataFrame:
@@ -53,9 +60,9 @@ def neighbour(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
     step = F.lead if ahead else F.lag
     if bucket is None:
         return df.withColumn(out, step(here).over(Window.partitionBy(*keys).orderBy(*order)))
-    rows = df.withColumn("_bucket", bucket)
+    rows = keyed(df, keys, bucket)
     pick = F.min_by if ahead else F.max_by
-    ends = rows.groupBy(*keys, "_bucket").agg(pick(here, F.struct(*order)).alias("_end"))
-    ends = ends.withColumn("_next", step("_end").over(Window.partitionBy(*keys).orderBy("_bucket"))).drop("_end")
-    rows = rows.withColumn(out, step(here).over(Window.partitionBy(*keys, "_bucket").orderBy(*order)))
-    return null_safe_join(rows, ends, [*keys, "_bucket"]).withColumn(out, F.coalesce(out, "_next")).drop("_bucket", "_next")
+    ends = rows.groupBy("_key", "_bucket").agg(pick(here, F.struct(*order)).alias("_end"))
+    ends = ends.withColumn("_next", step("_end").over(Window.partitionBy("_key").orderBy("_bucket"))).drop("_end")
+    rows = rows.withColumn(out, step(here).over(Window.partitionBy("_key", "_bucket").orderBy(*order)))
+    return rows.join(ends, ["_key", "_bucket"]).withColumn(out, F.coalesce(out, "_next")).drop("_bucket", "_next", "_key")

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from reelframe.functions.text import NOT_HAN
 from reelframe.operators.ranks import bucketed, neighbour, null_safe_join
+from reelframe.session import spread
 
 _NOT_HAN = re.compile(NOT_HAN)
 PARTICLES = "吗呢吧啊哦嗯哈呀啦哟"  # fixed value: particles that a line of the script may end in
@@ -798,7 +799,7 @@ def words_to_cues(words: DataFrame, keys: list[str], order: list[str], gap: floa
     rows = rows.select(*keys, "_island", "_last", *dict.fromkeys([*order, "text", "start_time", "end_time"]))
 
     # Islands are many and short: they stream through a task in order, instead of being a group each.
-    routed = rows.repartition(*keys, "_island").sortWithinPartitions(*keys, "_island", *order)
+    routed = spread(rows, [*keys, "_island"]).sortWithinPartitions(*keys, "_island", *order)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, words, last = None, [], False
@@ -839,7 +840,7 @@ def correct_cues(cues: DataFrame, lines: DataFrame, keys: list[str], cue_ord: st
         return out[[*keys, cue_ord, "text", "start_time", "end_time", "match_li", "match_score"]]
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in c.select(*keys).schema)
-    return c.groupBy(*keys).cogroup(s.groupBy(*keys)).applyInPandas(run, ddl + f", `{cue_ord}` long, text string, start_time double, end_time double, match_li int, match_score double")
+    return spread(c, keys).groupBy(*keys).cogroup(spread(s, keys).groupBy(*keys)).applyInPandas(run, ddl + f", `{cue_ord}` long, text string, start_time double, end_time double, match_li int, match_score double")
 
 
 def align_cues(segments: DataFrame, words: DataFrame, lines: DataFrame, keys: list[str], seg_ord: str, word_ord: str, line_ord: str) -> DataFrame:
@@ -864,7 +865,7 @@ def align_cues(segments: DataFrame, words: DataFrame, lines: DataFrame, keys: li
         return out[[*keys, "ord", "text", "start_time", "end_time"]]
 
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in w.select(*keys).schema)
-    return told.groupBy(*keys).cogroup(w.groupBy(*keys)).applyInPandas(run, ddl + ", ord long, text string, start_time double, end_time double")
+    return spread(told, keys).groupBy(*keys).cogroup(spread(w, keys).groupBy(*keys)).applyInPandas(run, ddl + ", ord long, text string, start_time double, end_time double")
 
 
 def _key_ddl(df: DataFrame, keys: list[str]) -> str:
@@ -886,7 +887,7 @@ def segment_pass(segments: DataFrame, lines: DataFrame, keys: list[str], seg_ord
             out[k] = a[k].iloc[0] if len(a) else None
         return out[[*keys, "ord", "text"]]
 
-    return seg.groupBy(*keys).cogroup(script.groupBy(*keys)).applyInPandas(run, f"{_key_ddl(seg, keys)}, ord long, text string")
+    return spread(seg, keys).groupBy(*keys).cogroup(spread(script, keys).groupBy(*keys)).applyInPandas(run, f"{_key_ddl(seg, keys)}, ord long, text string")
 
 
 def cue_pass(cues: DataFrame, keys: list[str], order: list[str], fn: Callable[[list[Cue]], list[Cue]]) -> DataFrame:
@@ -901,7 +902,7 @@ def cue_pass(cues: DataFrame, keys: list[str], order: list[str], fn: Callable[[l
             out[k] = pdf[k].iloc[0]
         return out[[*keys, "ord", "text", "start_time", "end_time"]]
 
-    return c.groupBy(*keys).applyInPandas(run, f"{_key_ddl(c, keys)}, ord long, text string, start_time double, end_time double")
+    return spread(c, keys).groupBy(*keys).applyInPandas(run, f"{_key_ddl(c, keys)}, ord long, text string, start_time double, end_time double")
 
 
 @F.pandas_udf(T.ArrayType(T.LongType()))

@@ -56,6 +56,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows by a hash of ``keys`` in two partitions a core: for work in Python, which takes long for few bytes, so that partitions must not be merged by their size."""
+    return df.repartition(max(2, 2 * df.sparkSession.sparkContext.defaultParallelism), *keys)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/reelframe-{name}-{uuid.uuid4().hex}"
