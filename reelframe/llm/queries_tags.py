@@ -9,9 +9,11 @@ from reelframe.llm.ngram_counts import marked, ngram_counts
 from reelframe.llm.pair_table import PairTable
 from reelframe.llm.set_join import similar_pairs
 from reelframe.llm.tags import compared_tags, current_rows
-from reelframe.session import cut, read
+from reelframe.session import cut, read, spread
 
 MIN_TOGETHER, MIN_LIFT = 5, 3
+#: Hash buckets of the pair table: tags make tens of thousands of pairs, some thousands a bucket.
+TAG_BUCKETS = 8
 RARE_TRACKS, COMMON_SHARE = 2, 0.18
 MIN_SIMILARITY = 0.6
 
@@ -28,8 +30,9 @@ def _pair_table(spark: SparkSession, d: str) -> PairTable:
     rows = read(spark, d, "music_tag").where("track_id IS NOT NULL").select("track_id", "emotion", "style", "loaded_at")
     tags, at = F.struct("emotion", "style"), F.struct("loaded_at", F.xxhash64("emotion", "style"))
     versions = rows.groupBy("track_id").agg(F.min_by(tags, at).alias("f"), F.max_by(tags, at).alias("l"))
+    versions = spread(versions, ["track_id"])
     baskets = cut(versions.select("track_id", *[F.concat(compared_tags(f"{v}.emotion"), compared_tags(f"{v}.style")).alias(v) for v in "fl"]))
-    table = PairTable(spark)
+    table = PairTable(spark, buckets=TAG_BUCKETS)
     table.apply(baskets.withColumn("none", F.array().cast("array<string>")), "none", "f")
     table.apply(baskets, "f", "l")
     return table

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelframe.functions.text import NOT_HAN
-from reelframe.session import cut
+from reelframe.session import cut, spread
 
 # Fixed values of the transcripts: time stamps, markers of a label, sound annotations, hesitations.
 _STAMP = re.compile(
@@ -568,7 +568,7 @@ def speaker_turns(
         yield done()
 
     ddl = "orig_index int, section long, seq int, start_ms long, speaker string, text string, lines int, last string, first string, second string, final string, turns int"
-    hours = lines.withColumn("hour", F.floor(F.col("t_ms") / (1000 * section_s))).repartition("orig_index", "hour")
+    hours = spread(lines.withColumn("hour", F.floor(F.col("t_ms") / (1000 * section_s))), ["orig_index", "hour"])
     once = hours.groupBy("orig_index", "hour", *_SAME).agg(F.min(F.struct("chunk_index", "line_no")).alias("at")).sortWithinPartitions("orig_index", "hour", "t_ms", "at")
     parts = cut(once.select("orig_index", "hour", "t_ms", "label", "exact", "text", "spoken").mapInPandas(decode, ddl))
 
