@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +13,7 @@ from reelframe.plans.timeline_queries import EP, _clips, _cues, _frames, _metric
 from reelframe.session import read, scratch_path
 from reelframe.sources import readers as R
 from reelframe.sources import writers as K
+from reelframe.sources.frames import encoded, read_frames
 from reelframe.streaming import count_window as W
 
 
@@ -119,6 +123,35 @@ def edge_frames(spark: SparkSession, d: str) -> DataFrame:
     return R.head_and_tail_frames(_frames(spark, d), ["user_id"], 2.0, 2.0).select("user_id", "frame_idx")
 
 
+def _recorded(spark: SparkSession, d: str) -> str:
+    """A folder with the frames of each user as a recorded video of two frames a second, and one broken file."""
+    path = scratch_path(spark, "frames")
+
+    def write(pdf: pd.DataFrame) -> pd.DataFrame:
+        fs, base = pafs.FileSystem.from_uri(path)
+        fs.create_dir(base)
+        pdf = pdf.sort_values("frame_idx")
+        user = int(pdf["user_id"].iloc[0])
+        with fs.open_output_stream(f"{base}/u{user}.frames") as f:
+            f.write(encoded(2.0, np.stack([pdf["brightness"], pdf["brightness"] / 400, pdf["has_text"].astype(float)], axis=1)) if user % 7 else b"no")
+        return pd.DataFrame({"n": [len(pdf)]})
+
+    _frames(spark, d).groupBy("user_id").applyInPandas(write, "n long").write.format("noop").mode("overwrite").save()
+    return path
+
+
+def frame_source(spark: SparkSession, d: str) -> DataFrame:
+    """The first and last two seconds of recorded videos, of which no other frame is read."""
+    f = read_frames(spark, _recorded(spark, d), suffix=".frames", seconds="2")
+    return f.select(F.regexp_extract("path", r"u(\d+)\.frames$", 1).cast("long").alias("user_id"), "fps", "total", "frame_idx", "brightness", "bright_ratio", "edge_ratio")
+
+
+def video_lengths(spark: SparkSession, d: str) -> DataFrame:
+    """Their lengths in seconds, 0 where the probe fails."""
+    f = read_frames(spark, _recorded(spark, d), suffix=".frames", frames="false")
+    return f.select(F.regexp_extract("path", r"u(\d+)\.frames$", 1).cast("long").alias("user_id"), F.coalesce(F.try_divide("total", "fps"), F.lit(0.0)).alias("duration_s"))
+
+
 def sparse_frames(spark: SparkSession, d: str) -> DataFrame:
     """Every 0.3 s of the first three, at ten frames a second."""
     return R.sparse_frames(_frames(spark, d), 10.0).select("user_id", "frame_idx")
@@ -190,7 +223,7 @@ def transcribed_stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    frame_dialogues, srt_strict, media_listing, numbered_texts, script_json_texts, music_tag_files, music_choice, track_listing, training_lines, latest_checkpoint, word_list, edge_frames, sparse_frames,
+    frame_dialogues, srt_strict, media_listing, numbered_texts, script_json_texts, music_tag_files, music_choice, track_listing, training_lines, latest_checkpoint, word_list, edge_frames, frame_source, video_lengths, sparse_frames,
     classified_trim, sampled_tracks, kept_table, log_lines, archived_names, payload_samples, transcribed_stream,
 )}
 
@@ -221,6 +254,10 @@ SQL = {
     "latest_checkpoint": "SELECT 'checkpoint-' || max(o_orderkey) AS name, max(o_orderkey) AS step FROM orders WHERE o_orderkey % 2 = 0 HAVING count(*) > 0",
     "word_list": f"WITH {_S} SELECT line AS word, count(*) AS n FROM s WHERE line <> '' GROUP BY 1",
     "edge_frames": f"WITH {_FR} SELECT user_id, CAST(frame_idx AS INTEGER) AS frame_idx FROM f WHERE frame_idx < 4 OR frame_idx >= n - 4",
+    "frame_source": """WITH f AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n, value AS v, event_type FROM events WHERE value IS NOT NULL)
+        SELECT user_id, 2.0::DOUBLE AS fps, n AS total, i AS frame_idx, v AS brightness, v / 400 AS bright_ratio, CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END::DOUBLE AS edge_ratio FROM f WHERE user_id % 7 <> 0 AND (i < 4 OR i >= n - 4)
+        UNION ALL SELECT user_id, 0.0, 0, NULL, NULL, NULL, NULL FROM f WHERE user_id % 7 = 0 GROUP BY user_id""",
+    "video_lengths": "SELECT user_id, CASE WHEN user_id % 7 = 0 THEN 0.0 ELSE count(*) / 2.0 END::DOUBLE AS duration_s FROM events WHERE value IS NOT NULL GROUP BY 1",
     "sparse_frames": f"WITH {_FR} SELECT user_id, CAST(frame_idx AS INTEGER) AS frame_idx FROM f WHERE frame_idx IN (0, 3, 6, 9, 12, 15, 18, 21, 24, 27)",
     "classified_trim": """SELECT user_id, coalesce(min(event_id) FILTER (WHERE event_type = 'view' AND value / 100 > 0.85), max(event_id) FILTER (WHERE event_type <> 'view') + 0.3)::DOUBLE AS start_trim FROM events GROUP BY 1""",
     "sampled_tracks": "SELECT 5000 AS draws, 5000 AS distinct_draws, true AS within",
