@@ -110,8 +110,8 @@ def nearest(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, le
     a = left.select(*keys, F.col(left_at).alias("_t"), F.lit(1).alias("_side"), F.col(left_id).alias("_l"), F.lit(None).cast(right.schema[right_id].dataType).alias("_r"))
     b = right.where(F.col(right_at).isNotNull()).select(*keys, F.col(right_at).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(left.schema[left_id].dataType).alias("_l"), F.col(right_id).alias("_r"))
     rows = a.unionByName(b).withColumn("_x", F.when(F.col("_side") == 0, F.struct(F.col("_t").alias("t"), F.col("_r").alias("r"))))
-    rows = keyed(rows, keys, F.floor(F.col("_t") / width) if width else F.lit(0))
-    inner = Window.partitionBy("_key", "_bucket")
+    rows, k = keyed(rows, keys, F.floor(F.col("_t") / width) if width else F.lit(0))
+    inner = Window.partitionBy(*k, "_in_bucket")
     before = inner.orderBy("_t", "_side", F.desc("_r"), "_l").rowsBetween(Window.unboundedPreceding, 0)
     # Behind: the least id among those of the next time; sides are turned so that equal times count once, before.
     behind = inner.orderBy(F.desc("_t"), "_side", F.desc("_r"), "_l").rowsBetween(Window.unboundedPreceding, 0)
@@ -119,11 +119,11 @@ def nearest(left: DataFrame, right: DataFrame, keys: list[str], left_id: str, le
     if width:
         # Of each bucket its last and its first time, with the least id of each; a bucket without any passes on what it was given.
         right_only = lambda t: F.when(F.col("_side") == 0, F.struct(t.alias("t"), F.col("_r").alias("r")))
-        ends = rows.groupBy("_key", "_bucket").agg(F.min_by("_x", right_only(-F.col("_t"))).alias("_last"), F.min_by("_x", right_only(F.col("_t"))).alias("_first"))
-        over = Window.partitionBy("_key").orderBy("_bucket")
+        ends = rows.groupBy(*k, "_in_bucket").agg(F.min_by("_x", right_only(-F.col("_t"))).alias("_last"), F.min_by("_x", right_only(F.col("_t"))).alias("_first"))
+        over = Window.partitionBy(*k).orderBy("_in_bucket")
         ends = ends.withColumn("_bp", F.last("_last", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)))
-        ends = ends.withColumn("_bq", F.first("_first", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing))).select("_key", "_bucket", "_bp", "_bq")
-        local = local.join(ends, ["_key", "_bucket"]).withColumn("_p", F.coalesce("_p", "_bp")).withColumn("_q", F.coalesce("_q", "_bq"))
+        ends = ends.withColumn("_bq", F.first("_first", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing))).select(*k, "_in_bucket", "_bp", "_bq")
+        local = local.join(ends, [*k, "_in_bucket"]).withColumn("_p", F.coalesce("_p", "_bp")).withColumn("_q", F.coalesce("_q", "_bq"))
     rows = local
     dp, dq = F.col("_t") - F.col("_p.t"), F.col("_q.t") - F.col("_t")
     best = F.when(F.col("_p").isNull() | (dq < dp), F.col("_q")).otherwise(F.col("_p"))

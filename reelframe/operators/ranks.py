@@ -10,10 +10,16 @@ from pyspark.sql import functions as F
 _NULL_BUCKET = -(1 << 62)
 
 
-def keyed(df: DataFrame, keys: list[str], bucket: Column) -> DataFrame:
-    """Add _key, the keys as one struct, and _bucket, never null. Structs of null fields equal each other, so that null keys join as they meet in a window's
-    partition, and an equi-join on (_key, _bucket) finds rows where a window over them has put and sorted them."""
-    return df.withColumn("_key", F.struct(*keys)).withColumn("_bucket", F.coalesce(bucket.cast("long"), F.lit(_NULL_BUCKET)))
+def keyed(df: DataFrame, keys: list[str], bucket: Column) -> tuple[DataFrame, list[str]]:
+    """(rows with _in_bucket, which is never null; the columns that stand for ``keys``): the keys where none can be null, else _in_key, the keys as one struct.
+
+    Structs of null fields equal each other, so that null keys join as they meet in a window's partition, and an equi-join on these columns and the bucket
+    finds rows where a window over them has put and sorted them.
+    """
+    rows = df.withColumn("_in_bucket", F.coalesce(bucket.cast("long"), F.lit(_NULL_BUCKET)))
+    if not any(df.schema[k].nullable for k in keys):
+        return rows, keys
+    return rows.withColumn("_in_key", F.struct(*keys)), ["_in_key"]
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -31,18 +37,18 @@ def bucketed(df: DataFrame, keys: list[str], order: list[str | Column], value: s
     and rows whose bucket is null are a bucket of their own, so that every row stays.
     """
     take = {"sum": F.sum, "max": F.max, "last": lambda c: F.last(c, ignorenulls=True)}[how]
-    b = keyed(df, keys, bucket)
-    inner = Window.partitionBy("_key", "_bucket").orderBy(*order)
+    b, k = keyed(df, keys, bucket)
+    inner = Window.partitionBy(*k, "_in_bucket").orderBy(*order)
     upto = inner.rowsBetween(Window.unboundedPreceding, 0)
     local = b.withColumn("_local", take(value).over(upto))
     if how == "last":  # an aggregate has no order: the last row of a bucket tells
-        ends = local.withColumn("_from_end", F.lead(F.lit(1)).over(inner)).where("_from_end IS NULL").select("_key", "_bucket", F.col("_local").alias("_total"))
+        ends = local.withColumn("_from_end", F.lead(F.lit(1)).over(inner)).where("_from_end IS NULL").select(*k, "_in_bucket", F.col("_local").alias("_total"))
     else:
-        ends = b.groupBy("_key", "_bucket").agg(take(value).alias("_total"))
-    before = Window.partitionBy("_key").orderBy(F.desc("_bucket") if falling else F.asc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+        ends = b.groupBy(*k, "_in_bucket").agg(take(value).alias("_total"))
+    before = Window.partitionBy(*k).orderBy(F.desc("_in_bucket") if falling else F.asc("_in_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     ends = ends.withColumn("_base", take("_total").over(before)).drop("_total")
     both = {"sum": lambda: F.col("_local") + F.coalesce(F.col("_base"), F.lit(0)), "max": lambda: F.greatest("_local", "_base"), "last": lambda: F.coalesce("_local", "_base")}[how]()
-    return local.join(ends, ["_key", "_bucket"]).withColumn(out, both).drop("_local", "_base", "_bucket", "_key")
+    return local.join(ends, [*k, "_in_bucket"]).withColumn(out, both).drop("_local", "_base", "_in_bucket", "_in_key")
 
 
 def bucketed_cumsum(df: DataFrame, keys: list[str], order: str, value: str, out: str, bucket: Column) -> DataFrame:
@@ -60,9 +66,9 @@ def neighbour(df: DataFrame, keys: list[str], order: list[str], cols: list[str],
     step = F.lead if ahead else F.lag
     if bucket is None:
         return df.withColumn(out, step(here).over(Window.partitionBy(*keys).orderBy(*order)))
-    rows = keyed(df, keys, bucket)
+    rows, k = keyed(df, keys, bucket)
     pick = F.min_by if ahead else F.max_by
-    ends = rows.groupBy("_key", "_bucket").agg(pick(here, F.struct(*order)).alias("_end"))
-    ends = ends.withColumn("_next", step("_end").over(Window.partitionBy("_key").orderBy("_bucket"))).drop("_end")
-    rows = rows.withColumn(out, step(here).over(Window.partitionBy("_key", "_bucket").orderBy(*order)))
-    return rows.join(ends, ["_key", "_bucket"]).withColumn(out, F.coalesce(out, "_next")).drop("_bucket", "_next", "_key")
+    ends = rows.groupBy(*k, "_in_bucket").agg(pick(here, F.struct(*order)).alias("_end"))
+    ends = ends.withColumn("_next", step("_end").over(Window.partitionBy(*k).orderBy("_in_bucket"))).drop("_end")
+    rows = rows.withColumn(out, step(here).over(Window.partitionBy(*k, "_in_bucket").orderBy(*order)))
+    return rows.join(ends, [*k, "_in_bucket"]).withColumn(out, F.coalesce(out, "_next")).drop("_in_bucket", "_next", "_in_key")
