@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from collections import Counter
 from dataclasses import dataclass, replace
 from functools import cached_property
@@ -75,57 +75,209 @@ def ordered_ratio(hay: str, needle: str) -> float:
 
 
 class Script(list):
-    """The lines of a script, which gives the longest common subsequence of a text with all of them at once.
+    """The lines of a script, searched for those that are like a text without comparing it with each.
 
-    Each line is the bits of one machine word; a character of the text changes the words of the lines that hold it, and only these are touched.
-    Lines of more than 64 characters are compared one by one.
+    Lines are kept once each, by length. The characters that a line shares with a text in any order are at least those it shares in order; they are counted for all
+    lines of the lengths in question at once, a byte a line, and only lines with enough of them are compared. What is found is what comparing all lines finds.
     """
 
     def __init__(self, lines: list[str]) -> None:
         super().__init__(lines)
-        self.size = np.array([len(x) for x in lines], np.int64)
-        masks: dict[str, dict[int, int]] = {}
-        for i, x in enumerate(lines):
-            if len(x) <= 64:
-                for k, c in enumerate(x):
-                    d = masks.setdefault(c, {})
-                    d[i] = d.get(i, 0) | 1 << k
-        self._masks = {c: (np.fromiter(d, np.int64, len(d)), np.fromiter(d.values(), np.uint64, len(d))) for c, d in masks.items()}
-        self._full = np.array([(1 << len(x)) - 1 if len(x) <= 64 else 0 for x in lines], np.uint64)
-        self._long = [i for i, x in enumerate(lines) if len(x) > 64]
-        self._memo: dict[str, np.ndarray] = {}
-        self.begins: dict[str, list[int]] = {}
+        self.where: dict[str, list[int]] = {}
         for i, x in enumerate(lines):
             if x:
-                self.begins.setdefault(x[0], []).append(i)
+                self.where.setdefault(x, []).append(i)
+        self.texts = sorted(self.where, key=len)
+        self.ids = {x: i for i, x in enumerate(self.texts)}
+        self.sizes = np.array([len(x) for x in self.texts], np.int64)
+        self.first = np.array([self.where[x][0] for x in self.texts], np.int64)
+        longest = int(self.sizes[-1]) if self.texts else 0
+        #: The first text of so many characters or more.
+        self.start = np.searchsorted(self.sizes, np.arange(longest + 2)).tolist()
+        self._code: dict[str, int] = {}
+        flat = np.array([self._code.setdefault(c, len(self._code)) for x in self.texts for c in x], np.int32)
+        end = np.cumsum(self.sizes)
+        #: Column j: the characters in place j from the left (right) of all texts that have so many.
+        self.left = [flat[(end - self.sizes)[self.start[j + 1] :] + j] for j in range(longest)]
+        self.right = [flat[end[self.start[j + 1] :] - 1 - j] for j in range(longest)]
+        self._kind = np.uint8 if longest < 256 else np.uint32
+        pair, n = np.unique(flat.astype(np.int64) * len(self.texts) + np.repeat(np.arange(len(self.texts)), self.sizes), return_counts=True)
+        owner, cuts = pair % max(len(self.texts), 1), np.searchsorted(pair, np.arange(len(self._code) + 1) * len(self.texts))
+        #: How often each text has a character: of all texts, or of those that have it where these are few.
+        self._count: dict[str, tuple[np.ndarray | None, np.ndarray]] = {}
+        for c, k in self._code.items():
+            at, m = owner[cuts[k] : cuts[k + 1]], n[cuts[k] : cuts[k + 1]].astype(self._kind)
+            if len(at) * 16 < len(self.texts):
+                self._count[c] = at, m
+            else:
+                every = np.zeros(len(self.texts), self._kind)
+                every[at] = m
+                self._count[c] = None, every
+        self._least: dict[float, np.ndarray] = {}
+        self._ends: dict[int, dict[str, list[str]]] = {}
+
+    @cached_property
+    def _by_text(self) -> list[int]:
+        return sorted(range(len(self)), key=self.__getitem__)
+
+    @cached_property
+    def _by_text_array(self) -> np.ndarray:
+        return np.array(self._by_text, np.int64)
+
+    def between(self, shortest: int, longest: int) -> tuple[int, int]:
+        """The texts of so many characters."""
+        last = len(self.start) - 1
+        return self.start[min(max(shortest, 0), last)], self.start[min(max(longest, -1) + 1, last)]
+
+    def add(self, total: np.ndarray, c: str, k: int, lo: int, hi: int) -> None:
+        """Add one to the total of the texts lo to hi that have a character ``k`` times."""
+        if c not in self._count:
+            return
+        at, n = self._count[c]
+        if at is None:
+            total += n[lo:hi] >= k
+            return
+        a, b = np.searchsorted(at, (lo, hi))
+        total[(at[a:b] if k == 1 else at[a:b][n[a:b] >= k]) - lo] += 1
+
+    def shared(self, h: str, lo: int, hi: int) -> np.ndarray:
+        """The characters that the texts lo to hi share with ``h`` in any order."""
+        total, seen = np.zeros(hi - lo, self._kind), Counter()
+        for c in h:
+            seen[c] += 1
+            self.add(total, c, seen[c], lo, hi)
+        return total
 
     def lcs(self, h: str) -> np.ndarray:
         """The LCS length of ``h`` with each line."""
-        got = self._memo.get(h)
-        if got is None:
-            v = self._full.copy()
-            for c in h:
-                if c in self._masks:
-                    at, m = self._masks[c]
-                    x = v[at]
-                    u = x & m
-                    v[at] = (x + u) | (x - u)
-            got = (self.size - np.bitwise_count(v & self._full)).astype(np.int32)
-            for i in self._long:
-                got[i] = lcs(h, self[i])
-            if len(self._memo) * max(len(self), 1) > 1 << 24:
-                self._memo.clear()
-            self._memo[h] = got
-        return got
-
-    def ratios(self, h: str) -> np.ndarray:
-        """H5 of ``h`` with each line; 0 for an empty text or line."""
-        return self.lcs(h) / np.maximum(np.maximum(self.size, len(h)), 1)
+        texts = self.compare(h, np.arange(len(self.texts)))
+        return np.array([texts[self.ids[x]] if x else 0 for x in self], np.int64)
 
     def like(self, h: str, least: int) -> list[int]:
         """The lines, in order, that have at least ``least`` characters in common with ``h`` in order."""
         return np.flatnonzero(self.lcs(h) >= least).tolist()
 
+    def compare(self, h: str, ids: np.ndarray) -> np.ndarray:
+        """The LCS length of ``h`` with the texts ``ids``, in rising order."""
+        n, masks = len(h), {}
+        for i, c in enumerate(h):
+            masks[c] = masks.get(c, 0) | 1 << i
+        full = (1 << n) - 1
+        if n > 64 or len(ids) < 24:
+            out = []
+            for i in ids.tolist():
+                v = full
+                for c in self.texts[i]:
+                    if m := masks.get(c):
+                        u = v & m
+                        v = (v + u | v - u) & full
+                out.append(n - v.bit_count())
+            return np.array(out, np.int64)
+        table = np.zeros(len(self._code), np.uint64)
+        for c, m in masks.items():
+            if c in self._code:
+                table[self._code[c]] = m
+        v = np.full(len(ids), full, np.uint64)
+        for j in range(int(self.sizes[ids[-1]])):
+            at = int(np.searchsorted(ids, self.start[j + 1]))
+            x = v[at:]
+            u = x & table[self.left[j][ids[at:] - self.start[j + 1]]]
+            v[at:] = (x + u) | (x - u)
+        return n - np.bitwise_count(v & np.uint64(full)).astype(np.int64)
+
+    def _next(self, i: int, first: int) -> int:
+        """The first line from ``first`` on that is text i; -1 if there is none."""
+        if self.first[i] >= first:
+            return int(self.first[i])
+        w = self.where[self.texts[i]]
+        k = bisect_left(w, first)
+        return w[k] if k < len(w) else -1
+
+    def pick(self, h: str, ids: np.ndarray, bound: np.ndarray, first: int = 0, least: float = 0.0) -> tuple[int, float]:
+        """The first line from ``first`` on of the greatest ratio among texts, of which no ratio is above its bound; (-1, 0) if it is 0 or below ``least``."""
+        order = np.argsort(-bound, kind="stable")
+        ids, bound = ids[order], bound[order]
+        at, top, k, step = -1, least, 0, 16
+        while k < len(ids) and bound[k] >= top and bound[k] > 0:
+            some = np.sort(ids[k : k + step])
+            rs = self.compare(h, some) / np.maximum(self.sizes[some], len(h))
+            for i in np.flatnonzero((rs >= top) & (rs > 0)).tolist():
+                r = float(rs[i])
+                li = self._next(int(some[i]), first) if r >= top else -1
+                if li >= 0 and (r > top or at < 0 or li < at):
+                    at, top = li, r
+            k, step = k + step, min(4 * step, 4096)
+        return (at, top) if at >= 0 else (-1, 0.0)
+
+    def best(self, h: str) -> tuple[int, float]:
+        """The first line of the greatest ratio; (-1, 0) if it is 0."""
+        if h in self.where:
+            return self.where[h][0], 1.0
+        n = len(h)
+        # A ratio is at most that of the lengths: lines of other lengths are looked at only where the best of those of like length is poor.
+        for least in (0.6, 0.4, 0.2, 0.0):
+            lo, hi = self.between(int(least * n), int(n / least) + 1 if least else 1 << 30)
+            bound = self.shared(h, lo, hi) / np.maximum(self.sizes[lo:hi], n)
+            ids = np.flatnonzero(bound >= least)
+            got = self.pick(h, ids + lo, bound[ids], 0, least)
+            if got[0] >= 0:
+                return got
+        return -1, 0.0
+
+    def holds(self, h: str, least: float) -> bool:
+        """Whether a line has ``least`` characters in common with ``h`` in order."""
+        shared = self.shared(h, 0, len(self.texts))
+        ids = np.flatnonzero(shared >= least)
+        ids = ids[np.argsort(-shared[ids].astype(np.int64), kind="stable")]
+        return any((self.compare(h, np.sort(ids[k : k + 256])) >= least).any() for k in range(0, len(ids), 256))
+
+    def around(self, h: str, more: int) -> list[str]:
+        """The texts that are ``h`` and up to ``more`` characters around it, in order of their first line."""
+        lo, hi = self.between(len(h) + 1, len(h) + more)
+        ids = lo + np.flatnonzero(self.shared(h, lo, hi) >= len(h))
+        return self.ordered(i for i in ids.tolist() if h in self.texts[i])
+
+    def ordered(self, ids: Iterable[int]) -> list[str]:
+        return [self.texts[i] for i in sorted(set(ids), key=self.first.__getitem__)]
+
+    def starting(self, part: str, first: int = 0) -> int:
+        """The first line from ``first`` on that begins with ``part`` and is longer; -1 if there is none."""
+        # Behind the part itself in the order of texts.
+        lo = bisect_right(self._by_text, part, key=self.__getitem__)
+        hi = bisect_left(self._by_text, part + "\U0010ffff", lo, key=self.__getitem__)
+        w = self._by_text_array[lo:hi]
+        w = w[w >= first]
+        return int(w.min()) if len(w) else -1
+
+    def ending(self, tail: str) -> list[str]:
+        """The texts that end with ``tail``, in order of their first line."""
+        n = len(tail)
+        if n not in self._ends:
+            d = self._ends[n] = {}
+            for x in self.where:
+                if len(x) >= n:
+                    d.setdefault(x[-n:], []).append(x)
+        return self._ends[n].get(tail, [])
+
+    def aligned(self, columns: list[np.ndarray], h: Iterable[str], lo: int, hi: int, most: int) -> list[int]:
+        """Of the texts lo to hi, all long enough, those that have the characters ``h`` in the places of ``columns``, but for ``most``."""
+        ids, miss = np.arange(lo, hi), np.zeros(hi - lo, np.int64)
+        for j, c in enumerate(h):
+            if not len(ids):
+                break
+            s = self.start[j + 1]
+            miss = miss + ((columns[j][lo - s : hi - s] if len(ids) == hi - lo else columns[j][ids - s]) != self._code.get(c, -1))
+            if j >= most:
+                keep = miss <= most
+                ids, miss = ids[keep], miss[keep]
+        return ids.tolist()
+
+    def enough(self, least: float) -> np.ndarray:
+        """For each text, the whole number of characters that is ``least`` of it."""
+        if least not in self._least:
+            self._least[least] = np.ceil(least * self.sizes - 1e-9).astype(self._kind)
+        return self._least[least]
+
 
 def as_script(lines: list[str]) -> Script:
     return lines if isinstance(lines, Script) else Script(lines)
@@ -133,11 +285,7 @@ def as_script(lines: list[str]) -> Script:
 
 def best_line(h: str, lines: list[str]) -> tuple[int, float]:
     """The first line of the greatest ratio; (-1, 0) for fewer than two characters or no line in common."""
-    if len(h) < 2 or not lines:
-        return -1, 0.0
-    rs = as_script(lines).ratios(h)
-    at = int(rs.argmax())
-    return (at, float(rs[at])) if rs[at] > 0 else (-1, 0.0)
+    return as_script(lines).best(h) if len(h) >= 2 and lines else (-1, 0.0)
 
 
 def _original(text: str, k: int) -> int:
@@ -152,13 +300,29 @@ def _original(text: str, k: int) -> int:
 def split_merged(segments: list[str], lines: list[str]) -> list[str]:
     """A segment that runs over two neighbouring lines of the script is cut between them."""
     script = as_script(lines)
+    enough = script.enough(0.75)
+
+    def second(h: str) -> list[int]:
+        """The lines that share at least three quarters of themselves with the end of the segment, as long as they are and two more characters."""
+        n, got, seen = len(h), [], Counter()
+        lo, hi = script.between(2, n - 2)
+        total = np.zeros(hi - lo, script.shared("", 0, 0).dtype)
+        for k in range(1, n + 1):
+            a, b = script.between(max(k - 2, 2), k - 2)  # the last that this character counts for
+            seen[h[-k]] += 1
+            at = max(script.between(k - 2, 0)[0], lo)
+            script.add(total[at - lo :], h[-k], seen[h[-k]], at, hi)
+            if b > a and a >= lo and b <= hi:
+                ids = a + np.flatnonzero(total[a - lo : b - lo] >= enough[a:b])
+                if len(ids):
+                    got += ids[script.compare(h[-k:], ids) >= 0.75 * (k - 2)].tolist()
+        return sorted(i for g in got for i in script.where[script.texts[g]])
 
     def cut(seg: str) -> list[str]:
         h = han(seg)
         if len(h) < 5:
             return [seg]
-        # The second line has to share at least three quarters of itself with the end of the segment.
-        for i in np.flatnonzero((script.lcs(h) >= 0.75 * script.size) & (script.size > 1) & (script.size < len(h) - 1)).tolist():
+        for i in second(h):
             a, b = script[i - 1] if i else "", script[i]
             if len(a) < 2:
                 continue
@@ -325,8 +489,8 @@ def attach_orphans(cues: list[Cue], lines: list[str]) -> list[Cue]:
     while i + 1 < len(out):
         c, n = out[i], out[i + 1]
         if 1 <= len(c.h) <= 2 and n.start - c.end > 1.0:
-            held = (lines[k] for k in lines.begins.get(c.h[0], ()))
-            line = next((x for x in held if x.startswith(c.h) and len(x) > len(c.h) and n.h.startswith(x[len(c.h) :])), None)
+            held = (c.h + n.h[:k] for k in range(1, len(n.h) + 1))
+            line = min((x for x in held if x in lines.where), key=lambda x: lines.where[x][0], default=None)
             if line:
                 out[i] = replace(c, text=line, end=min(c.start + 0.4 * len(line), n.start - 0.05))
                 rest = n.h[len(line) - len(c.h) :]
@@ -405,7 +569,7 @@ def fix_lost(cues: list[Cue], lines: list[str]) -> list[Cue]:
         h = c.h
         if out[i].score >= LOW or len(h) <= 1:
             continue
-        if len(lines) and (lines.ratios(h) * np.maximum(lines.size, len(h))).astype(np.int64).max() / len(h) >= 0.5:
+        if lines.holds(h, 0.5 * len(h)):
             continue
         ahead = next((j for j in range(i + 1, min(len(out), i + NEAR + 1)) if len(cues[j].h) > 1 and out[j].score >= HIGH and out[j].li >= 0), None)
         if ahead is None:
@@ -441,9 +605,10 @@ def expand_substrings(cues: list[Cue], lines: list[str]) -> list[Cue]:
         h = c.h
         if len(h) < 4 or c.score >= 1.0:
             continue
-        li = next((k for k in lines.like(h, len(h)) if len(h) < len(lines[k]) <= len(h) + 4 and h in lines[k]), None)
-        if li is None or lines[li] == 2 * h:
+        longer = next(iter(lines.around(h, 4)), None)
+        if longer is None or longer == 2 * h:
             continue
+        li = lines.where[longer][0]
         head = han(lines[li][: lines[li].find(h)])
         sides = [out[j].h for j in (i - 1, i + 1) if 0 <= j < len(out)]
         if not (head and head in sides) and not claims.by_another(i, li):
@@ -451,22 +616,26 @@ def expand_substrings(cues: list[Cue], lines: list[str]) -> list[Cue]:
     return out
 
 
-def _per_cue(rule: Callable[[str, str], tuple[str, float] | None], common: Callable[[int], int], least: int, most: int = 1 << 30) -> Callable[[list[Cue], list[str]], list[Cue]]:
+def _per_cue(rule: Callable[[str, str], tuple[str, float] | None], among: Callable[[Script, str], Iterable[str]], least: int, most: int = 1 << 30) -> Callable[[list[Cue], list[str]], list[Cue]]:
     """A pass that looks at each cue by itself: the first line for which the rule gives a text and a score.
 
-    ``common``: the characters that a text of n characters shares, in order, with every line for which the rule can hold; other lines are not looked at.
+    ``among``: the lines, in order, of which it can be given for a text; others are not looked at.
     """
 
     def run(cues: list[Cue], lines: list[str]) -> list[Cue]:
-        out, lines = [], as_script(lines)
+        lines, known = as_script(lines), {}
+
+        def look(h: str) -> tuple[str, int, float] | None:
+            return next(((got[0], lines.where[x][0], got[1]) for x in among(lines, h) if (got := rule(h, x))), None)
+
+        out = []
         for c in cues:
             h = c.h
             if least <= len(h) <= most:
-                for li in lines.like(h, max(1, common(len(h)))):
-                    x = lines[li]
-                    if x and (got := rule(h, x)):
-                        c = replace(c, text=got[0], li=li, score=got[1])
-                        break
+                if h not in known:
+                    known[h] = look(h)
+                if known[h]:
+                    c = replace(c, text=known[h][0], li=known[h][1], score=known[h][2])
             out.append(c)
         return out
 
@@ -542,10 +711,29 @@ def _cleanup(h: str, x: str) -> tuple[str, float] | None:
     return None
 
 
-fix_by_end = _per_cue(_by_end, lambda n: 4, 4)
-strip_short_heads = _per_cue(_short_tail, lambda n: 2, 2, 3)
-fix_near_exact = _per_cue(_near_exact, lambda n: min(n - 2, (n + 1) // 2), 4)
-clean_heads = _per_cue(_cleanup, lambda n: min(n - 3, (n + 1) // 2), 4)
+def _shorter(script: Script, h: str) -> list[int]:
+    """Texts that are all but the first characters of ``h``, up to four."""
+    return [script.ids[h[k:]] for k in range(1, 5) if h[k:] in script.ids]
+
+
+def _near(script: Script, h: str) -> list[str]:
+    """What a rule can hold for is all of the text but its ends, or equals it, place by place from the left or the right, but for two or one characters."""
+    n = len(h)
+    ids = _shorter(script, h) + [script.ids[x] for x in (h[:-1],) if x in script.ids]
+    ids += script.aligned(script.right, h[-2::-1], script.between(n, n)[0], len(script.texts), 1)
+    ids += script.aligned(script.left, h[:-1], script.between(n - 1, n - 1)[0], len(script.texts), 2)
+    return script.ordered(ids)
+
+
+def _whole(script: Script, h: str) -> list[str]:
+    """W35."""
+    return script.ordered(_shorter(script, h) + script.aligned(script.right, h[::-1], *script.between(len(h) + 1, len(h) + 2), 0))
+
+
+fix_by_end = _per_cue(_by_end, lambda script, h: script.ending(h[-4:]), 4)
+strip_short_heads = _per_cue(_short_tail, lambda script, h: script.ending(h[-2:]), 2, 3)
+fix_near_exact = _per_cue(_near_exact, _near, 4)
+clean_heads = _per_cue(_cleanup, _whole, 4)
 
 
 def merge_fragments(cues: list[Cue], lines: list[str], gap: float = 2.0) -> list[Cue]:
@@ -560,7 +748,7 @@ def merge_fragments(cues: list[Cue], lines: list[str], gap: float = 2.0) -> list
     def fit(h: str) -> tuple[int, float] | None:
         if len(h) < 4:
             return None
-        m = (lines.index(h), 1.0) if h in lines else best_line(h, lines)
+        m = best_line(h, lines)
         return m if m[1] >= HIGH else None
 
     def joined(a: Cue, b: Cue, m: tuple[int, float]) -> Cue:
@@ -577,7 +765,7 @@ def merge_fragments(cues: list[Cue], lines: list[str], gap: float = 2.0) -> list
                 out[i], out[j] = joined(c, n, m), None
                 continue
             both = c.h + n.h
-            hit = next(((both[k:], li) for k in (1, 2) if len(both) - k >= 2 for li in lines.begins.get(both[k], ()) for x in (lines[li],) if x.startswith(both[k:]) and len(x) > len(both) - k), None)
+            hit = next(((both[k:], li) for k in (1, 2) if len(both) - k >= 2 and (li := lines.starting(both[k:])) >= 0), None)
             if hit:
                 out[i], out[j] = replace(c, text=hit[0], end=n.end, li=hit[1], score=len(hit[0]) / len(lines[hit[1]])), None
                 continue
@@ -613,17 +801,24 @@ def split_long(cues: list[Cue], lines: list[str], longest: float = 4.0) -> list[
 
     script = as_script(lines)
 
-    def best(part: str, first: int, prefix: bool) -> tuple[int, float]:
-        rs = script.ratios(part)[first:]
-        if prefix and len(part) >= 4:
-            rs = rs.copy()
-            for li in script.like(part, len(part)):
-                if li >= first and len(script[li]) > len(part) and script[li].startswith(part):
-                    rs[li - first] = max(rs[li - first], 0.75)
-        if not len(rs) or rs.max() <= 0:
-            return -1, 0.0
-        at = int(rs.argmax())
-        return first + at, float(rs[at])
+    def candidates(h: str, least: float, wanted: Callable[[int], bool]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each beginning of ``h``: its length, the texts of which the ratio may be ``least``, and their bounds. The characters shared in any order are counted on from one to the next."""
+        hi, seen, enough = script.between(0, int(len(h) / least) + 1)[1], Counter(), script.enough(least)
+        total = np.zeros(hi, enough.dtype)
+        for k in range(1, len(h) - 1):
+            seen[h[k - 1]] += 1
+            script.add(total, h[k - 1], seen[h[k - 1]], 0, hi)
+            if k > 1 and wanted(k):
+                a, b = script.between(int(least * k), int(k / least) + 1)
+                m = min(max(script.between(k, k)[0], a), b)
+                ids = np.concatenate([a + np.flatnonzero(total[a:m] >= np.ceil(least * k - 1e-9)), m + np.flatnonzero(total[m:b] >= enough[m:b])])
+                yield k, ids, total[ids] / np.maximum(script.sizes[ids], k)
+
+    def begun(part: str, ids: np.ndarray, bound: np.ndarray, first: int, least: float) -> tuple[int, float]:
+        """The best line from ``first`` on for the second part; a line that begins with it (four characters or more) counts 0.75 at least."""
+        got = script.pick(part, ids, bound, first, least)
+        li = script.starting(part, first) if len(part) >= 4 and got[1] <= 0.75 else -1
+        return (li, 0.75) if li >= 0 and (got[1] < 0.75 or li < got[0]) else got
 
     out = []
     for c in cues:
@@ -631,13 +826,16 @@ def split_long(cues: list[Cue], lines: list[str], longest: float = 4.0) -> list[
         found = None
         if dur > longest and len(h) >= 4:
             least, own = (0.5, 0.5) if dur > 6.0 else (0.7, 0.95)
-            for k in range(2, len(h) - 1):
-                a = best(h[:k], 0, False)
-                if a[1] < least:
-                    continue
-                b = best(h[k:], a[0] + 1, True)
-                total = (a[1] * k + b[1] * (len(h) - k)) / len(h)
-                if b[1] >= least and (not found or total > found[0]):
+            n = len(h)
+            heads = {k: a for k, ids, bound in candidates(h, least, lambda _: True) if (a := script.pick(h[:k], ids, bound, 0, least))[1] >= least}
+            # Ends are counted from the right: where totals are equal, the shortest beginning counts.
+            tail = lambda j: n - j in heads and (not found or heads[n - j][1] * (n - j) + j >= found[0] * n - 1e-9)  # noqa: E731, B023
+            for j, ids, bound in candidates(h[::-1], least, tail) if heads else ():
+                k = n - j
+                a = heads[k]
+                b = begun(h[k:], ids, bound, a[0] + 1, least)
+                total = (a[1] * k + b[1] * (n - k)) / n
+                if b[1] >= least and (not found or total >= found[0]):
                     found = total, k, a, b
         if not found:
             out.append(c)

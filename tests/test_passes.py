@@ -57,6 +57,27 @@ def test_lines_left_out_of_a_rule_could_not_hold(rule, common, least):
     assert held > 5
 
 
+def test_correction_compares_with_few_lines_of_a_long_script(monkeypatch):
+    rng = random.Random(4)
+    words = ["".join(chr(0x4E00 + rng.randrange(100)) for _ in range(rng.randint(2, 3))) for _ in range(60)]
+    lines = ["".join(rng.choices(words, k=rng.randint(1, 6))) for _ in range(1500)]
+    s = Q.Script(lines)
+    texts = ["".join(rng.choices(words, k=rng.randint(1, 6))) for _ in range(60)]
+    n, compare = [0], Q.Script.compare
+    monkeypatch.setattr(Q.Script, "compare", lambda self, h, ids: (n.__setitem__(0, n[0] + len(ids)), compare(self, h, ids))[1])
+    for h in texts:
+        rs = [Q.ratio(h, x) for x in lines]
+        assert Q.best_line(h, s) == (rs.index(max(rs)), max(rs))
+        assert s.around(h, 4) == list(dict.fromkeys(x for x in lines if h in x and 0 < len(x) - len(h) <= 4))
+        assert s.holds(h, 0.5 * len(h)) == (max(Q.lcs(h, x) for x in lines) >= 0.5 * len(h))
+        for rule, among in ((Q._near_exact, Q._near), (Q._cleanup, Q._whole)):
+            if len(h) >= 4:
+                assert next((x for x in among(s, h) if rule(h, x)), None) == next((x for x in lines if x and rule(h, x)), None)
+        for first in (0, 700):
+            assert s.starting(h[:4], first) == next((i for i, x in enumerate(lines) if i >= first and x.startswith(h[:4]) and len(x) > len(h[:4])), -1)
+    assert n[0] < 0.2 * len(texts) * len(lines)  # all of them before
+
+
 def test_repeated_claims():
     cues = [Q.Cue("甲乙", 0, 1, 3, 0.9), Q.Cue("丙", 1, 2, 3, 0.2), Q.Cue("丁", 2, 3, 4, 0.6)]
     c = Q.Claims(list(cues))
