@@ -51,7 +51,8 @@ def segment_cues(words: DataFrame, segments: DataFrame, lines: DataFrame, keys:
     from reelframe.session import cut
 
     w = cut(words.where("start_time IS NOT NULL AND end_time IS NOT NULL AND text IS NOT NULL").join(segments.select(*keys).distinct(), keys, "left_semi"))
-    cues = J.split_long_cues(Q.align_cues(segments, w, lines, keys, "seg_ord", "word_ord", "line_ord"), w, keys, "ord")
+    # W26 looks at the aligned cues twice, which are made once.
+    cues = J.split_long_cues(cut(Q.align_cues(segments, w, lines, keys, "seg_ord", "word_ord", "line_ord")), w, keys, "ord")
     cues = salvage(cues, w, keys)
     timed = F.max(F.col("ord").isNull()).over(Window.partitionBy(*keys))
     cues = cues.withColumn("_at", F.when(timed, F.col("start_time")))

@@ -207,6 +207,16 @@ def test_pipeline(spark):
     assert [r.suspicious for r in pipeline.suspicious(cues.withColumn("text", F.lit("走了吧")).withColumn("end_time", F.lit(9.0))).collect()] == [True]
 
 
+def test_segments_are_aligned_once(spark, monkeypatch):
+    words = spark.createDataFrame([("e", 0, "走了", 0.0, 1.0)], "episode string, word_ord long, text string, start_time double, end_time double")
+    segs = spark.createDataFrame([("e", 0, "走了")], "episode string, seg_ord long, text string")
+    lines = spark.createDataFrame([("e", 0, "走了")], "episode string, line_ord int, line string")
+    plans, split = [], pipeline.J.split_long_cues
+    monkeypatch.setattr(pipeline.J, "split_long_cues", lambda cues, *a: (plans.append(cues._jdf.queryExecution().toString()), split(cues, *a))[1])
+    assert [r.text for r in pipeline.segment_cues(words, segs, lines, ["episode"]).collect()] == ["走了"]
+    assert "FlatMapCoGroups" not in plans[0]  # W26 looks at them twice
+
+
 def test_pipeline_segments_and_replacements(spark):
     """The main branch: segments take their times from the words, lost words come back, replacements follow the script, captions and the video's end count."""
     at = lambda e, t, s, i0: [(e, i0 + i, c, round(s + i * 0.3, 2), round(s + i * 0.3 + 0.25, 2)) for i, c in enumerate(t)]
