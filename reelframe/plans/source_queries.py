@@ -215,11 +215,14 @@ def transcribed_stream(spark: SparkSession, d: str) -> DataFrame:
     rows.repartitionByRange(4, "seq").write.parquet(src)
     own = spark.newSession()  # settings of the stream stay its own
     own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    # A row holds the text of a session so far, so that few of them are much.
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    own.conf.set("spark.sql.parquet.columnarReaderBatchSize", "64")
     stream = own.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(src)
     got = W.transcribe_stream(stream, STREAM_CHUNK / W.SAMPLE_RATE, _letters, 2, 5)
     q = got.writeStream.outputMode("update").foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{out}/batch={i}")).option("checkpointLocation", at).trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.schema(got.schema).parquet(f"{out}/batch=*")
+    return own.read.schema(got.schema).parquet(f"{out}/batch=*")
 
 
 QUERIES = {f.__name__: f for f in (

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Generator, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -12,6 +12,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 SAMPLE_RATE = 16_000
 TTL_MS = 600_000
+#: Characters of a session's texts that are handed on at once.
+PIECE_CHARS = 1 << 22
 
 #: A decoder sees all samples so far and the text that is fixed; it gives the text of the whole (an adapter in production).
 Decoder = Callable[[list[float], str], str]
@@ -42,41 +44,61 @@ def fixed_prefix(text: str, step: int, unfixed_chunks: int, unfixed_tokens: int,
     return text[: max(0, len(text) - k)]
 
 
-def advance(state: tuple, rows: list[tuple[int, list[float], bool]], size: int, decode: Decoder, unfixed_chunks: int, unfixed_tokens: int, ended: bool = False) -> tuple[tuple, list[tuple]]:
+def steps(state: tuple, rows: list[tuple[int, list[float], bool]], size: int, decode: Decoder, unfixed_chunks: int, unfixed_tokens: int, ended: bool = False) -> Generator[tuple, None, tuple]:
     """Take rows (seq, samples, is_end) into a session's state; emit (step, n_samples, text, finished, missing) for every full chunk and at the end.
 
     Rows are taken in the order of seq, whatever the micro-batches: one that comes early waits. A repeated seq counts once. When the session
     ends (``ended``: it timed out) while rows wait for a seq that never came, they are taken all the same, in order of seq; missing counts the seqs passed over.
+    What is emitted is made when it is asked for, each text as long as the session so far; the state after all rows is returned.
     """
     step, buffer, history, text, nxt, late = state
-    out = []
+    buffer, history = list(buffer), list(history)
     waiting = {r[0]: r for r in late} | {r[0]: r for r in rows if r[0] >= nxt}
     end, missing = ended, 0
 
-    def take(seq: int) -> bool:
-        nonlocal step, buffer, history, text, nxt, missing
+    def take(seq: int) -> Generator[tuple, None, bool]:
+        nonlocal step, text, nxt, missing
         _, samples, is_end = waiting.pop(seq)
         missing += seq - nxt
         nxt = seq + 1
-        buffer = buffer + list(samples or [])
-        while len(buffer) >= size:
-            history, buffer = history + buffer[:size], buffer[size:]
+        buffer.extend(samples or [])
+        at = 0
+        while len(buffer) - at >= size:
+            history.extend(buffer[at : at + size])
+            at += size
             text = decode(history, fixed_prefix(text, step, unfixed_chunks, unfixed_tokens))
             step += 1
-            out.append((step, len(history), text, False, missing))
+            yield step, len(history), text, False, missing
+        del buffer[:at]
         return is_end
 
     while nxt in waiting:
-        end = take(nxt) or end
+        end = (yield from take(nxt)) or end
     if end:
         for seq in sorted(waiting):
-            take(seq)
+            yield from take(seq)
         if buffer:
-            history, buffer = history + buffer, []
+            history.extend(buffer)
+            buffer.clear()
             text = decode(history, fixed_prefix(text, step, unfixed_chunks, unfixed_tokens, True))
             step += 1
-        out.append((step, len(history), text, True, missing))
-    return (step, buffer, history, text, nxt, list(waiting.values())), out
+        yield step, len(history), text, True, missing
+    return step, buffer, history, text, nxt, list(waiting.values())
+
+
+def advance(state: tuple, rows: list[tuple[int, list[float], bool]], size: int, decode: Decoder, unfixed_chunks: int, unfixed_tokens: int, ended: bool = False) -> tuple[tuple, list[tuple]]:
+    """``steps`` at once: the state after all rows, and what is emitted."""
+    out = []
+
+    def run() -> Generator[tuple, None, tuple]:
+        return (yield from steps(state, rows, size, decode, unfixed_chunks, unfixed_tokens, ended))
+
+    it = run()
+    while True:
+        try:
+            out.append(next(it))
+        except StopIteration as e:
+            return e.value, out
 
 
 def transcribe_stream(
@@ -87,25 +109,42 @@ def transcribe_stream(
     Use it in update mode. A chunk is a number of samples, not a time. A session ends with its end row, or when nothing has come for
     ``ttl_ms`` (processing time); then its rest, and what still waits for a missing seq, is flushed and its state removed. ``snapshot`` gives only the latest row
     of a session in each micro-batch.
+
+    Each step gives the text of the session so far, so that a long session gives far more than it takes in. Rows are handed on while they are made, but Spark gathers
+    spark.sql.execution.arrow.maxRecordsPerBatch of them (10000): where sessions are long, the stream's session should set that low.
     """
     size = chunk_samples(seconds)
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         now = state.get if state.exists else (0, [], [], "", 0, [])
         now = (now[0], list(now[1]), list(now[2]), now[3], now[4], [(r[0], list(r[1]), r[2]) for r in now[5]])
-        if state.hasTimedOut:
-            _, out = advance(now, [], size, decode, unfixed_chunks, unfixed_tokens, ended=True)
+        late = state.hasTimedOut
+        rows = [] if late else [(int(s), [float(v) for v in x] if x is not None else [], bool(e)) for b in batches for s, x, e in zip(b["seq"], b["samples"], b["is_end"])]
+        over, held, chars = late, [], 0
+
+        def run() -> Iterator[tuple]:
+            nonlocal now
+            now = yield from steps(now, rows, size, decode, unfixed_chunks, unfixed_tokens, ended=late)
+
+        def table() -> pd.DataFrame:
+            return pd.DataFrame([(key[0], *r) for r in held], columns=["session_id", "step", "n_samples", "text", "finished", "missing"])
+
+        for r in run():
+            over = over or r[3]
+            if snapshot:
+                held = [r]
+                continue
+            held.append(r)
+            chars += len(r[2])
+            if chars >= PIECE_CHARS:
+                yield table()
+                held, chars = [], 0
+        if over:
             state.remove()
         else:
-            rows = [(int(s), [float(v) for v in x] if x is not None else [], bool(e)) for b in batches for s, x, e in zip(b["seq"], b["samples"], b["is_end"])]
-            now, out = advance(now, rows, size, decode, unfixed_chunks, unfixed_tokens)
-            if out and out[-1][3]:
-                state.remove()
-            else:
-                state.update(now)
-                state.setTimeoutDuration(ttl_ms)
-        out = out[-1:] if snapshot else out
-        yield pd.DataFrame([(key[0], *r) for r in out], columns=["session_id", "step", "n_samples", "text", "finished", "missing"])
+            state.update(now)
+            state.setTimeoutDuration(ttl_ms)
+        yield table()
 
     rows = stream.select("session_id", "seq", "samples", "is_end")
     return rows.groupBy("session_id").applyInPandasWithState(update, OUT, STATE, "update", GroupStateTimeout.ProcessingTimeTimeout)

@@ -194,6 +194,18 @@ def test_adapters(spark):
     assert got == {1: "X", 2: "X", 3: None}
 
 
+def test_stream_hands_rows_on_while_they_are_made():
+    made = []
+
+    def decode(history, prefix):
+        made.append(len(history))
+        return prefix + "甲" * (len(history) - len(prefix))
+
+    it = W.steps((0, [], [], "", 0, []), [(i, [0.0, 1.0], i == 49) for i in range(50)], 4, decode, 1, 2)
+    assert next(it)[:2] == (1, 4) and made == [4]
+    assert [r[0] for r in it] == [*range(2, 26), 25] and made == [4 * i for i in range(1, 26)]
+
+
 def test_pipeline(spark):
     w = [("e", i, c, round(i * 0.3, 2), round(i * 0.3 + 0.25, 2)) for i, c in enumerate("你说他们没问题")]
     w += [("e", 20, "啊", 9.0, 9.3), ("e", 21, "小", 20.0, 20.2), ("e", 22, "子", 20.2, 20.4)]
