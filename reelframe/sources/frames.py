@@ -50,9 +50,13 @@ def encoded(fps: float, rows: np.ndarray) -> bytes:
     return np.concatenate(([fps], np.asarray(rows, "<f8").ravel())).astype("<f8").tobytes()
 
 
+#: Partitions that videos are dealt over at least, and videos and bytes to be read that one partition holds, about.
+LEAST_PARTITIONS, VIDEOS, BYTES = 32, 256, 64 << 20
+
+
 @dataclass
-class _Video(InputPartition):
-    uri: str
+class _Videos(InputPartition):
+    uris: list[str]
 
 
 class _Reader(DataSourceReader):
@@ -62,30 +66,37 @@ class _Reader(DataSourceReader):
         self._decoder: type = RecordedFrames
         self._frames = options.get("frames", "true").lower() == "true"
 
-    def partitions(self) -> list[_Video]:
+    def partitions(self) -> list[_Videos]:
         fs, base = pafs.FileSystem.from_uri(self._path)
         head = self._path[: len(self._path) - len(base)] if self._path.endswith(base) else ""
         files = fs.get_file_info(pafs.FileSelector(base, recursive=True, allow_not_found=True))
-        return [_Video(head + f.path) for f in sorted(files, key=lambda f: f.path) if f.is_file and f.path.endswith(self._suffix) and not f.base_name.startswith((".", "_"))]
+        files = sorted((f for f in files if f.is_file and f.path.endswith(self._suffix) and not f.base_name.startswith((".", "_"))), key=lambda f: f.path)
+        whole = sum(f.size or 0 for f in files) if self._frames and self._seconds is None else 0
+        n = min(len(files), max(LEAST_PARTITIONS, -(-len(files) // VIDEOS), -(-whole // BYTES)))
+        return [_Videos([head + f.path for f in files[i::n]]) for i in range(n)]
+
+    def read(self, videos: _Videos) -> Iterator[tuple]:
+        for uri in videos.uris:
+            yield from self._video(uri)
 
-    def read(self, video: _Video) -> Iterator[tuple]:
+    def _video(self, uri: str) -> Iterator[tuple]:
         try:
-            v = self._decoder(video.uri)
+            v = self._decoder(uri)
         except (OSError, ValueError):  # S7: a video that cannot be probed has no length
             v = None
         if v is None or not v.total or v.fps <= 0 or not self._frames:
-            yield (video.uri, v.fps if v else 0.0, v.total if v else 0, None, None, None, None)
+            yield (uri, v.fps if v else 0.0, v.total if v else 0, None, None, None, None)
             return
         n = v.total if self._seconds is None else min(v.total, int(v.fps * self._seconds))
         for lo, hi in [(0, n), (max(n, v.total - n), v.total)]:
             for i, (a, b, c) in enumerate(v.frames(lo, hi).tolist(), lo):
-                yield (video.uri, v.fps, v.total, i, a, b, c)
+                yield (uri, v.fps, v.total, i, a, b, c)
 
 
 class FrameSource(DataSource):
     """Format ``frames``. Options: path (a folder), suffix, seconds (the first and the last so many only; all where it is not given), frames (false: a row a video with its rate and length, no frame is read).
 
-    A video is a partition. A file without frames, or one that cannot be read, gives one row of null frame_idx.
+    Videos are dealt over partitions, so that many short ones are not a task each. A file without frames, or one that cannot be read, gives one row of null frame_idx.
     """
 
     @classmethod

@@ -206,6 +206,23 @@ def test_stream_hands_rows_on_while_they_are_made():
     assert [r[0] for r in it] == [*range(2, 26), 25] and made == [4 * i for i in range(1, 26)]
 
 
+def test_videos_share_partitions(tmp_path):
+    from reelframe.sources import frames
+
+    for i in range(1000):
+        (tmp_path / f"v{i:04}.frames").write_bytes(frames.encoded(2.0, np.full((3, 3), float(i))))
+    read = lambda **o: (r := frames._Reader({"path": f"file://{tmp_path}", **o}), r.partitions())
+    r, parts = read(seconds="1")
+    assert len(parts) == 32
+    rows = [x for p in parts for x in r.read(p)]
+    assert sorted({x[0][-12:] for x in rows}) == [f"v{i:04}.frames" for i in range(1000)] and len(rows) == 3000
+    assert len(read()[1]) == 32  # whole videos: by bytes too
+    import unittest.mock as m
+
+    with m.patch.object(frames, "BYTES", 800):
+        assert len(read()[1]) == 100 and len(read(seconds="1")[1]) == 32
+
+
 def test_pipeline(spark):
     w = [("e", i, c, round(i * 0.3, 2), round(i * 0.3 + 0.25, 2)) for i, c in enumerate("你说他们没问题")]
     w += [("e", 20, "啊", 9.0, 9.3), ("e", 21, "小", 20.0, 20.2), ("e", 22, "子", 20.2, 20.4)]
