@@ -78,6 +78,43 @@ def test_correction_compares_with_few_lines_of_a_long_script(monkeypatch):
     assert n[0] < 0.2 * len(texts) * len(lines)  # all of them before
 
 
+def _long_script(seed):
+    rng = random.Random(seed)
+    words = ["".join(chr(0x4E00 + rng.randrange(100)) for _ in range(rng.randint(2, 3))) for _ in range(60)]
+    return rng, ["".join(rng.choices(words, k=rng.randint(1, 5))) for _ in range(1000)]
+
+
+def _compared(monkeypatch):
+    n, compare = [0], Q.Script.compare
+    monkeypatch.setattr(Q.Script, "compare", lambda self, h, ids: (n.__setitem__(0, n[0] + len(ids)), compare(self, h, ids))[1])
+    return n
+
+
+def test_merged_segments_are_compared_with_few_lines(monkeypatch):
+    rng, lines = _long_script(5)
+    segs = ["".join(lines[i : i + 2]) for i in range(0, 60, 2)] + [lines[i][1:] + lines[rng.randrange(1000)] for i in range(30)]
+
+    def cut(h):  # W38 as it is defined, with every line
+        for i, b in enumerate(lines):
+            a = lines[i - 1] if i else ""
+            if len(h) < 5 or len(a) < 2 or not 1 < len(b) < len(h) - 1 or Q.lcs(h, b) < 0.75 * len(b):
+                continue
+            scored = []
+            for k in range(max(2, len(h) - len(b) - 2), min(len(h) - 2, len(h) - len(b) + 2) + 1):
+                r2, r1 = Q.ratio(h[k:], b), max(Q.ordered_ratio(a, h[:k]), Q.ordered_ratio(h[:k], a))
+                if r2 >= 0.75 and r1 >= 0.3:
+                    scored.append((r1 + r2, -k))
+            if scored:
+                k = -max(scored)[1]
+                return [h[:k], h[k:]]
+        return [h]
+
+    want = [p for h in segs for p in cut(h)]
+    n = _compared(monkeypatch)
+    assert Q.split_merged(segs, lines) == want and len(want) > len(segs) + 20
+    assert n[0] < 0.05 * len(segs) * len(lines)  # all of them before
+
+
 def test_repeated_claims():
     cues = [Q.Cue("甲乙", 0, 1, 3, 0.9), Q.Cue("丙", 1, 2, 3, 0.2), Q.Cue("丁", 2, 3, 4, 0.6)]
     c = Q.Claims(list(cues))
