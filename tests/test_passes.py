@@ -115,6 +115,18 @@ def test_merged_segments_are_compared_with_few_lines(monkeypatch):
     assert n[0] < 0.05 * len(segs) * len(lines)  # all of them before
 
 
+def test_single_characters_are_looked_up_in_few_lines(monkeypatch):
+    rng, lines = _long_script(6)
+    lines = [x for x in dict.fromkeys(lines) if len(x) > 5]
+    segs, want = [], []
+    for i in range(1, 60):
+        segs += [lines[i - 1][:-2], "某", lines[i][:-1] + "某"]
+        want += [lines[i - 1][:-2], lines[i - 1][-2:], lines[i][:-1] + "某"]
+    n = _compared(monkeypatch)
+    assert Q.fix_single_chars(segs, lines) == want
+    assert n[0] < 0.1 * 59 * len(lines)  # all of them before
+
+
 def test_repeated_claims():
     cues = [Q.Cue("甲乙", 0, 1, 3, 0.9), Q.Cue("丙", 1, 2, 3, 0.2), Q.Cue("丁", 2, 3, 4, 0.6)]
     c = Q.Claims(list(cues))
