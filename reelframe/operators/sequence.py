@@ -16,11 +16,14 @@ from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from reelframe.functions.text import NOT_HAN
+from reelframe.operators.likeness import Ends
 from reelframe.operators.ranks import bucketed, neighbour, null_safe_join
 from reelframe.session import spread
 
@@ -299,37 +302,45 @@ def _original(text: str, k: int) -> int:
 
 def split_merged(segments: list[str], lines: list[str]) -> list[str]:
     """A segment that runs over two neighbouring lines of the script is cut between them."""
-    script = as_script(lines)
-    enough = script.enough(0.75)
-
-    def second(h: str) -> list[int]:
-        """The lines that share at least three quarters of themselves with the end of the segment, as long as they are and two more characters."""
-        n, got, seen = len(h), [], Counter()
-        lo, hi = script.between(2, n - 2)
-        total = np.zeros(hi - lo, script.shared("", 0, 0).dtype)
-        for k in range(1, n + 1):
-            a, b = script.between(max(k - 2, 2), k - 2)  # the last that this character counts for
-            seen[h[-k]] += 1
-            at = max(script.between(k - 2, 0)[0], lo)
-            script.add(total[at - lo :], h[-k], seen[h[-k]], at, hi)
-            if b > a and a >= lo and b <= hi:
-                ids = a + np.flatnonzero(total[a - lo : b - lo] >= enough[a:b])
-                if len(ids):
-                    got += ids[script.compare(h[-k:], ids) >= 0.75 * (k - 2)].tolist()
-        return sorted(i for g in got for i in script.where[script.texts[g]])
-
-    def cut(seg: str) -> list[str]:
-        h = han(seg)
-        if len(h) < 5:
-            return [seg]
-        for i in second(h):
-            a, b = script[i - 1] if i else "", script[i]
+    return [p for parts in split_all([(segments, lines)])[0] for p in parts]
+
+
+def split_all(groups: list[tuple[list[str], list[str]]]) -> list[list[list[str]]]:
+    """W38 for many groups of segments, each with its script, at once: the parts of each segment."""
+    segs, seg_group, places, texts, text_group, wheres = [], [], [], [], [], []
+    for g, (segments, lines) in enumerate(groups):
+        where: dict[str, list[int]] = lines.where if isinstance(lines, Script) else {}
+        if not where:
+            for i, x in enumerate(lines):
+                where.setdefault(x, []).append(i)
+        wheres.append(where)
+        hs = [han(x) for x in segments]
+        longest = max((len(h) for h in hs), default=0) - 2
+        mine = sorted((x for x in where if 2 <= len(x) <= longest), key=len)
+        long = [(i, h) for i, h in enumerate(hs) if len(h) >= 5] if mine else []
+        segs += [h for _, h in long]
+        places += [i for i, _ in long]
+        seg_group += [g] * len(long)
+        texts += mine
+        text_group += [g] * len(mine)
+    out = [[[x] for x in segments] for segments, _ in groups]
+    if not segs:
+        return out
+
+    def cut(seg: str, h: str, like: list[tuple[str, list[int]]], g: int) -> list[str]:
+        lines, ends = groups[g][1], []
+        for b, shared in like:
+            tails = ((len(b) + d - 2, n) for d, n in enumerate(shared) if n >= 0)
+            ks = [(len(h) - tail, r) for tail, n in tails if (r := n / max(tail, len(b))) >= 0.75]
+            if ks:
+                ends += [(i, ks) for i in wheres[g][b] if i]
+        for i, ks in sorted(ends, key=lambda x: x[0]):
+            a = lines[i - 1]
             if len(a) < 2:
                 continue
             scored = []
-            for k in range(max(2, len(h) - len(b) - 2), min(len(h) - 2, len(h) - len(b) + 2) + 1):
-                r2 = ratio(h[k:], b)
-                r1 = max(ordered_ratio(a, h[:k]), ordered_ratio(h[:k], a)) if r2 >= 0.75 else 0.0
+            for k, r2 in ks:
+                r1 = max(ordered_ratio(a, h[:k]), ordered_ratio(h[:k], a))
                 if r1 >= 0.3:
                     scored.append((r1 + r2, -k))
             if scored:
@@ -339,7 +350,14 @@ def split_merged(segments: list[str], lines: list[str]) -> list[str]:
                     return parts
         return [seg]
 
-    return [p for s in segments for p in cut(s)]
+    for s, t, shared in Ends(segs, np.array(seg_group, np.int64), texts, np.array(text_group, np.int64)).like():
+        first = np.flatnonzero(np.diff(s, prepend=-1)).tolist()
+        ids, ts, shared = s.tolist(), t.tolist(), shared.tolist()
+        for a, b in zip(first, [*first[1:], len(ids)]):
+            i = ids[a]
+            g, k = seg_group[i], places[i]
+            out[g][k] = cut(groups[g][0][k], segs[i], [(texts[ts[x]], shared[x]) for x in range(a, b)], g)
+    return out
 
 
 def fix_single_chars(segments: list[str], lines: list[str]) -> list[str]:
@@ -1066,6 +1084,100 @@ def align_cues(segments: DataFrame, words: DataFrame, lines: DataFrame, keys: li
     return spread(told, keys).groupBy(*keys).cogroup(spread(w, keys).groupBy(*keys)).applyInPandas(run, ddl + ", ord long, text string, start_time double, end_time double")
 
 
+#: Segments of an entity that a task splits at a time; rows of whole groups that are handed to a pass together.
+PIECE, TOGETHER = 4096, 1 << 14
+
+
+def grouped(rows: DataFrame, keys: list[str], fn: Callable[[list[dict[str, list]]], list[list[tuple]]], ddl: str) -> DataFrame:
+    """A pass over groups of ``keys``, which lie one after the other in partitions: keys and what ``fn`` gives for each of some groups, from the columns of each and its _key.
+
+    Groups are many and most are short: they stream through a task, and many are handed over at once.
+    """
+    cols, given = [c for c in rows.columns if c not in keys], T.StructType.fromDDL(ddl)
+    found = list(to_arrow_schema(given))
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, str] = {}
+        ids: list[tuple] = []
+        groups: list[dict[str, list]] = []
+
+        def done(schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+            got = fn(groups)
+            at = [i for i, r in zip(ids, got) for _ in r]
+            flat = [x for r in got for x in r]
+            columns = [*(list(c) for c in zip(*at)), *(list(c) for c in zip(*flat))] if flat else [[] for _ in schema]
+            batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+            for k in range(0, batch.num_rows, 10000):
+                yield batch.slice(k, 10000)
+
+        n, schema = 0, None
+        for batch in it:
+            schema = schema or pa.schema([*(batch.schema.field(k) for k in keys), *found])
+            key = list(zip(*(batch.column(batch.schema.get_field_index(k)).to_pylist() for k in keys)))
+            values = {c: batch.column(batch.schema.get_field_index(c)).to_pylist() for c in cols}
+            # Equal texts are kept once: words are one or two characters each.
+            for c, v in values.items():
+                if v and isinstance(v[0], str):
+                    values[c] = [known.setdefault(x, x) if x is not None and len(x) < 4 else x for x in v]
+            cuts = [0, *(i for i in range(1, len(key)) if key[i] != key[i - 1]), len(key)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if not ids or key[a] != ids[-1]:
+                    if n >= TOGETHER:
+                        yield from done(schema)
+                        ids, groups, n = [], [], 0
+                    ids.append(key[a])
+                    groups.append({"_key": key[a]} | {c: [] for c in cols})
+                for c in cols:
+                    groups[-1][c] += values[c][a:b]
+                n += b - a
+        if groups:
+            yield from done(schema)
+
+    return rows.mapInArrow(run, T.StructType([*rows.select(*keys).schema, *given]))
+
+
+def split_segments(segments: DataFrame, lines: DataFrame, keys: list[str], seg_ord: str, line_ord: str, fix_singles: bool = False, piece: int | None = None) -> DataFrame:
+    """W38 on tables, then W37 if ``fix_singles``: keys, _piece, _part (the order within an entity), text.
+
+    W38 looks at a segment and the script, W37 at up to seven parts before a segment and four after it, and a segment has one part at least. So an entity of many segments is cut in
+    pieces of ``piece``, each with the seven segments before it, the four after it and the whole script. An entity without a script is not changed; null texts count as empty.
+    """
+    size, before, after = piece or PIECE, 7 * fix_singles, 4 * fix_singles
+    order = Window.partitionBy(*keys).orderBy(F.asc_nulls_last("_i"), "text")
+    seg = segments.select(*keys, F.col(seg_ord).cast("long").alias("_i"), F.coalesce("text", F.lit("")).alias("text")).withColumn("_i", F.row_number().over(order).cast("long") - 1)
+    # A segment is before a piece's own ones, one of them or after them.
+    pieces = F.explode(F.sequence(F.greatest(F.floor((F.col("_i") - after) / size), F.lit(0)), F.floor((F.col("_i") + before) / size)))
+    seg = seg.select(*keys, pieces.alias("_piece"), F.lit(1).alias("_kind"), "_i", "text")
+    script = lines.select(*keys, F.lit(0).alias("_kind"), F.col(line_ord).cast("long").alias("_i"), F.regexp_replace(F.coalesce("line", F.lit("")), NOT_HAN, "").alias("text"))
+    script = null_safe_join(script, seg.select(*keys, "_piece").distinct(), keys).select(seg.columns)
+    by = [*keys, "_piece"]
+    rows = spread(script.unionByName(seg), by).sortWithinPartitions(*by, "_kind", F.asc_nulls_last("_i"), "text")
+
+    def run(groups: list[dict[str, list]]) -> list[list[tuple]]:
+        cuts = [bisect_left(g["_kind"], 1) for g in groups]
+        scripts = [g["text"][:n] for g, n in zip(groups, cuts)]
+        got = []
+        for g, n, script, parts in zip(groups, cuts, scripts, split_all([(g["text"][n:], s) for g, n, s in zip(groups, cuts, scripts)])):
+            flat = [p for x in parts for p in x]
+            if fix_singles and script:
+                flat = fix_single_chars(flat, script)
+            owner = [i for i, x in zip(g["_i"][n:], parts) for _ in x]
+            here = g["_key"][-1] * size
+            got.append([(k, p) for k, (i, p) in enumerate(zip(owner, flat)) if here <= i < here + size])
+        return got
+
+    return grouped(rows, by, run, "_part long, text string")
+
+
+def split_script(segments: DataFrame, lines: DataFrame, keys: list[str], seg_ord: str, line_ord: str, piece: int | None = None) -> DataFrame:
+    """W38 on tables: keys, ord (from 0), text; see ``split_segments``."""
+    parts = split_segments(segments, lines, keys, seg_ord, line_ord, piece=piece)
+    order = Window.partitionBy(*keys).orderBy("_piece", "_part")
+    return parts.select(*keys, (F.row_number().over(order) - 1).cast("long").alias("ord"), "text")
+
+
 def _key_ddl(df: DataFrame, keys: list[str]) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keys).schema)
 

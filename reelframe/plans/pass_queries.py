@@ -34,7 +34,7 @@ def merged_segment_split(spark: SparkSession, d: str) -> DataFrame:
     s = _script(spark, d).withColumn("i", F.row_number().over(Window.partitionBy("episode").orderBy("line_ord")) - 1)
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", F.coalesce("line", F.lit("")).alias("l")))), lambda x: x["l"]), "")
     seg = s.groupBy("episode", F.floor(F.col("i") / 2).alias("seg_ord")).agg(text.alias("text"))
-    return Q.segment_pass(seg, _script(spark, d), EP, "seg_ord", "line_ord", Q.split_merged)
+    return Q.split_script(seg, _script(spark, d), EP, "seg_ord", "line_ord")
 
 
 def single_char_fix(spark: SparkSession, d: str) -> DataFrame:

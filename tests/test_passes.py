@@ -11,6 +11,7 @@ from reelframe.functions import records as C
 from reelframe.functions import signal as S
 from reelframe.operators import aggregates as A
 from reelframe.operators import joins as J
+from reelframe.operators import likeness as K
 from reelframe.operators import sequence as Q
 from reelframe.streaming import count_window as W
 
@@ -272,3 +273,75 @@ def test_passes_on_tables_with_nulls(spark):
     got = Q.quiet_chunks(waves, ["i"], "wav", 10, 2.0, 0.5, 400.0).collect()
     assert Counter(r.i for r in got) == {1: 2, 3: 1} and max(r.hi for r in got) == 30
     assert np.isclose(sum(r.hi - r.lo for r in got if r.i == 1), 30)
+
+
+def _odd_scripts(n):
+    """Scripts with lines of no character to more than two words of 64 bits, and segments that run over two lines, changed here and there."""
+    rng, some, groups = random.Random(8), "甲乙丙丁戊己庚辛壬癸子丑寅卯", []
+    for _ in range(n):
+        lines = ["".join(rng.choice(some[: rng.choice([2, 4, 14])]) for _ in range(rng.choice([0, 1, 2, 3, 5, 9, 20, 64, 70, 140]))) for _ in range(rng.randrange(14))]
+        segs = []
+        for _ in range(12):
+            i = rng.randrange(len(lines)) if lines else 0
+            x = list(lines[i - 1] + lines[i] if lines and rng.random() < 0.8 else rng.choices(some, k=rng.randrange(12)))
+            for _ in range(rng.randrange(4) if x else 0):
+                x[rng.randrange(len(x))] = rng.choice(some)
+            if x and rng.random() < 0.3:
+                x.insert(rng.randrange(len(x)), rng.choice(", a"))
+            segs.append("".join(x))
+        groups.append((segs, lines))
+    return groups
+
+
+def _cut(seg, lines):
+    """W38 as it is defined, with every line."""
+    h = Q.han(seg)
+    for i, b in enumerate(lines):
+        a = lines[i - 1] if i else ""
+        if len(h) < 5 or len(a) < 2 or not 1 < len(b) < len(h) - 1 or Q.lcs(h[-len(b) - 2 :], b) < 0.75 * len(b):
+            continue
+        scored = []
+        for k in range(max(2, len(h) - len(b) - 2), min(len(h) - 2, len(h) - len(b) + 2) + 1):
+            r2, r1 = Q.ratio(h[k:], b), max(Q.ordered_ratio(a, h[:k]), Q.ordered_ratio(h[:k], a))
+            if r2 >= 0.75 and r1 >= 0.3:
+                scored.append((r1 + r2, -k))
+        if scored:
+            at = Q._original(seg, -max(scored)[1])
+            parts = [seg[:at].strip(), seg[at:].strip()]
+            if all(parts):
+                return parts
+    return [seg]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_segments_of_many_scripts_are_split_at_once(monkeypatch, small):
+    groups = _odd_scripts(60)
+    if small:  # scripts searched length by length, and blocks of a few pairs
+        for name, n in (("_LARGE", 3), ("_CACHED", 10), ("_PAIRS", 50), ("_MASKS", 500), ("_PLACES", 60)):
+            monkeypatch.setattr(K, name, n)
+    want = [[_cut(s, lines) for s in segs] for segs, lines in groups]
+    assert Q.split_all(groups) == want and sum(len(x) > 1 for g in want for x in g) > 100
+
+
+def test_few_pairs_of_segments_and_lines_are_compared(monkeypatch):
+    _, lines = _long_script(5)
+    segs = ["".join(lines[i : i + 2]) for i in range(0, 60, 2)]
+    n, shared = [0], K.Ends.shared
+    monkeypatch.setattr(K.Ends, "shared", lambda self, s, t: (n.__setitem__(0, n[0] + len(s)), shared(self, s, t))[1])
+    assert Q.split_all([(segs, lines)]) == [[_cut(s, lines) for s in segs]]
+    assert 0 < n[0] < 0.02 * len(segs) * len(lines)
+
+
+def test_segments_of_an_episode_are_split_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(Q, "PIECE", 16)
+    lines = [x for _, ls in _odd_scripts(20) for x in ls]
+    segs = [x for ss, _ in _odd_scripts(20) for x in ss]
+    said = spark.createDataFrame([("e", i, x) for i, x in enumerate(segs)] + [(None, 0, segs[0]), (None, 1, None), ("f", 3, segs[1])], "k string, o int, text string")
+    script = spark.createDataFrame([(k, i, x) for k in ("e", None, "g") for i, x in enumerate(lines)], "k string, line_ord int, line string")
+    got = Q.split_script(said, script, ["k"], "o", "line_ord").orderBy("k", "ord").collect()
+    assert [r.text for r in got if r.k == "e"] == [p for s in segs for p in _cut(s, lines)]
+    assert [r.text for r in got if r.k is None] == [*_cut(segs[0], lines), ""]
+    assert [r.text for r in got if r.k == "f"] == [segs[1]]
+    assert all([r.ord for r in got if r.k == k] == list(range(sum(r.k == k for r in got))) for k in ("e", "f", None))
+    one = Q.split_segments(said.where("k = 'e'"), script, ["k"], "o", "line_ord")
+    assert one.select(F.spark_partition_id()).distinct().count() > 1  # one task for an episode before
