@@ -288,7 +288,15 @@ def as_script(lines: list[str]) -> Script:
 
 def best_line(h: str, lines: list[str]) -> tuple[int, float]:
     """The first line of the greatest ratio; (-1, 0) for fewer than two characters or no line in common."""
-    return as_script(lines).best(h) if len(h) >= 2 and lines else (-1, 0.0)
+    if len(h) < 2 or not lines:
+        return -1, 0.0
+    if isinstance(lines, Script) or len(lines) > 64:
+        return as_script(lines).best(h)
+    at, top = -1, 0.0
+    for i, x in enumerate(lines):
+        if min(len(x), len(h)) > top * max(len(x), len(h)) and (r := ratio(h, x)) > top:
+            at, top = i, r
+    return at, top
 
 
 def _original(text: str, k: int) -> int:
@@ -362,8 +370,9 @@ def split_all(groups: list[tuple[list[str], list[str]]]) -> list[list[list[str]]
 
 def fix_single_chars(segments: list[str], lines: list[str]) -> list[str]:
     """A segment of one character before a recognised line becomes the end of the line before it, where that is unsaid."""
-    out, lines = list(segments), as_script(lines)
-    hs = [han(s) for s in segments]
+    out, hs = list(segments), [han(s) for s in segments]
+    if len(lines) > 64 and any(len(h) == 1 for h in hs):
+        lines = as_script(lines)
     for i, h in enumerate(hs):
         if len(h) != 1:
             continue
@@ -1062,26 +1071,26 @@ def correct_cues(cues: DataFrame, lines: DataFrame, keys: list[str], cue_ord: st
 def align_cues(segments: DataFrame, words: DataFrame, lines: DataFrame, keys: list[str], seg_ord: str, word_ord: str, line_ord: str) -> DataFrame:
     """W38, W37, W22, H9, J7 on tables of segments, words and script lines: keys, ord (from 0), text, start_time, end_time.
 
-    Words without a time or text are left out. A group is an episode: the match goes on from segment to segment. Without a script W38 and W37 are left out.
+    Words without a time or text are left out. W38 and W37 are spread over pieces of an episode (``split_segments``); after them a group is an episode: the match goes on from
+    segment to segment. Without a script W38 and W37 are left out.
     """
-    seg = segments.select(*keys, F.lit(0).alias("_kind"), F.col(seg_ord).cast("long").alias("_i"), F.coalesce("text", F.lit("")).alias("text"))
-    script = lines.select(*keys, F.lit(1).alias("_kind"), F.col(line_ord).cast("long").alias("_i"), F.regexp_replace(F.coalesce("line", F.lit("")), NOT_HAN, "").alias("text"))
-    told = seg.unionByName(script.join(seg.select(*keys).distinct(), keys, "left_semi"))
-    w = words.where("start_time IS NOT NULL AND end_time IS NOT NULL AND text IS NOT NULL").select(*keys, word_ord, "text", "start_time", "end_time")
-
-    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        a, b = a.sort_values(["_kind", "_i"], kind="stable"), b.sort_values([word_ord, "start_time", "end_time", "text"], kind="stable")
-        segs, script = a["text"][a["_kind"] == 0].tolist(), a["text"][a["_kind"] == 1].tolist()
-        if script:
-            segs = fix_single_chars(split_merged(segs, script), script)
-        got = align_segments([drop_said_twice(x) for x in trim_overlap(segs)], list(zip(b["text"], b["start_time"], b["end_time"])))
-        out = pd.DataFrame([(i, c.text, c.start, c.end) for i, c in enumerate(got)], columns=["ord", "text", "start_time", "end_time"])
-        for k in keys:
-            out[k] = a[k].iloc[0] if len(a) else None
-        return out[[*keys, "ord", "text", "start_time", "end_time"]]
-
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in w.select(*keys).schema)
-    return spread(told, keys).groupBy(*keys).cogroup(spread(w, keys).groupBy(*keys)).applyInPandas(run, ddl + ", ord long, text string, start_time double, end_time double")
+    parts = split_segments(segments, lines.dropna(subset=keys), keys, seg_ord, line_ord, fix_singles=True)
+    null = lambda kind: F.lit(None).cast(kind)
+    w = words.where("start_time IS NOT NULL AND end_time IS NOT NULL AND text IS NOT NULL")
+    said = parts.select(*keys, F.lit(1).alias("_kind"), F.struct(F.col("_piece").alias("a"), F.col("_part").alias("b")).alias("_at"), null(words.schema[word_ord].dataType).alias("_i"), "text", null("double").alias("start_time"), null("double").alias("end_time"))
+    heard = w.select(*keys, F.lit(0).alias("_kind"), null(said.schema["_at"].dataType).alias("_at"), F.col(word_ord).alias("_i"), "text", F.col("start_time").cast("double").alias("start_time"), F.col("end_time").cast("double").alias("end_time"))
+    rows = spread(heard.unionByName(said), keys).sortWithinPartitions(*keys, "_kind", "_at", F.asc_nulls_last("_i"), "start_time", "end_time", "text").drop("_at", "_i")
+
+    def run(group: dict[str, list]) -> list[tuple]:
+        kinds = group["_kind"]
+        n = bisect_left(kinds, 1)
+        if n == len(kinds):
+            return []
+        words = list(zip(group["text"][:n], group["start_time"][:n], group["end_time"][:n]))
+        got = align_segments([drop_said_twice(x) for x in trim_overlap(group["text"][n:])], words)
+        return [(i, c.text, c.start, c.end) for i, c in enumerate(got)]
+
+    return grouped(rows, keys, lambda groups: [run(g) for g in groups], "ord long, text string, start_time double, end_time double")
 
 
 #: Segments of an entity that a task splits at a time; rows of whole groups that are handed to a pass together.

@@ -23,7 +23,8 @@ def _one_cues(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _one_words(spark: SparkSession, d: str) -> DataFrame:
-    return _words(spark, d).groupBy("episode", "word_ord").agg(F.max(F.struct("start_time", "end_time", "text")).alias("w")).select("episode", "word_ord", "w.*")
+    words = read(spark, d, "word").where("start_time IS NOT NULL AND end_time IS NOT NULL AND text IS NOT NULL")
+    return words.groupBy("episode", "word_ord").agg(F.max(F.struct("start_time", "end_time", "text")).alias("w")).select("episode", "word_ord", "w.*")
 
 
 # --- passes over segments and cues -----------------------------------------------------------------------------------------

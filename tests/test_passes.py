@@ -345,3 +345,33 @@ def test_segments_of_an_episode_are_split_in_pieces(spark, monkeypatch):
     assert all([r.ord for r in got if r.k == k] == list(range(sum(r.k == k for r in got))) for k in ("e", "f", None))
     one = Q.split_segments(said.where("k = 'e'"), script, ["k"], "o", "line_ord")
     assert one.select(F.spark_partition_id()).distinct().count() > 1  # one task for an episode before
+
+
+def test_segments_are_aligned_in_pieces_as_in_one_go(spark, monkeypatch):
+    monkeypatch.setattr(Q, "PIECE", 8)
+    rng, lines = _long_script(7)
+    lines, segs = [x for x in dict.fromkeys(lines) if len(x) > 5][:90], []
+    for i in range(1, 90):
+        segs += [lines[i - 1][:-2], "某", lines[i][:-1] + "某"] if rng.random() < 0.4 else ["".join(lines[i - 1 : i + 1])] if rng.random() < 0.5 else [lines[i], ""]
+    times = [(c, round(0.2 * i, 1)) for i, c in enumerate(c for x in lines for c in x)]
+    said = spark.createDataFrame([(k, i, x) for k in ("e", "f") for i, x in enumerate(segs)] + [("g", 0, None)], "k string, o int, text string")
+    script = spark.createDataFrame([("e", i, x) for i, x in enumerate(lines)] + [("h", 0, "走")], "k string, line_ord int, line string")
+    heard = spark.createDataFrame([(k, i, c, t, t + 0.2) for k in ("e", "h") for i, (c, t) in enumerate(times)] + [("e", 5, None, 1.0, 1.2)], "k string, w long, text string, start_time double, end_time double")
+    df = Q.align_cues(said, heard, script, ["k"], "o", "w", "line_ord")
+    fixed = Q.fix_single_chars(Q.split_merged(segs, lines), lines)
+    assert sum(x not in segs for x in fixed) > 40 and fixed.count("某") < segs.count("某")
+    want = Q.align_segments([Q.drop_said_twice(x) for x in Q.trim_overlap(fixed)], [(c, t, t + 0.2) for c, t in times])
+    got = df.orderBy("k", "ord").collect()
+    assert [(r.ord, r.text, r.start_time, r.end_time) for r in got if r.k == "e"] == [(i, c.text, c.start, c.end) for i, c in enumerate(want)]
+    assert {r.k for r in got} == {"e"}
+    parts = Q.split_segments(said, script, ["k"], "o", "line_ord", fix_singles=True).orderBy("k", "_piece", "_part").collect()
+    assert [r.text for r in parts if r.k == "e"] == fixed and len({r._piece for r in parts}) > 10
+    assert "CoGroups" not in df._jdf.queryExecution().toString()  # one task took all passes over an episode before
+
+
+def test_short_scripts_are_searched_as_they_are(monkeypatch):
+    rng = random.Random(9)
+    cases = [([text(rng, 9) for _ in range(rng.randint(1, 64))], [text(rng, 12, 2) for _ in range(5)]) for _ in range(60)]
+    want = [[Q.Script(lines).best(h) for h in hs] for lines, hs in cases]
+    monkeypatch.setattr(Q, "Script", type("None_", (), {"__init__": lambda self, lines: pytest.fail("a script is built")}))
+    assert [[Q.best_line(h, lines) for h in hs] for lines, hs in cases] == want
