@@ -209,20 +209,22 @@ def _letters(samples: list[float], prefix: str) -> str:
 def transcribed_stream(spark: SparkSession, d: str) -> DataFrame:
     """The words of an episode as a stream of samples in several files, in chunks of forty samples; the last row of an episode ends it."""
     src, out, at = (scratch_path(spark, x) for x in ("stream-in", "stream-out", "stream-state"))
-    w = _words(spark, d).withColumn("seq", F.row_number().over(Window.partitionBy("episode").orderBy("word_ord", "start_time", "end_time", "text")) - 1)
+    w = _words(spark, d, "episode").withColumn("seq", F.row_number().over(Window.partitionBy("episode").orderBy("word_ord", "start_time", "end_time", "text")) - 1)
     last = F.lead("seq").over(Window.partitionBy("episode").orderBy("seq")).isNull()
     rows = w.select(F.col("episode").alias("session_id"), F.col("seq").cast("long").alias("seq"), F.array(F.length("text").cast("double"), (F.col("word_ord") % 100).cast("double")).alias("samples"), last.alias("is_end"))
     rows.repartitionByRange(4, "seq").write.parquet(src)
     own = spark.newSession()  # settings of the stream stay its own
     own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
-    # A row holds the text of a session so far, so that few of them are much.
-    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
-    own.conf.set("spark.sql.parquet.columnarReaderBatchSize", "64")
+    own.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    # A row of the result holds the text of a session so far: a Parquet writer looks at its memory after each, since rows before tell nothing of the size of the next.
+    for part in ("page", "block"):
+        own.conf.set(f"parquet.{part}.size.row.check.min", "1")
+        own.conf.set(f"parquet.{part}.size.row.check.max", "1")
     stream = own.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(src)
-    got = W.transcribe_stream(stream, STREAM_CHUNK / W.SAMPLE_RATE, _letters, 2, 5)
+    got = W.transcribe_stream(stream, STREAM_CHUNK / W.SAMPLE_RATE, _letters, 2, 5, short=True)
     q = got.writeStream.outputMode("update").foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{out}/batch={i}")).option("checkpointLocation", at).trigger(availableNow=True).start()
     q.awaitTermination()
-    return own.read.schema(got.schema).parquet(f"{out}/batch=*")
+    return W.whole_texts(own.read.schema(f"{W.CHANGES}, batch long").parquet(out), ["batch", "step", "finished"])
 
 
 QUERIES = {f.__name__: f for f in (

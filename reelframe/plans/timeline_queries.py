@@ -15,9 +15,10 @@ from reelframe.session import cut, read
 EP = ["episode"]
 
 
-def _words(spark: SparkSession, d: str) -> DataFrame:
-    """Words once each, with times, by a total order."""
-    return read(spark, d, "word").where("start_time IS NOT NULL AND end_time IS NOT NULL AND text IS NOT NULL").select("episode", "word_ord", "text", "start_time", "end_time").distinct()
+def _words(spark: SparkSession, d: str, by: str | None = None) -> DataFrame:
+    """Words once each, with times, by a total order; exchanged by ``by`` once, where what follows groups by it too."""
+    w = read(spark, d, "word").where("start_time IS NOT NULL AND end_time IS NOT NULL AND text IS NOT NULL").select("episode", "word_ord", "text", "start_time", "end_time")
+    return (w.repartition(by) if by else w).distinct()
 
 
 def _cues(spark: SparkSession, d: str) -> DataFrame:

@@ -223,6 +223,54 @@ def test_videos_share_partitions(tmp_path):
         assert len(read()[1]) == 100 and len(read(seconds="1")[1]) == 32
 
 
+def test_stream_of_changes_grows_with_its_input(spark, tmp_path):
+    """What the stream hands on is as long as what comes in, not as its square, and gives the whole text of each step again."""
+
+    def plain(samples, prefix):
+        return prefix + "".join("abcdefgh"[int(v) % 8] for v in samples[len(prefix) :])
+
+    def takes_back(samples, prefix):  # keeps its prefix but at every ninth sample; what follows changes with the length
+        k = len(prefix) if len(samples) % 9 else 0
+        return prefix[:k] + "".join("甲b𠮷�"[(int(v) + (len(samples) if i > len(samples) - 6 else k % 2)) % 4] for i, v in enumerate(samples[k:], k))
+
+    rows = [(s, i, [float(i * k % 7), float(i % 3)], i == n - 1) for s, n, k in (("x", 1500, 3), ("y", 3, 1), (None, 40, 2)) for i in range(n)]
+    schema = "session_id string, seq long, samples array<double>, is_end boolean"
+    own = spark.newSession()
+    own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    for decoder in (plain, takes_back):
+        src, out = (str(tmp_path / f"{decoder.__name__}-{x}") for x in ("in", "out"))
+        for k in range(2):
+            spark.createDataFrame([r for i, r in enumerate(rows) if i % 2 == k], schema).coalesce(1).write.mode("append").parquet(src)
+        got = W.transcribe_stream(own.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src), 4 / W.SAMPLE_RATE, decoder, 1, 2, short=True)
+        q = got.writeStream.outputMode("update").foreachBatch(lambda b, i, out=out: b.write.parquet(f"{out}/batch={i}")).option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start()
+        q.awaitTermination()
+        changes = spark.read.schema(f"{W.CHANGES}, batch long").parquet(out)
+        if decoder is plain:
+            assert changes.agg(F.sum(F.length("text"))).first()[0] < 4 * sum(len(r[2]) for r in rows)
+        want = [(s, *r) for s in ("x", "y", None) for r in W.advance((0, [], [], "", 0, []), [r[1:] for r in rows if r[0] == s], 4, decoder, 1, 2)[1]]
+        whole = W.whole_texts(changes, ["batch", "step", "finished"])
+        assert sorted(map(tuple, whole.collect()), key=repr) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("most", [1 << 22, 100, 1])
+def test_pieces_of_changes(monkeypatch, most):
+    monkeypatch.setattr(W, "PIECE_CHARS", most)
+    rng = np.random.default_rng(5)
+    text, kept, rest, want = b"", [], [], []
+    for _ in range(300):
+        k = int(rng.integers(0, len(text) + 1)) if rng.random() < 0.1 else max(0, len(text) - int(rng.integers(0, 4)))
+        kept.append(k)
+        rest.append(bytes(rng.integers(97, 123, int(rng.integers(0, 9))).tolist()))
+        want.append(text := text[:k] + rest[-1])
+    got, at, n = [], 0, 0
+    for a, b, last, first, own in W.pieces(kept, rest):
+        assert a == at and last == want[b - 1] and (b - a == 1 or sum(map(len, own)) <= most)
+        got += [last[:k] + x for k, x in zip(first, own, strict=True)]
+        at, n = b, n + 1
+    assert got == want and (most > 1 or n > W.PIECES)
+    assert [x[:2] for x in W.pieces([0, 0], [b"", b""])] == [(0, 2)]
+
+
 def test_pipeline(spark):
     w = [("e", i, c, round(i * 0.3, 2), round(i * 0.3 + 0.25, 2)) for i, c in enumerate("你说他们没问题")]
     w += [("e", 20, "啊", 9.0, 9.3), ("e", 21, "小", 20.0, 20.2), ("e", 22, "子", 20.2, 20.4)]
